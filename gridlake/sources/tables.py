@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ZONED_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+EMPTY_MARK = "\u0001"  # how the reader reports a quoted empty field, which would else come back as NULL
 
 
 def read_table(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
@@ -56,14 +58,16 @@ def read_csv(
     spark: SparkSession, path: str, schema: StructType, ts_format: str | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Typed read-back. `multi_line` is for text with line breaks: such files cannot be split."""
-    return (
+    rows = (
         spark.read.schema(schema)
         .options(
-            header=True, escape='"', nullValue="", emptyValue="", mode="FAILFAST", multiLine=multi_line,
+            header=True, escape='"', nullValue="", emptyValue=EMPTY_MARK, mode="FAILFAST", multiLine=multi_line,
             timestampFormat=ts_format or ZONED_FORMAT, timestampNTZFormat=ts_format or STAMP_FORMAT,
         )
         .csv(path)
     )
+    texts = [f.name for f in schema if isinstance(f.dataType, StringType)]
+    return rows.withColumns({c: F.when(F.col(c) == EMPTY_MARK, "").otherwise(F.col(c)) for c in texts})
 
 
 def register_layer(spark: SparkSession, layer: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.scalar import as_column, iso_date, strip, unescape
+from gridlake.functions.scalar import as_column, iso_date, strip, unescape, unnest
 from gridlake.operators.time_windows import recent
 
 # What an article path looks like, and first path segments that are not articles.
@@ -29,11 +29,10 @@ def tags(html: Column | str, name: str) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of a start tag as written: any quoting, any position; NULL when absent."""
+    """Value of an attribute of a start tag as written: any quoting, any position; empty when absent."""
     other = rf"(?:\s+(?!{name}\s*=)[^\s=>\"']+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?)*+"
     quoted = F.regexp_extract(tag, rf"(?is)^<\w+{other}\s+{name}\s*=\s*{_VALUE}", 1)
-    bare = F.regexp_replace(quoted, r"""^["']|["']$""", "")
-    return F.when(quoted != "", bare)
+    return F.regexp_replace(quoted, r"""^["']|["']$""", "")
 
 
 def extract_links(pages: DataFrame, html: str, base: str | Column, page: str) -> DataFrame:
@@ -43,7 +42,7 @@ def extract_links(pages: DataFrame, html: str, base: str | Column, page: str) ->
     """
     base = F.lit(base) if isinstance(base, str) else base
     hrefs = F.transform(tags(html, "a"), lambda tag: attribute(tag, "href"))
-    raw = pages.select(page, base.alias("_base"), F.explode(F.array_distinct(hrefs)).alias("_raw"))
+    raw = unnest(pages, [page, base.alias("_base")], F.array_distinct(hrefs), "_pos", "_raw")
     found = raw.select(page, "_base", unescape("_raw").alias("_href"))
     own = F.startswith("_href", "_base")
     path = F.when(own, F.substr("_href", F.length("_base") + 1)).otherwise(F.col("_href"))
@@ -65,10 +64,22 @@ def filter_links(links: DataFrame, pattern: str = ARTICLE_PATH, excluded: list[s
     return links.filter(F.rlike("path", F.lit(pattern)) & ~first_segment("path").isin(*excluded))
 
 
+# The meta tags that are read. Other tags are set aside before their attributes are parsed.
+META_NAMES = ["og:title", "article:published_time", "description"]
+
+
+def meta_tags(html: Column | str) -> Column:
+    """The meta tags that may be read, as structs of their attributes."""
+    wanted = F.filter(tags(html, "meta"), lambda tag: F.rlike(tag, F.lit("|".join(META_NAMES))))
+    return F.transform(
+        wanted, lambda tag: F.struct(*[attribute(tag, a).alias(a) for a in ("property", "name", "content")])
+    )
+
+
 def _meta(metas: Column, key: str, name: str) -> Column:
     """Content of the first meta tag with the given key, as written; empty counts as absent."""
-    first = F.get(F.filter(metas, lambda tag: attribute(tag, key) == name), F.lit(0))
-    return F.nullif(attribute(first, "content"), F.lit(""))
+    first = F.get(F.filter(metas, lambda tag: tag[key] == name), F.lit(0))
+    return F.nullif(first["content"], F.lit(""))
 
 
 def title_element(html: Column | str) -> Column:
@@ -86,7 +97,7 @@ def page_meta(
     title = _meta(metas, "property", "og:title")
     if title_fallback:
         title = F.coalesce(title, title_element(html))
-    raw = pages.withColumn("_metas", tags(html, "meta")).select(
+    raw = pages.withColumn("_metas", meta_tags(html)).select(
         F.col(url).alias("url_source"),
         _meta(metas, "property", "article:published_time").alias("_date"),
         title.alias("_title"),

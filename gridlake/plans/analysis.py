@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from gridlake.operators.cleaning import keep_status, rename_project
 from gridlake.operators.joining import join_dim, merge_resampled
 from gridlake.plans.silver import CONSOLIDATED, REALISED
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 MEASURES = ["consommation_mw", "temperature_c", "prix_eur_mwh"]
 

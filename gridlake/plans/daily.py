@@ -5,7 +5,7 @@ Sources are independent: one that fails is reported and the others go on.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ from gridlake.sources.schemas import (
 )
 from gridlake.sources.tables import publish
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def stamp(col: str) -> Column:
@@ -122,7 +122,7 @@ def run(
     `sources` maps a fact to its raw documents (or pages). Returns the gold tables, the freshness report and
     the errors of failed sources. A failed source keeps its previous table.
     """
-    facts: Tables = {}
+    facts: dict[str, DataFrame] = {}
     errors: dict[str, str] = {}
     for name, fact in FACTS.items():
         old = f"{previous}/{name}"

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from gridlake.operators.aggregates import mean_mix, monthly_stats, pair_corrs, seasonal_corrs
 from gridlake.operators.ranking import top_k, top_k_with_rest
 from gridlake.sources.schemas import MIX_SOURCES
-from gridlake.sources.tables import build_layer, publish
+from gridlake.sources.tables import Layer, publish
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 CARBON_PAIRS = [
     ("taux_co2", "consommation_mw", "r_carbone_consommation"),
@@ -63,7 +65,7 @@ GOLD = {
 
 
 def gold(silver: Tables) -> Tables:
-    return build_layer(silver, GOLD)
+    return Layer(silver, GOLD)
 
 
 def publish_gold(tables: Tables, path: str) -> Tables:

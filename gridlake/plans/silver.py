@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,9 @@ from gridlake.operators.cleaning import drop_null, keep_status, quality_gate, re
 from gridlake.operators.joining import left_join_all, left_join_grain
 from gridlake.operators.quality import distinct_dim
 from gridlake.sources.schemas import MIX_SOURCES
-from gridlake.sources.tables import build_layer
+from gridlake.sources.tables import Layer
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # Statuses that make a row part of the silver layer.
 REALISED = "REALISED"
@@ -106,4 +108,4 @@ SILVER = {
 
 def silver(facts: Tables) -> Tables:
     """The ten silver tables. Sorting is left to the sink (`order_by`)."""
-    return build_layer(facts, SILVER)
+    return Layer(facts, SILVER)

@@ -62,20 +62,20 @@ def regions_share(t: Tables) -> DataFrame:
 
 @query(
     """WITH m AS (SELECT o_custkey, avg(o_totalprice) AS mean FROM orders GROUP BY 1)
-    SELECT o_custkey, half_up(mean, 4) AS mean, CAST(rank() OVER (ORDER BY mean DESC) AS INTEGER) AS rank FROM m"""
+    SELECT o_custkey, half_up(mean, 2) AS mean, CAST(rank() OVER (ORDER BY mean DESC) AS INTEGER) AS rank FROM m"""
 )
 def customer_ranks(t: Tables) -> DataFrame:
     """Rank of every customer by mean order value, without one task that sees them all."""
-    return presented(ranking.rank_groups(t.orders, "o_custkey", "o_totalprice"))
+    return presented(ranking.rank_groups(t.orders, "o_custkey", "o_totalprice"), 2)
 
 
 @query(
     """WITH m AS (SELECT o_custkey, avg(o_totalprice) AS mean FROM orders GROUP BY 1),
     r AS (SELECT o_custkey, mean, CAST(rank() OVER (ORDER BY mean DESC) AS INTEGER) AS rank FROM m)
-    SELECT o_custkey, half_up(mean, 4) AS mean, rank FROM r WHERE rank <= 20"""
+    SELECT o_custkey, half_up(mean, 2) AS mean, rank FROM r WHERE rank <= 20"""
 )
 def customer_top_ranks(t: Tables) -> DataFrame:
-    return presented(ranking.rank_groups(t.orders, "o_custkey", "o_totalprice", k=20))
+    return presented(ranking.rank_groups(t.orders, "o_custkey", "o_totalprice", k=20), 2)
 
 
 @query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")

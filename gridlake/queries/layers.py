@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,14 +35,29 @@ MEASURES = ["consommation_mw", "temperature_moyenne_nationale", "vent_moyen_nati
 CARBON = [*MEASURES, "taux_co2", *MIX_SOURCES, "ech_physiques"]
 
 
-def silver_layer(t: Tables) -> dict[str, DataFrame]:
-    return register_layer(t.spark, silver(facts(t)), "silver_")
+def silver_layer(t: Tables) -> Mapping[str, DataFrame]:
+    return silver(facts(t))
 
 
-def gold_layer(t: Tables) -> dict[str, DataFrame]:
+def gold_layer(t: Tables) -> Mapping[str, DataFrame]:
     return gold(silver(facts(t)))
 
 
+@query(
+    f"""WITH {JOINED_SQL}, {REGIONAL_SQL} SELECT (SELECT count(*) FROM national) AS national, (SELECT count(*) FROM regional) AS regional,
+    (SELECT count(*) FROM joined WHERE prix_eur_mwh IS NOT NULL) AS priced, (SELECT count(*) FROM mix) AS mix"""
+)
+def layer_by_name(t: Tables) -> DataFrame:
+    """The silver tables as named views, used from SQL."""
+    register_layer(silver_layer(t), "silver_")
+    return t.spark.sql(
+        """SELECT (SELECT count(*) FROM silver_consommation_nationale) AS national,
+        (SELECT count(*) FROM silver_consommation_regionale) AS regional,
+        (SELECT count(prix_eur_mwh) FROM silver_conso_meteo_prix_carbone) AS priced,
+        (SELECT count(*) FROM silver_eco2mix) AS mix"""
+    )
+
+
 @query(
     "SELECT date_trunc('month', o_orderdate) AS month, "
     "half_up(avg(o_totalprice), 0) AS mean, "

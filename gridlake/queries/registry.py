@@ -25,7 +25,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        self.__dict__[name] = self.spark.read.parquet(self.path(name))
+        return self.__dict__[name]
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,8 @@ nation. The SQL forms below are the same derivations for the comparison engine.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from gridlake.functions.scalar import truncate
 from gridlake.operators.series import floor_every
 from gridlake.operators.web import page_meta
 from gridlake.queries.registry import Tables
+from gridlake.sources.tables import Layer
 
 
 def value_of(kind: str) -> Column:
@@ -96,8 +99,8 @@ FACT_BUILDERS = {
 }
 
 
-def facts(t: Tables) -> dict[str, DataFrame]:
-    return {name: build(t) for name, build in FACT_BUILDERS.items()}
+def facts(t: Tables) -> Layer:
+    return Layer({}, {name: partial(lambda build, _: build(t), build) for name, build in FACT_BUILDERS.items()})
 
 
 CONSO_SQL = """

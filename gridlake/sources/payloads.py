@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridlake.functions.scalar import as_column, to_number
+from gridlake.functions.scalar import as_column, to_number, unnest
 
 MAP = "map<string,string>"
 
@@ -26,11 +26,9 @@ def flatten_blocks(
     `position`, here and below, names a column that orders the rows of one document.
     """
     keep = keep or []
-    per_block = df.select(*keep, F.posexplode(blocks).alias("_b", "_block"))
-    per_value = per_block.select(
-        *keep, "_b", F.col("_block").getField(tag).alias(tag),
-        F.posexplode(F.col("_block").getField(values)).alias("_v", "_value"),
-    )
+    per_block = unnest(df, keep, blocks, "_b", "_block")
+    block_tag = F.col("_block").getField(tag).alias(tag)
+    per_value = unnest(per_block, [*keep, "_b", block_tag], F.col("_block").getField(values), "_v", "_value")
     order = [F.struct("_b", "_v").alias(position)] if position else []
     return per_value.select(*keep, *order, tag, "_value.*")
 
@@ -46,10 +44,10 @@ def flatten_prices(
     """
     keep = keep or []
     first_field = F.get(F.map_values(F.from_json(json, MAP)), F.lit(0))
-    items = df.select(*keep, F.posexplode(F.from_json(first_field, f"array<{MAP}>")).alias("_b", "_item"))
+    items = unnest(df, keep, F.from_json(first_field, f"array<{MAP}>"), "_b", "_item")
     nested = F.from_json(F.element_at("_item", F.lit("values")), f"array<{MAP}>")
     points = F.when(F.map_contains_key("_item", "values"), nested).otherwise(F.array("_item"))
-    per_point = items.select(*keep, "_b", F.posexplode(points).alias("_v", "_point"))
+    per_point = unnest(items, [*keep, "_b"], points, "_v", "_point")
 
     chosen = F.when(F.map_contains_key("_point", price), F.element_at("_point", F.lit(price))).otherwise(
         F.element_at("_point", F.lit(other))
@@ -67,7 +65,7 @@ def zip_arrays(
     cols = {name: as_column(c) for name, c in arrays.items()}
     shortest = F.array_min(F.array(*[F.size(c) for c in cols.values()]))
     cut = [F.slice(c, F.lit(1), F.greatest(shortest, F.lit(0))).alias(name) for name, c in cols.items()]
-    rows = df.select(*tags, F.posexplode(F.arrays_zip(*cut)).alias(position or "_pos", "_row"))
+    rows = unnest(df, tags, F.arrays_zip(*cut), position or "_pos", "_row")
     return rows.select(*tags, *([position] if position else []), "_row.*")
 
 
@@ -76,7 +74,7 @@ def records_to_rows(
 ) -> DataFrame:
     """One row per record, fields renamed; a field the record does not have is NULL."""
     keep = keep or []
-    rows = df.select(*keep, F.posexplode(records).alias(position or "_pos", "_r"))
+    rows = unnest(df, keep, records, position or "_pos", "_r")
     return rows.select(
         *keep,
         *([position] if position else []),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,16 +70,31 @@ def read_csv(
     return rows.withColumns({c: F.when(F.col(c) == EMPTY_MARK, "").otherwise(F.col(c)) for c in texts})
 
 
-def register_layer(spark: SparkSession, layer: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
-    """Make lazy tables queryable by name; Catalyst inlines them wherever they are used."""
-    for name, df in layer.items():
-        df.createOrReplaceTempView(prefix + name)
-    return layer
+class Layer(Mapping):
+    """Named tables derived from others, built when first asked for.
+
+    A definition sees the layer's inputs and its other tables, so asking for one table plans only what it
+    depends on.
+    """
+
+    def __init__(self, inputs: Mapping[str, DataFrame], defs: Mapping[str, Callable]):
+        self.inputs, self.defs, self.built = inputs, dict(defs), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.defs:
+            return self.inputs[name]
+        if name not in self.built:
+            self.built[name] = self.defs[name](self)
+        return self.built[name]
 
+    def __iter__(self):
+        return iter(self.defs)
 
-def build_layer(inputs: dict[str, DataFrame], defs: dict[str, Callable]) -> dict[str, DataFrame]:
-    """Derive tables in order; each definition sees the inputs and the tables before it."""
-    known = dict(inputs)
-    for name, definition in defs.items():
-        known[name] = definition(known)
-    return {name: known[name] for name in defs}
+    def __len__(self) -> int:
+        return len(self.defs)
+
+
+def register_layer(layer: Mapping[str, DataFrame], prefix: str = "") -> None:
+    """Make a layer's tables queryable by name; Catalyst inlines them wherever they are used."""
+    for name, df in layer.items():
+        df.createOrReplaceTempView(prefix + name)

@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from gridlake.operators.joining import attach
 from gridlake.session import plan_bytes
+from gridlake.sources.tables import settled
 
 SMALL_BYTES = 16 << 20  # estimated input below which `percentile` is used
+BY_GRAIN = 1 << 62  # as `small_bytes`: the input's grain (one row per hour, say) keeps it small
 GRID = 256  # cut points per round
 ACCURACY = 10_000  # rank error of the sketch is 1/ACCURACY, far below 1/GRID
 CANDIDATES = 1_000_000  # values a bracket may hold before the exact count
@@ -39,7 +41,9 @@ def quantiles(
 ) -> DataFrame:
     """Per group: `n` non-null values and `q`, the array of quantiles. Groups without values are absent.
 
-    `max_groups` is a bound on the number of groups that follows from the key (24 hours of a day).
+    `max_groups` is a bound on the number of groups that follows from the key (24 hours of a day). Without
+    one, the brackets of a large input are written between the scans: Spark then joins them by their true
+    size, and each scan plans on its own.
     """
     by = by or []
     data = df.select(*by, F.col(val).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -48,7 +52,8 @@ def quantiles(
         return data.groupBy(*by).agg(F.count("_v").alias("n"), F.percentile("_v", probs).alias("q"))
     rows = max(size // 8, 1)
     rounds = max(1, math.ceil(math.log(max(rows / CANDIDATES, 1.0) * len(probs), GRID / 3)))
-    return exact_quantiles(data, probs, by, max_groups, rounds)
+    result = exact_quantiles(data, probs, by, max_groups, rounds)
+    return settled(result, "quantiles") if max_groups is None else result
 
 
 def _rank(n: Column, p: float) -> Column:
@@ -79,7 +84,9 @@ def exact_quantiles(
     brackets = first.select(
         *by, "n", *[c for i, p in enumerate(probs) for c in _next_bracket(F.col("_grid"), F.lit(p), i)]
     )
+    written = max_groups is None
     for _ in range(rounds - 1):
+        brackets = settled(brackets, "brackets") if written else brackets
         seen = attach(data, brackets, by, max_groups)
         aggs = [F.first("n").alias("n")]
         for i in range(len(probs)):
@@ -103,6 +110,7 @@ def exact_quantiles(
                 )
             ],
         )
+    brackets = settled(brackets, "brackets") if written else brackets
     return _pick(_cells(data, brackets, probs, by, max_groups), probs, by)
 
 

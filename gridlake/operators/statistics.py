@@ -13,15 +13,15 @@ from gridlake.functions.significance import t_pvalue
 from gridlake.operators.joining import attach
 from gridlake.operators.quantiles import SMALL_BYTES, quantiles
 from gridlake.operators.ranking import top_k
+from gridlake.session import plan_bytes
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def unpivot_numeric(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
+def unpivot_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """Long form (column, value) of several measures, as doubles without NaN."""
-    keep = keep or []
-    numeric = df.select(*keep, *[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    return numeric.unpivot(keep, cols, "column", "value")
+    numeric = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
+    return numeric.unpivot([], cols, "column", "value")
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -40,21 +40,27 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str], small_bytes: int = SMALL_BYTES) -> DataFrame:
-    """count, mean, std (n-1), min, quartiles and max per column; exact quartiles."""
-    long = unpivot_numeric(df, cols)
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quarters = quantiles(long, "value", QUARTILES, ["column"], len(cols), small_bytes).drop("n")
-    return attach(moments, quarters, ["column"], len(cols), "left").select(
-        "column", "count", "mean", "std", "min",
-        F.get("q", F.lit(0)).alias("p25"), F.get("q", F.lit(1)).alias("p50"), F.get("q", F.lit(2)).alias("p75"),
-        "max",
-    )
+    """count, mean, std (n-1), min, quartiles and max per column; exact quartiles.
+
+    All columns are read in one aggregation. A large input gets its quartiles by the bracket method.
+    """
+    numeric = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
+    small = plan_bytes(numeric) <= small_bytes
+    no_quartiles = F.lit(None).cast("array<double>")
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+            F.min(c).alias("min"), F.max(c).alias("max"),
+            (F.percentile(c, QUARTILES) if small else no_quartiles).alias("q"),
+        )
+        for c in cols
+    ]
+    moments = numeric.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+    if not small:
+        quarters = quantiles(numeric.unpivot([], cols, "column", "value"), "value", QUARTILES, ["column"], len(cols), 0)
+        moments = attach(moments.drop("q"), quarters.drop("n"), ["column"], len(cols), "left")
+    at = [F.get("q", F.lit(i)).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    return moments.select("column", "count", "mean", "std", "min", *at, "max")
 
 
 def pearson_test(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -35,23 +35,21 @@ def attribute(tag: Column, name: str) -> Column:
     return F.regexp_replace(quoted, r"""^["']|["']$""", "")
 
 
-def extract_links(pages: DataFrame, html: str, base: str | Column, page: str) -> DataFrame:
+def extract_links(pages: DataFrame, html: str, base: str, page: str) -> DataFrame:
     """Distinct root-relative link targets of each page, the site's own address removed.
 
-    Gives the path and the absolute address.
+    Gives the path and the absolute address. Each page is one row, so its links are made distinct inside
+    the row and nothing is shuffled.
     """
-    base = F.lit(base) if isinstance(base, str) else base
     hrefs = F.transform(tags(html, "a"), lambda tag: attribute(tag, "href"))
-    raw = unnest(pages, [page, base.alias("_base")], F.array_distinct(hrefs), "_pos", "_raw")
-    found = raw.select(page, "_base", unescape("_raw").alias("_href"))
-    own = F.startswith("_href", "_base")
-    path = F.when(own, F.substr("_href", F.length("_base") + 1)).otherwise(F.col("_href"))
-    return (
-        found.withColumn("path", path)
-        .filter(F.startswith("path", F.lit("/")))
-        .select(page, "path", F.concat("_base", "path").alias("link"))
-        .distinct()
-    )
+    paths = F.array_distinct(F.transform(hrefs, lambda h: _own_path(unescape(h), base)))
+    rooted = F.filter(paths, lambda path: F.startswith(path, F.lit("/")))
+    found = unnest(pages, [page], rooted, "_pos", "path")
+    return found.select(page, "path", F.concat(F.lit(base), "path").alias("link"))
+
+
+def _own_path(href: Column, base: str) -> Column:
+    return F.when(F.startswith(href, F.lit(base)), F.substr(href, F.lit(len(base) + 1))).otherwise(href)
 
 
 def first_segment(path: Column | str) -> Column:
@@ -119,9 +117,10 @@ def frontier(
     """Per listing page, in order: links found and links not seen on an earlier page, up to and including
     the first page that brings none (`reached`). A link is new on the first page that shows it.
 
-    `listing` has one row per page, also for pages without links.
+    `links` is distinct per page, as `extract_links` gives it. `listing` has one row per page, also for
+    pages without links.
     """
-    found = links.groupBy(page).agg(F.count_distinct(link).alias("found"))
+    found = links.groupBy(page).agg(F.count("*").alias("found"))
     fresh = links.groupBy(link).agg(F.min(page).alias(page)).groupBy(page).agg(F.count("*").alias("new"))
     per_page = (
         listing.select(page)

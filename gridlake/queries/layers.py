@@ -29,7 +29,7 @@ from gridlake.queries.roles import (
     rounded,
 )
 from gridlake.sources.schemas import MIX_SOURCES
-from gridlake.sources.tables import register_layer
+from gridlake.sources.tables import register_layer, settled
 
 MEASURES = ["consommation_mw", "temperature_moyenne_nationale", "vent_moyen_national", "prix_eur_mwh"]
 CARBON = [*MEASURES, "taux_co2", *MIX_SOURCES, "ech_physiques"]
@@ -230,7 +230,7 @@ def hourly_base(t: Tables) -> DataFrame:
     FROM base, m"""
 )
 def clean_base(t: Tables) -> DataFrame:
-    return presented(analysis.clean_base(analysis.hourly_base(facts(t))))
+    return presented(analysis.clean_base(settled(analysis.hourly_base(facts(t)), "hourly-base")))
 
 
 @query(

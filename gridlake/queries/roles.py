@@ -65,7 +65,7 @@ def fact_consommation_regionale(t: Tables) -> DataFrame:
     placed = t.orders.join(customer_nation(t), F.col("o_custkey") == F.col("c_custkey"))
     return placed.groupBy(F.col("o_orderdate").alias("date_heure"), "region", "code_insee_region").agg(
         F.sum("o_totalprice").alias("consommation_brute_electricite_mw"),
-        F.when(F.max("o_orderstatus") == "F", "Consolidé").otherwise("Temps réel").alias("statut_rte"),
+        F.when(F.bool_and(F.col("o_orderstatus") == "F"), "Consolidé").otherwise("Temps réel").alias("statut_rte"),
     )
 
 
@@ -133,7 +133,7 @@ REGIONAL_SQL = """
 fact_regional AS (
   SELECT o_orderdate AS date_heure, n_name AS region, CAST(n_nationkey AS VARCHAR) AS code_insee_region,
          sum(o_totalprice) AS consommation_mw,
-         CASE WHEN max(o_orderstatus) = 'F' THEN 'Consolidé' ELSE 'Temps réel' END AS statut_rte
+         CASE WHEN bool_and(o_orderstatus = 'F') THEN 'Consolidé' ELSE 'Temps réel' END AS statut_rte
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY 1, 2, 3),
 regional AS (SELECT date_heure, region, code_insee_region, consommation_mw FROM fact_regional

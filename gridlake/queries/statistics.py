@@ -12,6 +12,7 @@ from gridlake.plans import analysis
 from gridlake.queries.aggregates import SEASON_SQL
 from gridlake.queries.registry import Tables, presented, query
 from gridlake.queries.roles import HOURLY_SQL, facts
+from gridlake.sources.tables import settled
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 PAIRS_SQL = " UNION ALL ".join(
@@ -36,6 +37,11 @@ area AS (
 """
 
 
+def study_base(t: Tables) -> DataFrame:
+    """The hourly base, written once because it is read several times."""
+    return settled(analysis.hourly_base(facts(t)), "hourly-base")
+
+
 def box_sql(group: str, table: str, val: str, where: str = "TRUE") -> str:
     return f"""WITH d AS (SELECT {group} AS g, {val} AS v FROM {table} WHERE {where}),
     q AS (SELECT g, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
@@ -179,7 +185,7 @@ def iqr_outliers_bounded(t: Tables) -> DataFrame:
     half_up(100.0 * count(*) FILTER (consommation_mw < lo OR consommation_mw > hi) / count(*), 4) AS outlier_pct FROM base, fence"""
 )
 def iqr_share(t: Tables) -> DataFrame:
-    return presented(st.iqr_summary(analysis.hourly_base(facts(t)), "consommation_mw"))
+    return presented(st.iqr_summary(study_base(t), "consommation_mw"))
 
 
 @query(
@@ -203,7 +209,7 @@ IQR_COLUMNS = ["consommation_mw", "temperature_c", "prix_eur_mwh"]
     )
 )
 def iqr_multi(t: Tables) -> DataFrame:
-    return st.iqr_counts(analysis.hourly_base(facts(t)), IQR_COLUMNS)
+    return st.iqr_counts(study_base(t), IQR_COLUMNS)
 
 
 @query(
@@ -224,7 +230,7 @@ def standardise_sample(t: Tables) -> DataFrame:
     FROM base, m"""
 )
 def standardise_pop(t: Tables) -> DataFrame:
-    scaled = st.standardise_complete(analysis.hourly_base(facts(t)), ["consommation_mw", "prix_eur_mwh"])
+    scaled = st.standardise_complete(study_base(t), ["consommation_mw", "prix_eur_mwh"])
     return presented(scaled.select("date_heure", "consommation_mw_z", "prix_eur_mwh_z"))
 
 

@@ -75,13 +75,13 @@ def upsert_partitions(
         if path_status(spark, path) is None:
             current = batch.select(*cols).limit(0)
         else:
-            touched = batch.select(part).distinct()
-            current = spark.read.schema(batch.select(*cols).schema).parquet(path).join(touched, part, "left_semi")
+            # one value per touched partition, so that the scan lists and reads those only
+            touched = [row[0] for row in batch.select(part).distinct().collect()]
+            current = spark.read.schema(batch.select(*cols).schema).parquet(path).filter(F.col(part).isin(touched))
         merged = upsert(current.select(*cols), batch, key, update_cols, seq)
         merged.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(staged)
     schema = batch.drop(seq).schema
-    spark.read.schema(schema).parquet(staged).hint("rebalance", part).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(part).parquet(path)
+    moved = spark.read.schema(schema).parquet(staged).write.mode("overwrite")
+    moved.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
     if batch_id > 0:
         delete_path(spark, f"{staging}/batch={batch_id - 1}")  # superseded: its batch is committed

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from gridlake.session import work_dir
+
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ZONED_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 EMPTY_MARK = "\u0001"  # how the reader reports a quoted empty field, which would else come back as NULL
@@ -45,6 +47,16 @@ def publish_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Write a small intermediate to the shared work folder and read it back.
+
+    Cuts the lineage, and gives the optimiser the true size, by which it decides about a broadcast.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header. NULL is an empty field, an empty text is quoted; quotes are doubled."""
     df.write.mode("overwrite").options(

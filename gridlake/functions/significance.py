@@ -52,9 +52,22 @@ def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray, terms: int = 10
     return np.where(flip, 1 - result, result)
 
 
+# Degrees of freedom from which the fraction loses digits to cancellation and the expansion is exact.
+LARGE_DF = 1e5
+
+
 def t_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """P(|T| >= |t|): incomplete beta, or for many degrees of freedom Hill's normalising expansion (1970)."""
     t, df = np.asarray(t, dtype=float), np.asarray(df, dtype=float)
-    return incomplete_beta(df / 2, np.full_like(df, 0.5), df / (df + t * t))
+    large = df >= LARGE_DF
+    out = np.empty_like(t)
+    small_t, small_df = t[~large], df[~large]
+    out[~large] = incomplete_beta(small_df / 2, np.full_like(small_df, 0.5), small_df / (small_df + small_t * small_t))
+    shifted = df[large] - 0.5
+    z = np.sqrt(shifted * np.log1p(t[large] * t[large] / df[large]))
+    z = z + (z**3 + 3 * z) / (48 * shifted * shifted)
+    out[large] = [math.erfc(v / math.sqrt(2)) for v in z]
+    return out
 
 
 @F.pandas_udf(DoubleType())

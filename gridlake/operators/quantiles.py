@@ -25,10 +25,11 @@ from gridlake.session import plan_bytes
 from gridlake.sources.tables import settled
 
 SMALL_BYTES = 16 << 20  # estimated input below which `percentile` is used
-BY_GRAIN = 1 << 62  # as `small_bytes`: the input's grain (one row per hour, say) keeps it small
+BY_GRAIN = 1 << 63  # as `small_bytes`: the input's grain (one row per hour, say) keeps it small
 GRID = 256  # cut points per round
 ACCURACY = 10_000  # rank error of the sketch is 1/ACCURACY, far below 1/GRID
 CANDIDATES = 1_000_000  # values a bracket may hold before the exact count
+MOST_ROWS = 1 << 44  # assumed for inputs whose size Spark does not know
 
 
 def quantiles(
@@ -50,7 +51,7 @@ def quantiles(
     size = plan_bytes(data)
     if size <= small_bytes:
         return data.groupBy(*by).agg(F.count("_v").alias("n"), F.percentile("_v", probs).alias("q"))
-    rows = max(size // 8, 1)
+    rows = min(size // 8, MOST_ROWS)
     rounds = max(1, math.ceil(math.log(max(rows / CANDIDATES, 1.0) * len(probs), GRID / 3)))
     result = exact_quantiles(data, probs, by, max_groups, rounds)
     return settled(result, "quantiles") if max_groups is None else result

@@ -66,7 +66,7 @@ def describe(df: DataFrame, cols: list[str], small_bytes: int = SMALL_BYTES) ->
 def pearson_test(df: DataFrame, x: str, y: str) -> DataFrame:
     """r, t, p (two-sided) and n over complete pairs. All but n are NULL below two pairs."""
     base = df.agg(F.regr_count(y, x).alias("n"), pearson(x, y).alias("_r"))
-    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_r")))
+    r = F.when(F.col("_r").isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_r"))))
     t = F.try_divide(r * F.sqrt(F.greatest(F.col("n") - 2, F.lit(0))), F.sqrt(1 - r * r))
     tested = base.select("n", r.alias("r"), t.alias("t")).withColumn(
         "_p", t_pvalue("t", F.when(F.col("n") > 2, (F.col("n") - 2).cast("double")))
@@ -160,9 +160,11 @@ def iqr_summary(df: DataFrame, val: str, k: float = 1.5, small_bytes: int = SMAL
     )
 
 
-def top_outliers(df: DataFrame, val: str, k: int = 10, tie: str | list[str] | None = None) -> DataFrame:
+def top_outliers(
+    df: DataFrame, val: str, k: int = 10, tie: str | list[str] | None = None, small_bytes: int = SMALL_BYTES
+) -> DataFrame:
     """The k largest of the outliers by quartile fences."""
-    return top_k(iqr_outliers(df, val), val, k, tie).drop("low_fence", "high_fence")
+    return top_k(iqr_outliers(df, val, small_bytes=small_bytes), val, k, tie).drop("low_fence", "high_fence")
 
 
 def iqr_counts(df: DataFrame, cols: list[str], k: float = 1.5, small_bytes: int = SMALL_BYTES) -> DataFrame:

@@ -17,6 +17,7 @@ EXCLUDED = ["the", "der", "les"]
 
 MARKUP_SQL = r"regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'gis')"
 DECODED_SQL = "replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+TITLE_SQL = rf"regexp_extract({MARKUP_SQL}, '<title[^>]*>(.*?)</title\s*>', 1, 'is')"
 LINKS_SQL = f"""
 hrefs AS (SELECT page_id, unnest(regexp_extract_all({MARKUP_SQL}, '(?i)<a\\s[^>]*?href="([^"]*)"', 1)) AS raw FROM pages),
 links AS (SELECT DISTINCT page_id, path, '{BASE}' || path AS link FROM (
@@ -97,9 +98,9 @@ def by_language(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 @query(
-    rf"""SELECT url AS url_source, DATE '2024-02-01' AS date_publication,
-    trim({DECODED_SQL.format(f"regexp_extract({MARKUP_SQL}, '<title[^>]*>(.*?)</title\s*>', 1, 'is')")}, E' \t\r\n') AS titre,
-    NULL::VARCHAR AS contenu_resume FROM pages WHERE regexp_extract({MARKUP_SQL}, '<title[^>]*>(.*?)</title\s*>', 1, 'is') <> ''"""
+    f"""SELECT url AS url_source, DATE '2024-02-01' AS date_publication,
+    trim({DECODED_SQL.format(TITLE_SQL)}, E' \\t\\r\\n') AS titre, NULL::VARCHAR AS contenu_resume
+    FROM pages WHERE {TITLE_SQL} <> ''"""
 )
 def page_meta(t: Tables) -> DataFrame:
     return web.page_meta(t.pages, "url", "html", F.lit("2024-02-01").cast("date"), title_fallback=True)

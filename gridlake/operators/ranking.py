@@ -71,25 +71,28 @@ def rank_groups(
 ) -> DataFrame:
     """RANK() of groups by descending mean.
 
-    With `k`, only ranks up to k: Spark prunes to k rows per task ahead of the window. Without it, groups
-    are cut into value slices by sketched cut points; a group's rank is the number of groups in higher
-    slices plus its rank in its own slice, so no task ranks all groups.
+    With `k`, only ranks up to k: Spark prunes to k rows per task ahead of the window. Without it, the
+    distinct means (equal ones counted, so ties cost one row) are cut into value slices by sketched cut
+    points. A mean's rank follows from the groups in higher slices and those above it in its own slice, so
+    no task ranks all groups.
     """
     means = df.groupBy(key).agg(F.avg(val).alias("mean"))
     order = F.desc_nulls_first("mean") if nulls_first else F.desc_nulls_last("mean")
     if k is not None:
         return means.withColumn("rank", F.rank().over(Window.orderBy(order))).filter(F.col("rank") <= k)
 
-    cuts = means.agg(F.percentile_approx("mean", [i / slices for i in range(1, slices)]).alias("_cuts"))
+    values = means.groupBy("mean").agg(F.count("*").alias("_groups"))
+    cuts = values.agg(F.percentile_approx("mean", [i / slices for i in range(1, slices)]).alias("_cuts"))
     above = F.size(F.filter("_cuts", lambda cut: cut > F.col("mean")))  # 0 = highest slice
     null_slice = F.lit(-1 if nulls_first else slices)
-    sliced = attach(means, cuts).withColumn(
-        "_slice", F.when(F.col("mean").isNull(), null_slice).otherwise(F.coalesce(above, F.lit(0)))
-    )
-    sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_size"))
-    higher = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # at most slices + 1 rows
-    offsets = sizes.select("_slice", F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_offset"))
-    within = F.rank().over(Window.partitionBy("_slice").orderBy(order))
-    return attach(sliced.withColumn("_within", within), offsets, ["_slice"], max_rows=slices + 1).select(
-        key, "mean", (F.col("_offset") + F.col("_within")).cast("int").alias("rank")
+    sliced = attach(values, cuts).select(
+        "mean", "_groups", F.when(F.col("mean").isNull(), null_slice).otherwise(F.coalesce(above, F.lit(0))).alias("_slice")
     )
+    sizes = sliced.groupBy("_slice").agg(F.sum("_groups").alias("_size"))
+    higher_slices = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # at most slices + 1 rows
+    offsets = sizes.select("_slice", F.coalesce(F.sum("_size").over(higher_slices), F.lit(0)).alias("_offset"))
+    higher_means = Window.partitionBy("_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    within = sliced.withColumn("_before", F.coalesce(F.sum("_groups").over(higher_means), F.lit(0)))
+    rank = (F.col("_offset") + F.col("_before") + 1).cast("int").alias("rank")
+    ranks = attach(within, offsets, ["_slice"], max_rows=slices + 2).select("mean", rank)
+    return attach(means, ranks, ["mean"]).select(key, "mean", "rank")

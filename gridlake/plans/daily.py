@@ -9,6 +9,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gridlake.operators.aggregates import freshness
 from gridlake.operators.cleaning import coerce_numeric, require
@@ -17,7 +18,7 @@ from gridlake.plans.gold import gold, publish_gold
 from gridlake.plans.silver import silver
 from gridlake.session import path_status
 from gridlake.sources import payloads
-from gridlake.sources.loading import enforce_constraints, upsert
+from gridlake.sources.loading import enforce_constraints, upsert_partitions
 from gridlake.sources.schemas import (
     CONSUMPTION_PAYLOAD,
     FACTS,
@@ -27,7 +28,6 @@ from gridlake.sources.schemas import (
     WEATHER_PAYLOAD,
     Fact,
 )
-from gridlake.sources.tables import publish
 
 Tables = Mapping[str, DataFrame]
 
@@ -101,43 +101,55 @@ READERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def land(spark: SparkSession, fact: Fact, rows: DataFrame, path: str) -> DataFrame:
-    """The table of one source after its batch: documents apply in `seq` order, their rows in theirs."""
-    good = require(rows, fact.must_have())
+PART = "part"
+
+
+def land(spark: SparkSession, fact: Fact, rows: DataFrame, root: str, batch_id: int) -> None:
+    """Upsert one source's batch: documents apply in `seq` order, their rows in theirs.
+
+    The fact is stored by month of its stamp (news by bucket of its address), and only the partitions the
+    batch touches are rewritten.
+    """
     order = F.struct(*[c for c in ("seq", "pos") if c in rows.columns])
-    batch = good.withColumn("_seq", order).select(*fact.schema.fieldNames(), "_seq")
-    current = f"{path}/{fact.name}"
-    if path_status(spark, current) is None:
-        target = spark.createDataFrame([], fact.schema)
-    else:
-        target = spark.read.schema(fact.schema).parquet(current)
-    return upsert(target, batch, fact.key, fact.updates, "_seq")
+    batch = (
+        require(rows, fact.must_have())
+        .withColumn("_seq", order)
+        .withColumn(PART, fact.partition())
+        .select(*fact.schema.fieldNames(), PART, "_seq")
+    )
+    upsert_partitions(
+        spark, f"{root}/{fact.name}", batch, [*fact.key, PART], fact.updates, "_seq", PART, batch_id,
+        f"{root}/staged/{fact.name}",
+    )
+
+
+def read_fact(spark: SparkSession, fact: Fact, root: str) -> DataFrame:
+    """A landed fact; empty when nothing has landed yet."""
+    path = f"{root}/{fact.name}"
+    if path_status(spark, path) is None:
+        return spark.createDataFrame([], fact.schema)
+    stored = StructType([*fact.schema.fields, StructField(PART, StringType())])
+    return spark.read.schema(stored).parquet(path).drop(PART)
 
 
 def run(
-    spark: SparkSession, sources: dict[str, DataFrame], previous: str, target: str, as_of: Column
+    spark: SparkSession, sources: Mapping[str, DataFrame], root: str, as_of: Column, batch_id: int
 ) -> tuple[Tables, DataFrame, dict[str, str]]:
-    """One daily run: reads the fact tables under `previous`, writes all tables under `target`.
+    """One daily run on the tables under `root`; `batch_id` numbers the runs, and a run may be repeated.
 
     `sources` maps a fact to its raw documents (or pages). Returns the gold tables, the freshness report and
     the errors of failed sources. A failed source keeps its previous table.
     """
-    facts: dict[str, DataFrame] = {}
     errors: dict[str, str] = {}
     for name, fact in FACTS.items():
-        old = f"{previous}/{name}"
         try:
             docs = sources[name]
             rows = news_rows(docs, as_of) if name == "fact_actualites" else READERS[name](docs)
-            facts[name] = publish(land(spark, fact, rows, previous), f"{target}/{name}")
+            land(spark, fact, rows, root, batch_id)
         except Exception as error:  # one source must not block the others
             errors[name] = f"{type(error).__name__}: {error}"[:500]
-            facts[name] = (
-                spark.read.schema(fact.schema).parquet(old)
-                if path_status(spark, old)
-                else spark.createDataFrame([], fact.schema)
-            )
-    published = publish_gold(gold(silver(facts)), f"{target}/gold")
+    facts = {name: read_fact(spark, fact, root) for name, fact in FACTS.items()}
+    published = publish_gold(gold(silver(facts)), f"{root}/gold")
     report = freshness([(f.name, facts[f.name], f.stamp) for f in FACTS.values()], as_of)
     return published, report, errors
 

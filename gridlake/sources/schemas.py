@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DateType,
@@ -57,6 +59,9 @@ REGIONAL_PAYLOAD = _struct(
 MIX_PAYLOAD = _struct(results=ArrayType(_struct(date_heure=TEXT, **{c: TEXT for c in MIX_FIELDS})))
 
 
+KEY_BUCKETS = 64
+
+
 @dataclass(frozen=True)
 class Fact:
     """A landed table: schema, primary key, required columns, and what an upsert may change."""
@@ -71,6 +76,12 @@ class Fact:
     def must_have(self) -> list[str]:
         return list(dict.fromkeys([*self.key, *self.required]))
 
+    def partition(self) -> Column:
+        """Storage partition of a row, which must follow from the key: its month, else a bucket of the key."""
+        if self.stamp in self.key:
+            return F.date_format(self.stamp, "yyyy-MM")
+        return F.format_string("b%02d", F.pmod(F.xxhash64(*self.key), F.lit(KEY_BUCKETS)))
+
     def decimal_schema(self) -> StructType:
         """The same table with exact decimals instead of doubles, for readers that need them."""
         return StructType(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridlake.plans import analysis, daily
 from gridlake.plans.silver import silver
 from gridlake.sources.schemas import FACTS
+from gridlake.sources.tables import settled
 
 
 def docs(spark, *payloads, **extra):
@@ -75,7 +76,8 @@ def runs(spark, tmp_path_factory):
         ),
     }
     as_of = F.lit(datetime(2026, 1, 6))
-    first = daily.run(spark, sources, f"{base}/none", f"{base}/v1", as_of)
+    first = daily.run(spark, sources, base, as_of, 0)
+    v1 = kept(spark, base)
     again = {
         "fact_consommation": docs(spark, consumption((hours[1], 111.0), ("2026-01-05T14:00:00+01:00", 80.0))),
         "fact_consommation_regionale": sources["fact_consommation_regionale"],
@@ -86,12 +88,21 @@ def runs(spark, tmp_path_factory):
         "fact_meteoid": sources["fact_meteoid"],
         "fact_eco2mix": sources["fact_eco2mix"],
     }
-    second = daily.run(spark, again, f"{base}/v1", f"{base}/v2", as_of)
-    return base, first, second
+    second = daily.run(spark, again, base, as_of, 1)
+    return {"v1": v1, "v2": kept(spark, base)}, first, second
+
+
+def kept(spark, base):
+    """The facts as they are now, apart from the stored tables."""
+    tables = {}
+    for name, f in FACTS.items():
+        rows = [tuple(r) for r in daily.read_fact(spark, f, base).collect()]
+        tables[name] = spark.createDataFrame(rows, f.schema)
+    return tables
 
 
 def fact(spark, base, version, name):
-    return spark.read.schema(FACTS[name].schema).parquet(f"{base}/{version}/{name}")
+    return base[version][name]
 
 
 def test_first_run_lands_every_source(spark, runs):
@@ -153,7 +164,7 @@ def test_study_runs_over_the_facts(spark, runs):
     hourly = analysis.hourly_base(facts)
     assert [(r.date_heure.hour, r.consommation_mw) for r in hourly.orderBy("date_heure").collect()] == [
         (9, 115.0), (10, None), (11, None), (12, 90.0)]
-    for name, table in analysis.study(analysis.clean_base(hourly)).items():
+    for name, table in analysis.study(settled(analysis.clean_base(hourly), "base")).items():
         assert table.count() >= 1, name
     regional = analysis.regional_base(facts, silver(facts)["dim_region"])
     assert {n: t.count() for n, t in analysis.study_regions(regional).items()} == {"means": 1, "key_regions": 1, "share": 1}

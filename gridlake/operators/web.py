@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalar import as_column, iso_date, strip, unescape, unnest
-from gridlake.operators.time_windows import recent
 
 # What an article path looks like, and first path segments that are not articles.
 ARTICLE_PATH = r"^/([a-z0-9]+(?:-[a-z0-9]+){2,})/?$"
@@ -142,9 +141,3 @@ def top_pages(per_page: DataFrame, page: str, max_pages: int) -> DataFrame:
 def crawl_links(links: DataFrame, reached: DataFrame, page: str, link: str) -> DataFrame:
     """Distinct links collected from the pages the crawl reached."""
     return links.join(reached.select(page), page, "left_semi").select(link).distinct()
-
-
-__all__ = [
-    "ARTICLE_PATH", "EXCLUDED_SEGMENTS", "attribute", "crawl_links", "extract_links", "filter_links", "first_segment",
-    "frontier", "markup", "page_meta", "recent", "tags", "title_element", "top_pages",
-]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, TimestampType
 
 from gridlake.functions.scalar import round_to
+from gridlake.sources.tables import read_table
 
 
 class Tables:
@@ -25,7 +26,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        self.__dict__[name] = self.spark.read.parquet(self.path(name))
+        self.__dict__[name] = read_table(self.spark, self.path(name))
         return self.__dict__[name]
 
 

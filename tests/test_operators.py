@@ -12,7 +12,7 @@ from gridlake.operators import aggregates, cleaning, joining, quality, ranking,
 from gridlake.operators import statistics as st
 from gridlake.operators.quantiles import BY_GRAIN
 from gridlake.sources.loading import enforce_constraints, upsert, upsert_partitions
-from gridlake.sources.tables import read_csv, write_csv
+from gridlake.sources.tables import publish, publish_table, read_csv, write_csv
 
 
 def rows(df, *order):
@@ -392,3 +392,11 @@ def test_csv_round_trip(spark, tmp_path):
     numbers = df.select("i", "d")
     write_csv(numbers, f"{tmp_path}/n")
     assert rows(read_csv(spark, f"{tmp_path}/n", numbers.schema), "i") == rows(numbers, "i")
+
+
+def test_publish_replaces(spark, tmp_path):
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "i int, p string")
+    assert rows(publish(first, f"{tmp_path}/t", ["p"]), "i") == [(1, "a"), (2, "b")]
+    assert rows(publish(first.filter("i = 2"), f"{tmp_path}/t", ["p"]), "i") == [(2, "b")]
+    assert rows(publish_table(first, "published"), "i") == [(1, "a"), (2, "b")]
+    assert rows(publish_table(first.limit(0), "published")) == []

@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import bpe
+from gridlake.llm.decontamination import contamination
+from gridlake.llm.jaccard import similar_classes
+from gridlake.llm.licenses import license_scan
 from gridlake.llm.repetition import repetition_rules
 from gridlake.llm.secrets import BASE, secret_scan
 from gridlake.llm.token_counts import token_counts
+from gridlake.llm.url_rules import judge_urls
 from gridlake.sources.tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -67,3 +71,62 @@ def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition_rules(table(spark, folder, "documents"))
+
+
+RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]  # fixed values of the contract
+
+
+@query(
+    """WITH rest AS (
+      SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages
+    ), parts AS (
+      SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+      FROM rest
+    ), fits AS (
+      SELECT *, CASE
+        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+      END AS rule FROM parts
+    )
+    SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+      CASE WHEN rule IN ('example.org/es/', 'example.org/en/1', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+    FROM fits"""
+)
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, folder, "pages"), rules)
+
+
+@query()
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+    )
+
+
+@query()
+def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan(table(spark, folder, "documents"))
+    base = F.filter("places", lambda p: p["kind"] == "base")
+    labels = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+    starts = F.transform(base, lambda p: p["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("places")).alias("labels"), "score",
+    )
+
+
+@query()
+def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_classes(table(spark, folder, "documents"))

@@ -346,3 +346,14 @@ def similar_classes(
         F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"),
     )
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows, with all their columns, whose id is the smallest of their class; texts without words all stay.
+
+    Ids are taken to be unique: rows that share an id stay or go by whether one of them is its class's first. Where
+    all ids of a class are null, its rows stay.
+    """
+    classes = similar_classes(docs, id_col, text, size, percent)
+    first = classes.filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))).select(F.col(f"`{id_col}`").alias("_own")).distinct()
+    return docs.join(first, F.col(f"`{id_col}`").eqNullSafe(F.col("_own")), "left_semi")

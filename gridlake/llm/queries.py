@@ -12,7 +12,9 @@ from gridlake.llm import bpe
 from gridlake.llm.decontamination import contamination
 from gridlake.llm.jaccard import similar_classes
 from gridlake.llm.licenses import license_scan
+from gridlake.llm.line_dedup import without_repeated_lines
 from gridlake.llm.repetition import repetition_rules
+from gridlake.llm.resampling import importance_resample
 from gridlake.llm.secrets import BASE, secret_scan
 from gridlake.llm.token_counts import token_counts
 from gridlake.llm.url_rules import judge_urls
@@ -56,10 +58,7 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-@query()
-def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    texts = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
+def round_trip_digests(texts: DataFrame) -> DataFrame:
     return texts.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -68,6 +67,12 @@ def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    return round_trip_digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path))
+
+
 @query()
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition_rules(table(spark, folder, "documents"))
@@ -130,3 +135,13 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_classes(table(spark, folder, "documents"))
+
+
+@query()
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeated_lines(table(spark, folder, "documents"))
+
+
+@query()
+def op10_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance_resample(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -26,7 +26,6 @@ from gridlake.sources.tables import settled
 
 SHINGLE = 5
 PERCENT = 80
-COUNTED = 0.4  # share of all hash values for which document frequencies are counted (twice a prefix's share)
 FREQUENT = 32  # documents that hold a frequent shingle, at least; raised until FREQUENT_MOST hold
 FREQUENT_MOST = 2_000_000  # frequent shingles that are broadcast, 8 bytes each
 BUCKET_BYTES = 8 << 20  # input bytes per bucket of counted shingles
@@ -68,9 +67,6 @@ def _count_key(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
 
 
-_REGION = np.uint64(int(COUNTED * (1 << 32)) << 32)
-
-
 class _Order:
     """The common order of shingles, from the keys of the frequent ones (ascending)."""
 
@@ -78,13 +74,10 @@ class _Order:
         self.frequent, self.buckets = frequent, buckets
 
     def is_frequent(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h), bool)
-        low = np.flatnonzero(h < _REGION)
-        if len(self.frequent) and len(low):
-            key = _count_key(h[low], self.buckets)
-            at = np.searchsorted(self.frequent, key)
-            out[low] = self.frequent[np.minimum(at, len(self.frequent) - 1)] == key
-        return out
+        if not len(self.frequent):
+            return np.zeros(len(h), bool)
+        key = _count_key(h, self.buckets)
+        return self.frequent[np.minimum(np.searchsorted(self.frequent, key), len(self.frequent) - 1)] == key
 
     def prefixes(self, sets: list[np.ndarray], percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each set, its first shingles in the common order and whether they are frequent."""
@@ -119,14 +112,14 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
 
 
 def frequent_order(docs: DataFrame, size: int, buckets: int) -> _Order:
-    """Counts the documents of every shingle in the counted region, exactly, and takes the frequent ones.
+    """Counts the documents of every shingle (by bucket and half a hash) and takes the frequent ones.
 
     A slice of texts sends, for each bucket, its shingles as four bytes each, and counts only where above one.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _sets(batches, size):
-            h = np.concatenate([s[: np.searchsorted(s, _REGION)] for s in sets])
+            h = np.concatenate(sets)
             if not len(h):
                 continue
             key, times = np.unique(_count_key(h, buckets), return_counts=True)
@@ -140,9 +133,11 @@ def frequent_order(docs: DataFrame, size: int, buckets: int) -> _Order:
 
     def add(table: pa.Table) -> pa.Table:
         read = lambda c: np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32)
-        once, more = read("once"), read("more")
-        low, place = np.unique(np.concatenate([once, more]), return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate([np.ones(len(once)), read("times")]), minlength=len(low)).astype(np.int64)
+        more, times = read("more"), read("times")
+        once, n = np.unique(read("once"), return_counts=True)
+        own = (n >= FREQUENT) | np.isin(once, more)
+        low, place = np.unique(np.concatenate([once[own], more]), return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate([n[own], times]), minlength=len(low)).astype(np.int64)
         own = total >= FREQUENT
         key = np.uint64(table.column("bucket")[0].as_py()) << np.uint64(32) | low[own].astype(np.uint64)
         return pa.table({"key": pa.array(key.view(np.int64)), "n": pa.array(total[own])})
@@ -159,7 +154,8 @@ def frequent_order(docs: DataFrame, size: int, buckets: int) -> _Order:
 
 
 def shared_prefixes(docs: DataFrame, order: _Order, size: int, percent: int) -> DataFrame:
-    """`token` and `grp` of each prefix shingle that two groups or more share, without repeats.
+    """`token`, `grp` and `pos` (the token's place in the group's order) of each prefix shingle that two groups or
+    more share, without repeats.
 
     Rows are dealt by shingle, those of a frequent one further by group, and read in order as a stream.
     """
@@ -170,7 +166,7 @@ def shared_prefixes(docs: DataFrame, order: _Order, size: int, percent: int) ->
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()  # groups of this task that have been sent; a bounded memory, for speed alone
         for _, sets in _sets(batches, size):
-            tokens, groups, salts = [], [], []
+            tokens, groups, salts, places = [], [], [], []
             for s, (prefix, frequent) in zip(sets, source.value.prefixes(sets, percent)):
                 if not len(s) or (group := _group(prefix, len(s))) in sent:
                     continue
@@ -179,40 +175,35 @@ def shared_prefixes(docs: DataFrame, order: _Order, size: int, percent: int) ->
                 tokens.append(prefix)
                 groups.append(np.full(len(prefix), group, np.int64))
                 salts.append(np.where(frequent, 1 + group % 1024, 0).astype(np.int32))
+                places.append(np.arange(len(prefix), dtype=np.int32))
             if tokens:
-                columns = [np.concatenate(tokens).view(np.int64), np.concatenate(groups), np.concatenate(salts)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "grp", "salt"])
+                columns = [np.concatenate(tokens).view(np.int64), *map(np.concatenate, (groups, salts, places))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "grp", "salt", "pos"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of sorted rows, the first of each (token, grp); a lone group of a token is held until another comes."""
-        held: tuple[int, int, int] | None = None  # the last row
-        paired = False  # whether that row's token has two groups
+        held, sent = None, False  # the last row, and whether it has been given out
+        names = ("token", "grp", "salt", "pos")
         for batch in batches:
-            token, group, salt = (batch.column(c).to_numpy() for c in ("token", "grp", "salt"))
+            rows = [batch.column(c).to_numpy() for c in names]
             if held is not None:
-                token, group, salt = np.append(held[0], token), np.append(held[1], group), np.append(held[2], salt)
-            if not len(token):
+                rows = [np.append(h, r) for h, r in zip(held, rows)]
+            if not len(rows[0]):
                 continue
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1])
-            token, group, salt = token[new], group[new], salt[new]
+            new = np.ones(len(rows[0]), bool)
+            new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
+            token, group, salt, pos = (r[new] for r in rows)
             same = token[1:] == token[:-1]
-            more = np.append(False, same) | np.append(same, False) | (salt > 0)
-            sent_before = held is not None and (paired or held[2] > 0)
-            more[0] |= paired and held is not None
-            out = more.copy()
-            out[-1] = False  # the last row waits, unless it is known to belong
-            if sent_before:
-                out[0] = False
-            last_known = bool(more[-1])
-            if last_known and not (len(token) == 1 and sent_before):
-                out[-1] = True
-            held, paired = (int(token[-1]), int(group[-1]), int(salt[-1])), last_known and salt[-1] == 0
-            yield pa.RecordBatch.from_arrays([pa.array(token[out]), pa.array(group[out])], names=["token", "grp"])
-
-    rows = docs.mapInArrow(emit, "token long, grp long, salt int")
+            out = np.append(False, same) | np.append(same, False) | (salt > 0)
+            out[0] |= sent  # its token was shared before
+            belongs = bool(out[-1])
+            out[0] &= not sent
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (token, group, pos)], names=["token", "grp", "pos"])
+            held, sent = [x[-1] for x in (token, group, salt, pos)], belongs
+
+    rows = docs.mapInArrow(emit, "token long, grp long, salt int, pos int")
     dealt = rows.repartition(partitions, "token", "salt").sortWithinPartitions("token", "salt", "grp")
-    return settled(dealt.mapInArrow(shared, "token long, grp long"), "prefixes")
+    return settled(dealt.mapInArrow(shared, "token long, grp long, pos int"), "prefixes")
 
 
 def described(docs: DataFrame, order: _Order, size: int, percent: int, kind: str) -> DataFrame:
@@ -309,8 +300,10 @@ def similar_classes(
 
     # Pairs of groups: each group of a shared shingle with the shingle's pivot, expanded to members; and each member
     # of a group with one of them.
+    # The pivot is the group with the fewest rarer shingles before the shared one: of copies with changes of their
+    # own, the one that is nearest to all.
     turn = F.xxhash64("grp", F.pmod("token", F.lit(PIVOTS)))
-    pivots = shared.groupBy("token").agg(F.min(F.struct(turn.alias("turn"), "grp"))["grp"].alias("pivot"))
+    pivots = shared.groupBy("token").agg(F.min(F.struct("pos", turn.alias("turn"), "grp"))["grp"].alias("pivot"))
     sizes = groups.select("grp", "n", "node")
     group_pairs = shared.join(pivots, "token").filter("grp <> pivot").select("grp", "pivot").distinct()
     near = group_pairs.join(sizes.select("grp", "n"), "grp").join(
@@ -323,14 +316,17 @@ def similar_classes(
     classes = settled(components(links), "classes")
 
     # Whatever still shares a prefix shingle, or a group, across two classes: all such pairs.
-    buckets_of = shared.join(nodes.select("grp", "node", "n"), "grp").select("token", "node", "n").union(
-        nodes.join(crowded, "grp", "left_semi").select(F.col("grp").alias("token"), "node", "n")
+    buckets_of = shared.join(nodes.select("grp", "node", "n"), "grp").select("token", "node", "n", "pos").union(
+        nodes.join(crowded, "grp", "left_semi").select(F.col("grp").alias("token"), "node", "n", F.lit(0).alias("pos"))
     )
     placed = buckets_of.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("token")
     rows = settled(placed.join(mixed, "token", "left_semi"), "mixed")
-    other = rows.select("token", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "component")))
-    across = rows.join(other, "token").filter((F.col("component") < F.col("o_component")) & _near("n", "o_n", percent))
+    other = rows.select("token", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "pos", "component")))
+    # At the first shingle that two sets share, all they have in common is still to come in both.
+    least = percent * (F.col("n") + F.col("o_n"))
+    enough = ((100 + percent) * (F.col("n") - F.col("pos")) >= least) & ((100 + percent) * (F.col("o_n") - F.col("o_pos")) >= least)
+    across = rows.join(other, "token").filter((F.col("component") < F.col("o_component")) & enough)
     rest = across.select(F.col("node").alias("centre"), F.col("o_node").alias("node")).distinct()
     done = tested.union(tested.select(F.col("node").alias("centre"), F.col("centre").alias("node")))
     late = verified(settled(rest.join(done, ["centre", "node"], "left_anti"), "pairs"), texts, size, percent)

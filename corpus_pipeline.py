@@ -41,7 +41,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    return round_trip_digests(bpe.decode(bpe.encode(docs, path), path))
+    return round_trip_digests(bpe.encode(docs, path, decoded=True))
 
 
 STAGES = [

@@ -26,7 +26,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # cut by the library itself; on all others the two agree (tests/llm checks every character).
 NEWER = "[՘֋֌࢏౜೜₏₝-₟꟎-꯿\U00010000-\U0010ffff]"
 EARLY_BYTES = bytes(range(0xD5))  # UTF-8 of texts in Latin, Greek and Cyrillic has no other bytes
-CACHED = 300_000  # pre-tokens and pairs remembered by a worker before it starts anew
+CACHED = 150_000  # pre-tokens and pairs remembered by a worker before it starts anew
 
 
 def byte_of_char() -> dict[str, int]:
@@ -215,26 +215,41 @@ def broadcast_file(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def _ids(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The token ids of texts in one array, and where each text's begin."""
+    ids = [np.array(vocabulary.encode(t or ""), np.int32) for t in texts]
+    return np.concatenate(ids), np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+
+
+def _texts(vocabulary: Vocabulary, ids: np.ndarray, first: np.ndarray) -> pa.Array:
+    data, begin = vocabulary.decode(ids, first)
+    whole = data.tobytes()
+    return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())], pa.string())
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """For every row `id_col` and `ids`, the token ids of its whole text, without begin or end tokens.
 
     `path` is the vocabulary file on the driver. Special strings inside a text become their ids. A null or empty
     text has no ids (an empty array). Rows are encoded one by one: repeated rows and null ids come out as often as
     they go in, an empty table gives no rows, other columns are ignored, whatever their names. No shuffle.
+    With `decoded` the text of the ids is added as `decode` gives it, in the same task and with the same tables.
     """
     source = broadcast_file(docs.sparkSession, path)
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
+    names = [id_col, "ids", *(["decoded"] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load(source)
         for part in slices(batches, "_text"):
-            ids = [np.array(vocabulary.encode(t or ""), np.int32) for t in part.column("_text").to_pylist()]
-            first = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(first), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([part.column("_id"), lists], names=[id_col, "ids"])
+            ids, first = _ids(vocabulary, part.column("_text").to_pylist())
+            columns = [part.column("_id"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))]
+            if decoded:
+                columns.append(_texts(vocabulary, ids, first))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     pair = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    return pair.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return pair.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -253,10 +268,8 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids: str = "id
                 lists = part.column("_ids")
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 sizes = [len(x) if (x := s.values) is not None else 0 for s in lists]
-                data, begin = vocabulary.decode(flat, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
-                whole = data.tobytes()
-                texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), lists, pa.array(texts)], names=[id_col, "ids", "decoded"])
+                texts = _texts(vocabulary, flat, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([part.column("_id"), lists, texts], names=[id_col, "ids", "decoded"])
 
     pair = encoded.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{ids}`").alias("_ids"))
     return pair.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")

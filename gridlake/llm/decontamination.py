@@ -15,7 +15,7 @@ from gridlake.llm.suffixes import suffix_array
 from gridlake.llm.texts import NOT_ALNUM, Words, cover, runs, slices, text_bytes, words_of
 
 WINDOW = 10  # words of a phrase; an item of fewer words is one phrase
-SHARD_BYTES = 8 << 20  # text of one shard, or one longer text
+SHARD_BYTES = 4 << 20  # text of one shard, or one longer text
 SAMPLED = 8  # every so many positions of a shard, the suffix array's value is kept
 PASS_WORDS = 1_000_000  # benchmark words that one pass over the texts takes; more make further passes
 

@@ -29,6 +29,7 @@ PERCENT = 80
 FREQUENT = 32  # documents that hold a frequent shingle, at least; raised until FREQUENT_MOST hold
 FREQUENT_MOST = 2_000_000  # frequent shingles that are broadcast, 8 bytes each
 BUCKET_BYTES = 8 << 20  # input bytes per bucket of counted shingles
+SET_BYTES = 2 << 20  # texts whose sets a task makes at once
 STAR = 1000  # members of a star that one task compares with its centre; larger stars are split
 PIVOTS = 4  # pivots a shingle's documents may get, by the shingle
 
@@ -107,7 +108,7 @@ def _group(prefix: np.ndarray, n: int) -> int:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for part in slices(batches, "_text"):
+    for part in slices(batches, "_text", SET_BYTES):
         yield part, shingle_sets(text_bytes(part.column("_text")), size)
 
 

@@ -70,7 +70,7 @@ def round_trip_digests(texts: DataFrame) -> DataFrame:
 @query()
 def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    return round_trip_digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path))
+    return round_trip_digests(bpe.encode(table(spark, folder, "documents"), path, decoded=True))
 
 
 @query()

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 # Fixed value of two contracts: everything in ASCII but digits and lower-case letters (A-Z are folded first).
 NOT_ALNUM = bytes(b for b in range(128) if not (chr(b).isdigit() or chr(b).islower() or chr(b).isupper()))
-SLICE_BYTES = 4 << 20  # texts handled at once in a task; a longer text makes a slice of its own
+SLICE_BYTES = 1 << 20  # texts handled at once in a task; a longer text makes a slice of its own
 CHUNK_BYTES = 1 << 20  # bytes hashed at once, cut between words
 
 _rng = np.random.default_rng(20240229)

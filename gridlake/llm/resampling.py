@@ -79,7 +79,7 @@ def scored(docs: DataFrame, log_ratio: np.ndarray, id_col: str, text: str, seed:
         for part in slices(batches, "_text"):
             n = part.num_rows
             bucket, owner = ngram_buckets(text_bytes(part.column("_text")), len(ratio))
-            weight = np.bincount(owner, weights=ratio[bucket], minlength=n)
+            weight = np.bincount(owner, weights=ratio[bucket], minlength=n).astype(np.float64)
             uniform = (mix(part.column("_noise").to_numpy().view(np.uint64)) >> np.uint64(11)).astype(np.float64)
             key = weight - np.log(-np.log((uniform + 0.5) / (1 << 53)))
             bits = key.view(np.int64)

@@ -61,13 +61,15 @@ def iso_date(text: Column | str) -> Column:
 
 
 def pearson(x: Column | str, y: Column | str) -> Column:
-    """Aggregate: Pearson r over complete pairs; NULL for a constant column or fewer than two pairs.
+    """Aggregate: Pearson r over complete pairs, NaN counting as missing, within [-1, 1]; NULL for a constant
+    column or fewer than two pairs.
 
     The `regr_*` sums skip incomplete pairs by themselves. `corr` raises under ANSI on a constant column.
     """
-    x, y = as_column(x), as_column(y)
+    x, y = nan_to_null(x), nan_to_null(y)
     spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
-    return F.try_divide(F.regr_sxy(y, x), spread)
+    r = F.try_divide(F.regr_sxy(y, x), spread)
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def strip(c: Column | str, chars: str = " \t\r\n\f\v\u00a0") -> Column:

@@ -12,6 +12,7 @@ from gridlake.functions.scalar import (
     SUMMER_MONTHS,
     WINTER_MONTHS,
     local_time,
+    nan_to_null,
     pearson,
     round_to,
     season,
@@ -31,7 +32,8 @@ def mean_over_groups(
 
 
 def monthly_stats(df: DataFrame, ts: str, val: str, digits: int = 0, tz: str | None = None) -> DataFrame:
-    """Mean, peak and low per calendar month."""
+    """Mean, peak and low per calendar month; NaN counts as missing."""
+    val = nan_to_null(val)
     return df.groupBy(truncate(df, ts, "month", tz).alias("month")).agg(
         round_to(F.avg(val), digits).alias("mean"),
         round_to(F.max(val), digits).alias("peak"),

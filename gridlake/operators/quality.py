@@ -6,14 +6,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from gridlake.functions.scalar import round_to, truncate
+from gridlake.functions.scalar import nan_to_null, round_to, truncate
 
 
 def missing_rates(df: DataFrame, cols: list[str] | None = None, digits: int = 2) -> DataFrame:
-    """Missing count and percentage per column, all columns in one pass."""
+    """Missing (NULL or NaN) count and percentage per column, all columns in one pass."""
     cols = cols or df.columns
-    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))}
+    present = {c: nan_to_null(c) if c in floats else F.col(c) for c in cols}
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(present[c].isNull()).alias(c) for c in cols])
     return counts.unpivot("_rows", cols, "column", "missing").select(
         "column", "missing", round_to(F.try_divide(100 * F.col("missing"), F.col("_rows")), digits).alias("missing_pct")
     )

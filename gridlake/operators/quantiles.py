@@ -1,35 +1,35 @@
 """Exact quantiles (linear interpolation) of groups of any size.
 
-Spark's `percentile` keeps every distinct value of a group in one task's memory. That is used only when
-the size estimate of the input is small. Otherwise quantiles are narrowed down by scans whose shuffles
-carry bounded state per group and task:
-
-1. A mergeable sketch (`percentile_approx`) gives a grid of cut points; the two that enclose the wanted
-   rank with a margin form a bracket. Repeating this inside the bracket shrinks it about 85-fold a round.
-2. One last scan counts exactly: values inside a bracket one by one, everything else as one cell per
-   region between brackets. Running counts over those few cells give the value at each rank.
-
-The sketch only decides where to look. If a rank were to fall outside its bracket the query would fail
-rather than return a near value.
+How a group is treated follows from counts that were measured, never from a size estimate. A group of few values
+is aggregated at once (`percentile` keeps a group's distinct values in one task). Larger ones are narrowed down by
+scans whose shuffles carry bounded state per group and task:
+
+1. A mergeable sketch (`percentile_approx`) gives a grid of cut points; the two that enclose the wanted rank with a
+   margin form a bracket. Each round counts what the brackets hold and shrinks them about 85-fold, until the
+   fullest holds few distinct values.
+2. One last scan counts exactly: values inside a bracket one by one, everything else as one cell per region between
+   brackets. Running counts over those few cells give the value at each rank.
+
+The sketch only decides where to look. If a rank were to fall outside its bracket the query would fail rather than
+return a near value.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake.functions.scalar import nan_to_null
 from gridlake.operators.joining import attach
-from gridlake.session import plan_bytes
 from gridlake.sources.tables import settled
 
-SMALL_BYTES = 4 << 20  # estimated input below which `percentile` is used; above, the scans below are faster too
-BY_GRAIN = 1 << 63  # as `small_bytes`: the input's grain (one row per hour, say) keeps it small
+AT_ONCE = 20_000  # measured values of a group up to which it is aggregated at once
 GRID = 256  # cut points per round
 ACCURACY = 10_000  # rank error of the sketch is 1/ACCURACY, far below 1/GRID
-CANDIDATES = 1_000_000  # values a bracket may hold before the exact count
-MOST_ROWS = 1 << 44  # assumed for inputs whose size Spark does not know
+CANDIDATES = 1_000_000  # distinct values a bracket may hold before the exact count
+MOST_ROUNDS = 12  # enough for 1e28 values
 
 
 def quantiles(
@@ -38,23 +38,27 @@ def quantiles(
     probs: list[float],
     by: list[str] | None = None,
     max_groups: int | None = None,
-    small_bytes: int = SMALL_BYTES,
+    at_once: int = AT_ONCE,
+    candidates: int = CANDIDATES,
 ) -> DataFrame:
-    """Per group: `n` non-null values and `q`, the array of quantiles. Groups without values are absent.
+    """Per group: `n` values (neither NULL nor NaN) and `q`, the array of quantiles. Groups without values are absent.
 
-    `max_groups` is a bound on the number of groups that follows from the key (24 hours of a day). Without
-    one, the brackets of a large input are written between the scans: Spark then joins them by their true
-    size, and each scan plans on its own.
+    `max_groups` is a bound on the number of groups that follows from the key (24 hours of a day). The counts per
+    group, and the brackets of groups with more than `at_once` values, are written between the scans, so jobs run
+    while this is called.
     """
     by = by or []
-    data = df.select(*by, F.col(val).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    size = plan_bytes(data)
-    if size <= small_bytes:
-        return data.groupBy(*by).agg(F.count("_v").alias("n"), F.percentile("_v", probs).alias("q"))
-    rows = min(size // 8, MOST_ROWS)
-    rounds = max(1, math.ceil(math.log(max(rows / CANDIDATES, 1.0) * len(probs), GRID / 3)))
-    result = exact_quantiles(data, probs, by, max_groups, rounds)
-    return settled(result, "quantiles") if max_groups is None else result
+    data = df.select(*by, nan_to_null(F.col(val).cast("double")).alias("_v")).filter(F.col("_v").isNotNull())
+    sizes = settled(data.groupBy(*by).agg(F.count("*").alias("_n")), "sizes")
+    least, most = sizes.agg(F.min("_n"), F.max("_n")).first()
+    few = data.groupBy(*by).agg(F.count("_v").alias("n"), F.percentile("_v", probs).alias("q"))
+    if most is None or most <= at_once:
+        return few.filter("n > 0")
+    if least > at_once:
+        return exact_quantiles(data, probs, by, max_groups, candidates)
+    sized = attach(data, sizes, by, max_groups)
+    few = sized.filter(F.col("_n") <= at_once).groupBy(*by).agg(F.count("_v").alias("n"), F.percentile("_v", probs).alias("q"))
+    return exact_quantiles(sized.filter(F.col("_n") > at_once).drop("_n"), probs, by, max_groups, candidates).union(few)
 
 
 def _rank(n: Column, p: float) -> Column:
@@ -77,42 +81,37 @@ def _sketch(value: Column) -> Column:
 
 
 def exact_quantiles(
-    data: DataFrame, probs: list[float], by: list[str], max_groups: int | None = None, rounds: int = 1
+    data: DataFrame, probs: list[float], by: list[str], max_groups: int | None = None, candidates: int = CANDIDATES
 ) -> DataFrame:
     """The bracket method on columns `by` and a non-null double `_v`."""
     v = F.col("_v")
     first = data.groupBy(*by).agg(F.count("*").alias("n"), _sketch(v).alias("_grid"))
-    brackets = first.select(
-        *by, "n", *[c for i, p in enumerate(probs) for c in _next_bracket(F.col("_grid"), F.lit(p), i)]
-    )
-    written = max_groups is None
-    for _ in range(rounds - 1):
-        brackets = settled(brackets, "brackets") if written else brackets
-        seen = attach(data, brackets, by, max_groups)
+    at = [c for i, p in enumerate(probs) for c in _next_bracket(F.col("_grid"), F.lit(p), i)]
+    brackets = settled(first.select(*by, "n", *at), "brackets")
+    for _ in range(MOST_ROUNDS):
         aggs = [F.first("n").alias("n")]
         for i in range(len(probs)):
             inside = (v >= F.col(f"_lo{i}")) & (v <= F.col(f"_hi{i}"))
             aggs += [
                 F.count_if(v < F.col(f"_lo{i}")).alias(f"_below{i}"),
                 F.count_if(inside).alias(f"_in{i}"),
+                F.approx_count_distinct(F.when(inside, v)).alias(f"_values{i}"),
                 _sketch(F.when(inside, v)).alias(f"_grid{i}"),
             ]
-        narrowed = seen.groupBy(*by).agg(*aggs)
-        brackets = narrowed.select(
-            *by,
-            "n",
-            *[
-                c
-                for i, p in enumerate(probs)
-                for c in _next_bracket(
-                    F.col(f"_grid{i}"),
-                    F.try_divide(_rank(F.col("n"), p) - F.col(f"_below{i}"), F.col(f"_in{i}")),
-                    i,
-                )
-            ],
-        )
-    brackets = settled(brackets, "brackets") if written else brackets
-    return _pick(_cells(data, brackets, probs, by, max_groups), probs, by)
+        measured = settled(attach(data, brackets, by, max_groups).groupBy(*by).agg(*aggs), "measured")
+        held = reduce(F.greatest, [F.col(f"_values{i}") for i in range(len(probs))]) if len(probs) > 1 else F.col("_values0")
+        fullest = measured.agg(F.max(held)).first()[0]
+        if fullest is None or fullest <= candidates:
+            return _pick(_cells(data, brackets, probs, by, max_groups), probs, by)
+        at = [
+            c
+            for i, p in enumerate(probs)
+            for c in _next_bracket(
+                F.col(f"_grid{i}"), F.try_divide(_rank(F.col("n"), p) - F.col(f"_below{i}"), F.col(f"_in{i}")), i
+            )
+        ]
+        brackets = settled(measured.select(*by, "n", *at), "brackets")
+    raise ValueError(f"brackets still hold {fullest} values after {MOST_ROUNDS} rounds")
 
 
 def _cells(data: DataFrame, brackets: DataFrame, probs: list[float], by: list[str], max_groups: int | None) -> DataFrame:

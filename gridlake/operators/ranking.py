@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridlake.functions.scalar import round_to
 from gridlake.operators.joining import attach
+from gridlake.sources.tables import settled
 
 
 def top_k(df: DataFrame, val: str, k: int = 10, tie: str | list[str] | None = None) -> DataFrame:
@@ -44,7 +45,7 @@ def top_k_with_rest(
     k-row sort replaces a window over all groups. `round_means` rounds the means before they are summed.
     """
     mean = round_to(F.avg(val), digits) if round_means else F.avg(val)
-    means = df.groupBy(key).agg(mean.alias("mean"))
+    means = settled(df.groupBy(key).agg(mean.alias("mean")), "means")  # read twice: a mean must have one value
     standing = _standing(F.col("mean"), nulls_first)
     best = means.select(key, standing.alias("_standing")).orderBy(F.desc("_standing"), F.asc(key)).limit(k)
     if ties:
@@ -55,7 +56,7 @@ def top_k_with_rest(
         marked = means.join(named, F.col(key).eqNullSafe(F.col("_best")), "left").withColumn(
             "_top", F.coalesce("_hit", F.lit(False))
         )
-    label = F.when(F.col("_top"), F.col(key)).otherwise(F.lit(rest_label))
+    label = F.when(F.col("_top"), F.col(key).cast("string")).otherwise(F.lit(rest_label))
     return marked.groupBy(label.alias(key)).agg(round_to(F.sum("mean"), digits).alias("mean"))
 
 
@@ -67,22 +68,24 @@ def top_share(ranked: DataFrame, k: int = 3, val: str = "mean", key: str = "regi
 
 
 def rank_groups(
-    df: DataFrame, key: str, val: str, k: int | None = None, nulls_first: bool = True, slices: int = 64
+    df: DataFrame, key: str, val: str, k: int | None = None, nulls_first: bool = True, per_slice: int = 100_000
 ) -> DataFrame:
     """RANK() of groups by descending mean.
 
     With `k`, only ranks up to k: Spark prunes to k rows per task ahead of the window. Without it, the
-    distinct means (equal ones counted, so ties cost one row) are cut into value slices by sketched cut
-    points. A mean's rank follows from the groups in higher slices and those above it in its own slice, so
+    distinct means (equal ones counted, so ties cost one row) are cut into value slices of about `per_slice`
+    groups by sketched cut points. A mean's rank follows from the groups in higher slices and those above it in its own slice, so
     no task ranks all groups.
     """
-    means = df.groupBy(key).agg(F.avg(val).alias("mean"))
+    averages = df.groupBy(key).agg(F.avg(val).alias("mean"))
     order = F.desc_nulls_first("mean") if nulls_first else F.desc_nulls_last("mean")
     if k is not None:
-        return means.withColumn("rank", F.rank().over(Window.orderBy(order))).filter(F.col("rank") <= k)
+        return averages.withColumn("rank", F.rank().over(Window.orderBy(order))).filter(F.col("rank") <= k)
 
+    means = settled(averages, "means")  # read for the ranks and joined by value: a mean must have one value
+    slices = max(1, -(-means.count() // per_slice))
     values = means.groupBy("mean").agg(F.count("*").alias("_groups"))
-    cuts = values.agg(F.percentile_approx("mean", [i / slices for i in range(1, slices)]).alias("_cuts"))
+    cuts = values.agg(F.percentile_approx("mean", [i / slices for i in range(1, slices)] or [0.5]).alias("_cuts"))
     above = F.size(F.filter("_cuts", lambda cut: cut > F.col("mean")))  # 0 = highest slice
     null_slice = F.lit(-1 if nulls_first else slices)
     sliced = attach(values, cuts).select(

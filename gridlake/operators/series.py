@@ -60,8 +60,8 @@ def resample(df: DataFrame, ts: str, val: str, every_seconds: int = 3600, keys:
 def gap_ranges(df: DataFrame, ts: str, val: str, every_seconds: int = 3600, keys: list[str] | None = None) -> DataFrame:
     """Runs of consecutive missing slots: first and last slot, and length.
 
-    Runs are built per month first and then joined across month ends, so the last window sees one row per
-    monthly run instead of one per slot.
+    Runs are built per month first. Only those that touch a month's end, two a month at most, can go on in another
+    month and are joined there; all others are complete.
     """
     keys = keys or []
     kind = df.schema[ts].dataType
@@ -70,7 +70,12 @@ def gap_ranges(df: DataFrame, ts: str, val: str, every_seconds: int = 3600, keys
         F.unix_seconds(F.col(ts).cast("timestamp")).alias("_start"),
     ).withColumn("_end", F.col("_start"))
     monthly = _runs(missing, [*keys, "_month"], every_seconds)
-    runs = _runs(monthly, keys, every_seconds)
+    opens = F.unix_seconds(F.col("_month").cast("timestamp"))
+    closes = F.unix_seconds((F.col("_month") + F.expr("INTERVAL 1 MONTH")).cast("timestamp"))
+    at_edge = (F.col("_start") - every_seconds < opens) | (F.col("_end") + every_seconds >= closes)
+    runs = _runs(monthly.filter(at_edge), keys, every_seconds).unionByName(
+        monthly.filter(~at_edge).select(*keys, "_start", "_end")
+    )
     return runs.select(
         *keys,
         F.timestamp_seconds("_start").cast(kind).alias("gap_start"),

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from gridlake.functions.scalar import nan_to_null, pearson
 from gridlake.functions.significance import t_pvalue
+from gridlake.operators.cleaning import valid_pairs
 from gridlake.operators.joining import attach
-from gridlake.operators.quantiles import SMALL_BYTES, quantiles
+from gridlake.operators.quantiles import AT_ONCE, CANDIDATES, quantiles
 from gridlake.operators.ranking import top_k
-from gridlake.session import plan_bytes
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -30,7 +30,8 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     Long form (x, y, r), both triangles, with 1 on the diagonal unless the column is constant.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    sums = df.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    own = {a: F.when(pearson(a, a).isNotNull(), 1.0) for a in cols}
+    sums = df.agg(*[(own[a] if a == b else pearson(a, b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     entries = [
         F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"`{i}`").alias("r"))
         for i, (a, b) in enumerate(pairs)
@@ -39,34 +40,30 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return sums.select(F.inline(F.array(*entries)))
 
 
-def describe(df: DataFrame, cols: list[str], small_bytes: int = SMALL_BYTES) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], at_once: int = AT_ONCE) -> DataFrame:
     """count, mean, std (n-1), min, quartiles and max per column; exact quartiles.
 
-    All columns are read in one aggregation. A large input gets its quartiles by the bracket method.
+    The moments of all columns come from one aggregation, the quartiles from `quantiles`.
     """
     numeric = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    small = plan_bytes(numeric) <= small_bytes
-    no_quartiles = F.lit(None).cast("array<double>")
     rows = [
         F.struct(
             F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
             F.min(c).alias("min"), F.max(c).alias("max"),
-            (F.percentile(c, QUARTILES) if small else no_quartiles).alias("q"),
         )
         for c in cols
     ]
     moments = numeric.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
-    if not small:
-        quarters = quantiles(numeric.unpivot([], cols, "column", "value"), "value", QUARTILES, ["column"], len(cols), 0)
-        moments = attach(moments.drop("q"), quarters.drop("n"), ["column"], len(cols), "left")
+    quarters = quantiles(numeric.unpivot([], cols, "column", "value"), "value", QUARTILES, ["column"], len(cols), at_once)
+    moments = attach(moments, quarters.drop("n"), ["column"], len(cols), "left")
     at = [F.get("q", F.lit(i)).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
     return moments.select("column", "count", "mean", "std", "min", *at, "max")
 
 
 def pearson_test(df: DataFrame, x: str, y: str) -> DataFrame:
-    """r, t, p (two-sided) and n over complete pairs. All but n are NULL below two pairs."""
-    base = df.agg(F.regr_count(y, x).alias("n"), pearson(x, y).alias("_r"))
-    r = F.when(F.col("_r").isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_r"))))
+    """r, t, p (two-sided) and n over complete pairs without NaN. All but n are NULL below two pairs."""
+    base = df.agg(F.regr_count(nan_to_null(y), nan_to_null(x)).alias("n"), pearson(x, y).alias("_r"))
+    r = F.col("_r")
     t = F.try_divide(r * F.sqrt(F.greatest(F.col("n") - 2, F.lit(0))), F.sqrt(1 - r * r))
     tested = base.select("n", r.alias("r"), t.alias("t")).withColumn(
         "_p", t_pvalue("t", F.when(F.col("n") > 2, (F.col("n") - 2).cast("double")))
@@ -84,7 +81,7 @@ def welch_test(df: DataFrame, group: str, a, b, val: str) -> DataFrame:
     """Welch's unequal-variance test of group `a` against group `b`: means, t, degrees of freedom, p."""
 
     def of(which, fn: Column, name: str) -> Column:
-        return fn(F.when(F.col(group) == which, F.col(val))).alias(name)
+        return fn(F.when(F.col(group) == which, nan_to_null(val))).alias(name)
 
     m = df.agg(
         of(a, F.count, "n_a"), of(b, F.count, "n_b"),
@@ -103,27 +100,28 @@ def welch_test(df: DataFrame, group: str, a, b, val: str) -> DataFrame:
 
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line over complete pairs; NULL slope for a constant x."""
+    x, y = nan_to_null(x), nan_to_null(y)
     return df.agg(
         F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_count(y, x).alias("n")
     )
 
 
 def fit_grid(df: DataFrame, x: str, y: str, n: int = 50) -> DataFrame:
-    """n evenly spaced points of the fitted line between the least and the greatest x."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    line = df.filter(both).agg(
+    """n evenly spaced points of the fitted line between the least and the greatest x; a single one is the least."""
+    line = valid_pairs(df, x, y).agg(
         F.regr_slope(y, x).alias("_a"), F.regr_intercept(y, x).alias("_b"),
         F.min(x).alias("_from"), F.max(x).alias("_to"),
     )
     points = line.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
-    at = F.col("_from") + (F.col("_to") - F.col("_from")) * F.col("i") / (n - 1)
+    at = F.col("_from") + (F.col("_to") - F.col("_from")) * F.col("i") / max(n - 1, 1)
     return points.select("i", at.alias("x"), (F.col("_a") * at + F.col("_b")).alias("y"))
 
 
 def with_zscore(df: DataFrame, val: str, out: str = "z") -> DataFrame:
     """Standard score with the sample standard deviation; NULL when the column is constant."""
-    moments = df.agg(F.avg(val).alias("_mean"), F.stddev_samp(val).alias("_sd"))
-    return attach(df, moments).withColumn(out, F.try_divide(F.col(val) - F.col("_mean"), F.col("_sd"))).drop(
+    value = nan_to_null(val)
+    moments = df.agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
+    return attach(df, moments).withColumn(out, F.try_divide(value - F.col("_mean"), F.col("_sd"))).drop(
         "_mean", "_sd"
     )
 
@@ -137,22 +135,25 @@ def zscore_outliers(df: DataFrame, val: str, limit: float = 3) -> DataFrame:
     return with_zscore(df, val).filter(F.abs("z") > limit)
 
 
-def iqr_fences(df: DataFrame, val: str, k: float = 1.5, small_bytes: int = SMALL_BYTES) -> DataFrame:
-    q = quantiles(df, val, [0.25, 0.75], small_bytes=small_bytes)
+def iqr_fences(
+    df: DataFrame, val: str, k: float = 1.5, at_once: int = AT_ONCE, candidates: int = CANDIDATES
+) -> DataFrame:
+    q = quantiles(df, val, [0.25, 0.75], at_once=at_once, candidates=candidates)
     q1, q3 = F.get("q", F.lit(0)), F.get("q", F.lit(1))
     return q.select((q1 - k * (q3 - q1)).alias("low_fence"), (q3 + k * (q3 - q1)).alias("high_fence"))
 
 
-def iqr_outliers(df: DataFrame, val: str, k: float = 1.5, small_bytes: int = SMALL_BYTES) -> DataFrame:
+def iqr_outliers(df: DataFrame, val: str, k: float = 1.5, at_once: int = AT_ONCE) -> DataFrame:
     """Rows outside the quartile fences, with the fences."""
-    fenced = attach(df, iqr_fences(df, val, k, small_bytes))
-    return fenced.filter((F.col(val) < F.col("low_fence")) | (F.col(val) > F.col("high_fence")))
+    fenced = attach(df, iqr_fences(df, val, k, at_once))
+    value = nan_to_null(val)
+    return fenced.filter((value < F.col("low_fence")) | (value > F.col("high_fence")))
 
 
-def iqr_summary(df: DataFrame, val: str, k: float = 1.5, small_bytes: int = SMALL_BYTES) -> DataFrame:
+def iqr_summary(df: DataFrame, val: str, k: float = 1.5, at_once: int = AT_ONCE) -> DataFrame:
     """Fences, outlier count and its share (%) of all rows, rows without a value included."""
-    outside = (F.col(val) < F.col("low_fence")) | (F.col(val) > F.col("high_fence"))
-    return attach(df, iqr_fences(df, val, k, small_bytes)).agg(
+    outside = (nan_to_null(val) < F.col("low_fence")) | (nan_to_null(val) > F.col("high_fence"))
+    return attach(df, iqr_fences(df, val, k, at_once)).agg(
         F.max("low_fence").alias("low_fence"),
         F.max("high_fence").alias("high_fence"),
         F.count_if(outside).alias("outliers"),
@@ -161,17 +162,17 @@ def iqr_summary(df: DataFrame, val: str, k: float = 1.5, small_bytes: int = SMAL
 
 
 def top_outliers(
-    df: DataFrame, val: str, k: int = 10, tie: str | list[str] | None = None, small_bytes: int = SMALL_BYTES
+    df: DataFrame, val: str, k: int = 10, tie: str | list[str] | None = None, at_once: int = AT_ONCE
 ) -> DataFrame:
     """The k largest of the outliers by quartile fences."""
-    return top_k(iqr_outliers(df, val, small_bytes=small_bytes), val, k, tie).drop("low_fence", "high_fence")
+    return top_k(iqr_outliers(df, val, at_once=at_once), val, k, tie).drop("low_fence", "high_fence")
 
 
-def iqr_counts(df: DataFrame, cols: list[str], k: float = 1.5, small_bytes: int = SMALL_BYTES) -> DataFrame:
+def iqr_counts(df: DataFrame, cols: list[str], k: float = 1.5, at_once: int = AT_ONCE) -> DataFrame:
     """Outlier count and non-null count for each of many columns. Outliers are reported, not removed."""
     long = unpivot_numeric(df, cols).filter(F.col("value").isNotNull())
     q1, q3 = F.get("q", F.lit(0)), F.get("q", F.lit(1))
-    fences = quantiles(long, "value", [0.25, 0.75], ["column"], len(cols), small_bytes).select(
+    fences = quantiles(long, "value", [0.25, 0.75], ["column"], len(cols), at_once).select(
         "column", (q1 - k * (q3 - q1)).alias("_low"), (q3 + k * (q3 - q1)).alias("_high")
     )
     outside = (F.col("value") < F.col("_low")) | (F.col("value") > F.col("_high"))
@@ -183,16 +184,16 @@ def iqr_counts(df: DataFrame, cols: list[str], k: float = 1.5, small_bytes: int
 
 
 def box_stats(
-    df: DataFrame, group: str, val: str, k: float = 1.5, max_groups: int | None = None, small_bytes: int = SMALL_BYTES
+    df: DataFrame, group: str, val: str, k: float = 1.5, max_groups: int | None = None, at_once: int = AT_ONCE
 ) -> DataFrame:
     """Per group: n, quartiles, whiskers (the most extreme values within the fences) and outlier count.
 
     A whisker without a value between fence and quartile ends at the quartile.
     """
-    data = df.select(group, F.col(val).cast("double").alias("_v")).filter(
+    data = df.select(group, nan_to_null(F.col(val).cast("double")).alias("_v")).filter(
         F.col(group).isNotNull() & F.col("_v").isNotNull()
     )
-    q = quantiles(data, "_v", QUARTILES, [group], max_groups, small_bytes)
+    q = quantiles(data, "_v", QUARTILES, [group], max_groups, at_once)
     at = [F.get("q", F.lit(i)) for i in range(3)]
     boxes = q.select(
         group, "n", at[0].alias("q1"), at[1].alias("median"), at[2].alias("q3"),
@@ -216,7 +217,7 @@ def standardise_complete(df: DataFrame, cols: list[str]) -> DataFrame:
     in all of them; other rows get NULL."""
     complete = F.lit(True)
     for c in cols:
-        complete = complete & F.col(c).isNotNull()
+        complete = complete & nan_to_null(c).isNotNull()
     moments = df.filter(complete).agg(
         *[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols]
     )
@@ -233,6 +234,7 @@ def standardise_complete(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def minmax(df: DataFrame, col: str) -> DataFrame:
     """Scale to [0, 1]; NULL when the column is constant."""
-    span = df.agg(F.min(col).alias("_min"), F.max(col).alias("_max"))
-    scaled = F.try_divide(F.col(col) - F.col("_min"), F.col("_max") - F.col("_min"))
+    value = nan_to_null(col)
+    span = df.agg(F.min(value).alias("_min"), F.max(value).alias("_max"))
+    scaled = F.try_divide(value - F.col("_min"), F.col("_max") - F.col("_min"))
     return attach(df, span).withColumn(f"{col}_minmax", scaled).drop("_min", "_max")

@@ -129,13 +129,19 @@ def failed_chunks(chunks: DataFrame, landed: DataFrame, key: str = "chunk") -> D
 
 
 def load_report(df: DataFrame, ts: str, start: date, end: date, rule: int | str) -> DataFrame:
-    """Per chunk: rows, first and last stamp returned against those asked for, and the running total."""
+    """Per chunk: rows, first and last stamp returned against those asked for, and the running total.
+
+    Rows outside the asked range (or without a stamp) are one more row without a chunk, if there are any.
+    """
+    outside = F.col(ts).isNull() | (F.col(ts) < F.lit(start)) | (F.col(ts) >= F.date_add(F.lit(end), 1))
+    strays = df.filter(outside).agg(F.count("*").alias("rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
     found = (
-        df.groupBy(chunk_index(F.col(ts), start, rule).alias("chunk"))
+        df.filter(~outside)
+        .groupBy(chunk_index(F.col(ts), start, rule).alias("chunk"))
         .agg(F.count("*").alias("_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
     )
     so_far = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)  # one row per chunk
-    return (
+    asked = (
         chunk_table(df.sparkSession, start, end, rule)
         .join(found, "chunk", "left")
         .withColumn("rows", F.coalesce("_rows", F.lit(0).cast("long")))
@@ -144,3 +150,4 @@ def load_report(df: DataFrame, ts: str, start: date, end: date, rule: int | str)
             F.sum("rows").over(so_far).alias("running_rows"),
         )
     )
+    return asked.unionByName(strays.filter("rows > 0"), allowMissingColumns=True)

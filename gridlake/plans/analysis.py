@@ -11,7 +11,6 @@ from gridlake.functions.scalar import season
 from gridlake.operators import aggregates, quality, ranking, series, statistics
 from gridlake.operators.cleaning import keep_status, rename_project
 from gridlake.operators.joining import join_dim, merge_resampled
-from gridlake.operators.quantiles import BY_GRAIN
 from gridlake.plans.silver import CONSOLIDATED, REALISED
 
 Tables = Mapping[str, DataFrame]
@@ -53,7 +52,7 @@ def regional_base(facts: Tables, dim_region: DataFrame) -> DataFrame:
 
 
 def study(base: DataFrame) -> Tables:
-    """The tables of the study over one hourly base, which its grain keeps small (876,600 hours a century).
+    """The tables of the study over one hourly base.
 
     Every table reads the base, so pass one that is written (`settled`, `publish`).
     """
@@ -63,15 +62,15 @@ def study(base: DataFrame) -> Tables:
         "missing": quality.missing_rates(base, MEASURES, digits=1),
         "gaps": quality.gap_profile(base, "date_heure", val),
         "gaps_per_month": quality.gaps_per_month(base, "date_heure", val),
-        "describe": statistics.describe(base, [val], BY_GRAIN),
+        "describe": statistics.describe(base, [val]),
         "monthly": aggregates.monthly_stats(base, "date_heure", val),
         "peaks": ranking.top_k(base.select("date_heure", val), val, 10, "date_heure"),
         "hour_profile": aggregates.profile(base, "date_heure", val, "hour"),
         "correlation_matrix": statistics.corr_matrix(base, MEASURES),
-        "iqr": statistics.iqr_summary(base, val, small_bytes=BY_GRAIN),
+        "iqr": statistics.iqr_summary(base, val),
         "seasons": aggregates.season_table(base, "date_heure", val),
         "season_boxes": statistics.box_stats(
-            seasons.filter(F.col("saison") != "intersaison"), "saison", val, max_groups=3, small_bytes=BY_GRAIN
+            seasons.filter(F.col("saison") != "intersaison"), "saison", val, max_groups=3
         ),
         "season_test": statistics.welch_test(seasons, "saison", "hiver", "ete", val),
         "temperature_test": statistics.pearson_test(base, "temperature_c", val),

@@ -9,8 +9,9 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from gridlake.functions.scalar import nan_to_null
 from gridlake.operators.aggregates import freshness
 from gridlake.operators.cleaning import coerce_numeric, require
 from gridlake.operators.time_windows import recent
@@ -105,23 +106,33 @@ READERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 PART = "part"
 
 
-def land(spark: SparkSession, fact: Fact, rows: DataFrame, root: str, batch_id: int) -> None:
+def land(spark: SparkSession, fact: Fact, rows: DataFrame, root: str, batch_id: int) -> dict[str, int]:
     """Upsert one source's batch: documents apply in `seq` order, their rows in theirs.
 
     The fact is stored by month of its stamp (news by bucket of its address), and only the partitions the
-    batch touches are rewritten.
+    batch touches are rewritten. NaN is stored as NULL. Rows that lack a required field are not landed; they are
+    counted by the first field they lack, and the counts are returned.
     """
     order = F.struct(*[c for c in ("seq", "pos") if c in rows.columns])
-    batch = (
-        require(rows, fact.must_have())
+    doubles = [f.name for f in fact.schema if isinstance(f.dataType, DoubleType)]
+    lacks = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in fact.must_have()])
+    parsed = (
+        rows.withColumns({c: nan_to_null(c) for c in doubles})
         .withColumn("_seq", order)
         .withColumn(PART, fact.partition())
-        .select(*fact.schema.fieldNames(), PART, "_seq")
-    )
-    upsert_partitions(
-        spark, f"{root}/{fact.name}", batch, [*fact.key, PART], fact.updates, "_seq", PART, batch_id,
-        f"{root}/staged/{fact.name}",
+        .withColumn("_reason", lacks)
+        .select(*fact.schema.fieldNames(), PART, "_seq", "_reason")
+        .persist()  # parsed once: for its fingerprint, the partitions it touches, the merge, and the counts
     )
+    try:
+        upsert_partitions(
+            spark, f"{root}/{fact.name}", parsed.filter("_reason IS NULL").drop("_reason"), [*fact.key, PART],
+            fact.updates, "_seq", PART, batch_id, f"{root}/staged/{fact.name}",
+        )
+        counts = parsed.filter("_reason IS NOT NULL").groupBy("_reason").count().collect()  # a row per required field
+        return {r["_reason"]: r["count"] for r in counts}
+    finally:
+        parsed.unpersist()
 
 
 def read_fact(spark: SparkSession, fact: Fact, root: str) -> DataFrame:
@@ -135,24 +146,26 @@ def read_fact(spark: SparkSession, fact: Fact, root: str) -> DataFrame:
 
 def run(
     spark: SparkSession, sources: Mapping[str, DataFrame], root: str, as_of: Column, batch_id: int
-) -> tuple[Tables, DataFrame, dict[str, str]]:
+) -> tuple[Tables, DataFrame, dict[str, str], dict[str, dict[str, int]]]:
     """One daily run on the tables under `root`; `batch_id` numbers the runs, and a run may be repeated.
 
-    `sources` maps a fact to its raw documents (or pages). Returns the gold tables, the freshness report and
-    the errors of failed sources. A failed source keeps its previous table.
+    `sources` maps a fact to its raw documents (or pages). Returns the gold tables, the freshness report, the
+    errors of failed sources, and for each landed source its rejected rows by reason. A failed source keeps its
+    previous table.
     """
     errors: dict[str, str] = {}
+    rejected: dict[str, dict[str, int]] = {}
     for name, fact in FACTS.items():
         try:
             docs = sources[name]
             rows = news_rows(docs, as_of) if name == "fact_actualites" else READERS[name](docs)
-            land(spark, fact, rows, root, batch_id)
+            rejected[name] = land(spark, fact, rows, root, batch_id)
         except Exception as error:  # one source must not block the others
-            errors[name] = f"{type(error).__name__}: {error}"[:500]
+            errors[name] = f"{type(error).__name__}: {error}"
     facts = {name: read_fact(spark, fact, root) for name, fact in FACTS.items()}
     published = publish_gold(gold(silver(facts)), f"{root}/gold")
     report = freshness([(f.name, facts[f.name], f.stamp) for f in FACTS.values()], as_of)
-    return published, report, errors
+    return published, report, errors, rejected
 
 
 def check_sources(facts: Tables) -> dict[str, DataFrame]:

@@ -302,6 +302,32 @@ def load_report(t: Tables) -> DataFrame:
     return time_windows.load_report(t.events, "ts", START, END, 7)
 
 
+@query(
+    """WITH c AS (SELECT * FROM (VALUES (0, DATE '2024-01-10', DATE '2024-01-17'), (1, DATE '2024-01-17', DATE '2024-01-21')) AS c(chunk, a, b)),
+    n AS (SELECT chunk, a, b, count(ts) AS rows, min(ts) AS first_ts, max(ts) AS last_ts FROM c LEFT JOIN events ON ts >= a AND ts < b GROUP BY chunk, a, b)
+    SELECT CAST(chunk AS INTEGER) AS chunk, a AS chunk_start, b AS chunk_end, rows, first_ts, last_ts,
+      CAST(sum(rows) OVER (ORDER BY chunk) AS BIGINT) AS running_rows FROM n
+    UNION ALL SELECT NULL, NULL, NULL, count(*), min(ts), max(ts), NULL FROM events WHERE ts < DATE '2024-01-10' OR ts >= DATE '2024-01-21'"""
+)
+def load_report_strays(t: Tables) -> DataFrame:
+    """Asked for eleven days; whatever else was returned is reported too."""
+    return time_windows.load_report(t.events, "ts", date(2024, 1, 10), date(2024, 1, 20), 7)
+
+
+@query(
+    """SELECT user_id, CAST(ts AS DATE) AS day, event_type, max(event_id) AS last_id, -arg_max(value, event_id) AS value
+    FROM events GROUP BY ALL"""
+)
+def upsert_corrected(t: Tables) -> DataFrame:
+    """The same batch number landed twice, the second time with corrected values."""
+    folder = work_dir(t.spark, "corrected")
+    rows = t.events.select("user_id", F.col("ts").cast("date").alias("day"), "event_type", F.col("event_id").alias("last_id"), "value", F.col("event_id").alias("seq"))
+    for sign in (1, -1):
+        batch = rows.withColumn("value", sign * F.col("value"))
+        upsert_partitions(t.spark, f"{folder}/table", batch, UPSERT_KEY, ["last_id", "value"], "seq", "day", 0, f"{folder}/staged")
+    return t.spark.read.parquet(f"{folder}/table").select(*UPSERT_KEY, "last_id", "value")
+
+
 @query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'O' THEN NULL WHEN o_orderstatus = 'P' THEN '' ELSE 'a \"b\", c' END AS note FROM orders")
 def csv_roundtrip(t: Tables) -> DataFrame:
     """NULL, empty and quoted text, stamps and doubles through CSV."""

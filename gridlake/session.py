@@ -57,6 +57,15 @@ def path_status(spark: SparkSession, path: str) -> str | None:
     return "dir" if fs.getFileStatus(jvm_path).isDirectory() else "file"
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in order; none when there is no such folder."""
+    if path_status(spark, path) != "dir":
+        return []
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    return sorted(f.getPath().getName() for f in found)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this engine wrote, if it is there."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

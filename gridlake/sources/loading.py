@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators.joining import attach
 from gridlake.operators.quality import repeated_keys
-from gridlake.session import delete_path, path_status
+from gridlake.session import child_names, delete_path, path_status
 
 
 def mark_constraints(df: DataFrame, not_null: list[str], key: list[str]) -> DataFrame:
@@ -65,12 +65,25 @@ def upsert_partitions(
     """Upsert a batch into a parquet table partitioned by `part`, rewriting only the partitions it touches.
 
     `part` must follow from the key. The merged partitions are first written to `staging` under the batch's
-    number and then moved in. A batch that is run again after a failure finds that copy complete and only
-    repeats the move, so a half-done move cannot lose rows. `staging` belongs to one series of batch
-    numbers (a stream keeps it in its checkpoint folder).
+    number, the attempt's and a fingerprint of its rows, and then moved in. A number that is run again first
+    repeats the moves of its earlier attempts, so a half-done move cannot lose rows. If the rows are the same,
+    that is all; corrected rows are then merged as a further attempt. The copies of other numbers are deleted
+    once the batch is in. `staging` belongs to one series of batch numbers (a stream keeps it in its
+    checkpoint folder).
     """
-    staged = f"{staging}/batch={batch_id}"
-    if path_status(spark, f"{staged}/_SUCCESS") is None:
+    schema = batch.drop(seq).schema
+
+    def move(staged: str) -> None:
+        rows = spark.read.schema(schema).parquet(staged).write.mode("overwrite")
+        rows.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+    count, mixed = batch.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64(*batch.columns)), F.lit(0))).first()
+    fingerprint = f"{count}.{mixed & 0xFFFFFFFFFFFFFFFF:016x}"
+    own = f"{staging}/batch={batch_id}"
+    done = [a for a in child_names(spark, own) if path_status(spark, f"{own}/{a}/_SUCCESS")]
+    for attempt in done:
+        move(f"{own}/{attempt}")
+    if not done or done[-1].partition("-")[2] != fingerprint:
         cols = [c for c in batch.columns if c != seq]
         if path_status(spark, path) is None:
             current = batch.select(*cols).limit(0)
@@ -78,10 +91,10 @@ def upsert_partitions(
             # one value per touched partition, so that the scan lists and reads those only
             touched = [row[0] for row in batch.select(part).distinct().collect()]
             current = spark.read.schema(batch.select(*cols).schema).parquet(path).filter(F.col(part).isin(touched))
+        staged = f"{own}/{len(done):06d}-{fingerprint}"
         merged = upsert(current.select(*cols), batch, key, update_cols, seq)
         merged.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(staged)
-    schema = batch.drop(seq).schema
-    moved = spark.read.schema(schema).parquet(staged).write.mode("overwrite")
-    moved.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
-    if batch_id > 0:
-        delete_path(spark, f"{staging}/batch={batch_id - 1}")  # superseded: its batch is committed
+        move(staged)
+    for other in child_names(spark, staging):
+        if other != f"batch={batch_id}":
+            delete_path(spark, f"{staging}/{other}")  # superseded: this batch is committed

@@ -32,8 +32,10 @@ def stream_upsert(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read twice: for the partitions it touches, and to merge it
-        upsert_partitions(spark, path, batch, key, update_cols, seq, part, batch_id, f"{checkpoint}/staged")
-        batch.unpersist()
+        try:
+            upsert_partitions(spark, path, batch, key, update_cols, seq, part, batch_id, f"{checkpoint}/staged")
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(merge)

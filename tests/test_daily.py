@@ -106,8 +106,9 @@ def fact(spark, base, version, name):
 
 
 def test_first_run_lands_every_source(spark, runs):
-    base, (_, _, errors), _ = runs
+    base, (_, _, errors, rejected), _ = runs
     assert errors == {}
+    assert rejected == {name: {} for name in FACTS}
     conso = {(r.start_date.hour, r.start_date.minute, r.type): r.value_mw for r in fact(spark, base, "v1", "fact_consommation").collect()}
     assert conso == {(9, 0, "REALISED"): 120.0, (9, 15, "REALISED"): 110.0, (12, 0, "REALISED"): 90.0, (9, 0, "D-1"): 1.0}
     prices = {r.date_heure.hour * 100 + r.date_heure.minute: r.prix_eur_mwh for r in fact(spark, base, "v1", "fact_prix_marche").collect()}
@@ -129,7 +130,7 @@ def test_news_keeps_title_and_date_of_first_landing(spark, runs):
 
 
 def test_second_run_updates_and_survives_a_missing_source(spark, runs):
-    base, _, (gold, report, errors) = runs
+    base, _, (gold, report, errors, _) = runs
     assert list(errors) == ["fact_prix_marche"]
     values = {r.value_mw for r in fact(spark, base, "v2", "fact_consommation").filter("type = 'REALISED'").collect()}
     assert values == {120.0, 111.0, 90.0, 80.0}
@@ -174,3 +175,21 @@ def test_constraints_hold_after_landing(spark, runs):
     base, *_ = runs
     broken = daily.check_sources({n: fact(spark, base, "v1", n) for n in FACTS})
     assert {n: d.count() for n, d in broken.items()} == {n: 0 for n in FACTS}
+
+
+def test_rejected_rows_are_counted_and_corrections_of_a_number_land(spark, tmp_path):
+    root, name = str(tmp_path / "facts"), "fact_consommation"
+    stamp = "2026-01-05T10:00:00+01:00"
+
+    def land(value):
+        rows = daily.consumption_rows(docs(spark, consumption((stamp, value), (None, 5.0))))
+        return daily.land(spark, FACTS[name], rows, root, 0)
+
+    def landed():
+        return [r.value_mw for r in daily.read_fact(spark, FACTS[name], root).collect()]
+
+    assert land(float("nan")) == {"null start_date": 1, "null value_mw": 1}  # NaN is missing, and this is required
+    assert landed() == []
+    for value in (1.0, 99.0, 99.0):
+        assert land(value) == {"null start_date": 1}
+        assert landed() == [value]

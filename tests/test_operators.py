@@ -10,7 +10,7 @@ from gridlake.functions.scalar import iso_date, local_time, round_to, season, to
 from gridlake.functions.significance import t_two_sided
 from gridlake.operators import aggregates, cleaning, joining, quality, ranking, series, time_windows
 from gridlake.operators import statistics as st
-from gridlake.operators.quantiles import BY_GRAIN
+from gridlake.operators.quantiles import AT_ONCE
 from gridlake.sources.loading import enforce_constraints, upsert, upsert_partitions
 from gridlake.sources.tables import publish, publish_table, read_csv, write_csv
 
@@ -119,16 +119,16 @@ def test_scaling(spark):
 def test_outliers_are_strict_and_counted_over_all_rows(spark):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 50.0, None, None]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    s = st.iqr_summary(df, "x", small_bytes=BY_GRAIN).first()
+    s = st.iqr_summary(df, "x", at_once=AT_ONCE).first()
     assert (s.outliers, s.outlier_pct) == (1, 12.5)
-    assert rows(st.iqr_counts(df.withColumn("y", F.lit(1.0)), ["x", "y"], small_bytes=BY_GRAIN), "column") == [("x", 1, 6), ("y", 0, 8)]
-    assert [r.x for r in st.top_outliers(df, "x", 3, small_bytes=BY_GRAIN).collect()] == [50.0]
+    assert rows(st.iqr_counts(df.withColumn("y", F.lit(1.0)), ["x", "y"], at_once=AT_ONCE), "column") == [("x", 1, 6), ("y", 0, 8)]
+    assert [r.x for r in st.top_outliers(df, "x", 3, at_once=AT_ONCE).collect()] == [50.0]
 
 
 def test_describe_with_null_column_and_nan(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (float("nan"), None)], "x double, y double")
-    for small_bytes in (0, BY_GRAIN):
-        d = {r.column: r for r in st.describe(df, ["x", "y"], small_bytes).collect()}
+    for at_once in (0, AT_ONCE):
+        d = {r.column: r for r in st.describe(df, ["x", "y"], at_once).collect()}
         assert (d["x"]["count"], d["x"].mean, d["x"].p50, d["x"].max) == (2, 1.5, 1.5, 2.0)
         assert (d["y"]["count"], d["y"].mean, d["y"].p25) == (0, None, None)
 
@@ -171,7 +171,7 @@ def test_rank_without_one_window_over_all(spark, nulls_first):
     want = {"a": 1, "b": 1, "c": 3, "d": 3, "f": 5, "e": 6, "n": 7}
     if nulls_first:
         want = {k: v + 1 for k, v in want.items() if k != "n"} | {"n": 1}
-    got = {r.region: r.rank for r in ranking.rank_groups(df, "region", "v", nulls_first=nulls_first, slices=4).collect()}
+    got = {r.region: r.rank for r in ranking.rank_groups(df, "region", "v", nulls_first=nulls_first, per_slice=2).collect()}
     assert got == want
     top = {r.region: r.rank for r in ranking.rank_groups(df, "region", "v", 3, nulls_first).collect()}
     assert top == {k: v for k, v in want.items() if v <= 3}
@@ -378,6 +378,43 @@ def test_stored_upsert_touches_only_its_partitions_and_survives_a_replay(spark,
     assert table() == want
 
 
+def test_nan_is_missing_in_every_statistic(spark):
+    nan = float("nan")
+    data = [(1.0, 2.0, "a"), (2.0, 4.5, "a"), (nan, 1.0, "b"), (3.0, 5.0, "b"), (4.0, nan, "b"), (5.0, 1.0, "b")]
+    null = [tuple(None if v != v else v for v in r) for r in data]
+    df, clean = (spark.createDataFrame(d, "x double, y double, g string") for d in (data, null))
+    for stat in (
+        lambda d: st.pearson_test(d, "x", "y"), lambda d: st.welch_test(d, "g", "a", "b", "x"), lambda d: st.linear_fit(d, "x", "y"),
+        lambda d: st.fit_grid(d, "x", "y", 3), lambda d: st.corr_matrix(d, ["x", "y"]), lambda d: st.iqr_fences(d, "x"),
+        lambda d: st.iqr_summary(d, "x"), lambda d: st.zscore_outliers(d, "x", 0.5).select("z"), lambda d: st.iqr_outliers(d, "x", 0.1).select("x"),
+        lambda d: st.standardise(d, "x").select("x_z"), lambda d: st.minmax(d, "x").select("x_minmax"),
+        lambda d: st.standardise_complete(d, ["x", "y"]).select("x_z", "y_z"), lambda d: st.box_stats(d, "g", "x"),
+    ):
+        assert sorted(map(str, stat(df).collect())) == sorted(map(str, stat(clean).collect()))
+    assert {r.r for r in st.corr_matrix(df, ["x", "y"]).filter("x = y").collect()} == {1.0}
+    assert st.fit_grid(clean, "x", "y", 1).count() == 1
+
+
+def test_a_wide_compressed_table_gives_exact_quartiles(spark):
+    df = spark.range(200_000).select((F.col("id") * 0.5).alias("x"), *[F.lit("same").alias(f"c{i}") for i in range(20)])
+    fences = st.iqr_fences(df, "x", candidates=5000).first()
+    assert tuple(fences) == (24999.875 - 1.5 * 49999.75, 74999.625 + 1.5 * 49999.75)
+
+
+def test_gaps_cross_months_and_missing_slots_need_no_single_task(spark):
+    hours = spark.range(24 * 70).select(F.timestamp_seconds(1735689600 + F.col("id") * 3600).alias("ts"), "id")
+    every_second = hours.withColumn("v", F.when(F.col("id") % 2 == 0, 1.0))
+    gaps = series.gap_ranges(every_second, "ts", "v")
+    assert gaps.count() == 24 * 35 and gaps.filter("slots = 1").count() == 24 * 35
+    long = hours.withColumn("v", F.when((F.col("id") < 700) | (F.col("id") > 1500), 1.0))
+    assert [(r.slots) for r in series.gap_ranges(long, "ts", "v").collect()] == [801]
+
+
+def test_numeric_keys_take_a_text_label(spark):
+    df = spark.createDataFrame([(i % 5, float(i % 5)) for i in range(50)], "k int, v double")
+    assert {(r.k, r["mean"]) for r in ranking.top_k_with_rest(df, "k", "v", 2, "rest").collect()} == {("4", 4.0), ("3", 3.0), ("rest", 3.0)}
+
+
 def test_csv_round_trip(spark, tmp_path):
     schema = "i int, s string, d double, ts timestamp_ntz, z timestamp, day date"
     data = [

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridlake.operators.quantiles import BY_GRAIN, exact_quantiles, quantiles
+from gridlake.operators.quantiles import AT_ONCE, exact_quantiles, quantiles
 from gridlake.operators.statistics import box_stats
 
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
@@ -27,42 +27,45 @@ def rows(spark):
     return spark.createDataFrame(data, "shape string, _v double").repartition(6).cache()
 
 
-@pytest.mark.parametrize("rounds", [1, 2, 3])
+@pytest.mark.parametrize("candidates", [10_000, 60, 8])
 @pytest.mark.parametrize("bounded", [True, False])
-def test_groups_equal_numpy(rows, rounds, bounded):
-    got = exact_quantiles(rows, PROBS, ["shape"], len(SHAPES) if bounded else None, rounds).collect()
+def test_groups_equal_numpy(rows, candidates, bounded):
+    got = exact_quantiles(rows, PROBS, ["shape"], len(SHAPES) if bounded else None, candidates).collect()
     assert {r.shape: r.n for r in got} == {k: len(v) for k, v in SHAPES.items()}
     for r in got:
         np.testing.assert_allclose(r.q, np.quantile(SHAPES[r.shape], PROBS), rtol=1e-12, err_msg=r.shape)
 
 
-@pytest.mark.parametrize("rounds", [1, 3])
-def test_whole_table_equals_numpy(rows, rounds):
+@pytest.mark.parametrize("candidates", [10_000, 8])
+def test_whole_table_equals_numpy(rows, candidates):
     everything = np.concatenate(list(SHAPES.values()))
-    got = exact_quantiles(rows, PROBS, [], None, rounds).first()
+    got = exact_quantiles(rows, PROBS, [], None, candidates).first()
     np.testing.assert_allclose(got.q, np.quantile(everything, PROBS), rtol=1e-12)
 
 
 def test_small_and_large_path_agree(rows):
-    small = {r.shape: r.q for r in quantiles(rows, "_v", PROBS, ["shape"], small_bytes=BY_GRAIN).collect()}
-    large = {r.shape: r.q for r in quantiles(rows, "_v", PROBS, ["shape"], small_bytes=0).collect()}
+    small = {r.shape: r.q for r in quantiles(rows, "_v", PROBS, ["shape"], at_once=AT_ONCE).collect()}
+    large = {r.shape: r.q for r in quantiles(rows, "_v", PROBS, ["shape"], at_once=0).collect()}
+    mixed = {r.shape: r.q for r in quantiles(rows, "_v", PROBS, ["shape"], at_once=950).collect()}
+    assert mixed.keys() == small.keys()
     for shape, q in small.items():
+        np.testing.assert_allclose(mixed[shape], q, rtol=1e-12)
         np.testing.assert_allclose(large[shape], q, rtol=1e-12)
 
 
 def test_nulls_and_null_groups(spark):
     data = [(None, 1.0), (None, 3.0), ("a", None), ("a", 5.0), ("b", None)]
     df = spark.createDataFrame(data, "g string, x double")
-    for small_bytes in (0, BY_GRAIN):
-        got = {r.g: (r.n, r.q) for r in quantiles(df, "x", [0.5], ["g"], small_bytes=small_bytes).collect()}
+    for at_once in (0, AT_ONCE):
+        got = {r.g: (r.n, r.q) for r in quantiles(df, "x", [0.5], ["g"], at_once=at_once).collect()}
         assert got == {None: (2, [2.0]), "a": (1, [5.0])}
 
 
-@pytest.mark.parametrize("small_bytes", [0, BY_GRAIN])
-def test_box_whiskers(spark, small_bytes):
+@pytest.mark.parametrize("at_once", [0, AT_ONCE])
+def test_box_whiskers(spark, at_once):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 100.0, -50.0]
     df = spark.createDataFrame([("a", v) for v in values] + [("a", None), (None, 1.0)], "g string, x double")
-    box = box_stats(df, "g", "x", small_bytes=small_bytes).collect()
+    box = box_stats(df, "g", "x", at_once=at_once).collect()
     assert len(box) == 1
     b = box[0]
     assert (b.n, b.q1, b.median, b.q3) == (11, 2.5, 5.0, 7.5)
@@ -73,7 +76,7 @@ def test_quartile_is_the_whisker_when_no_value_lies_between(spark):
     # q3 is interpolated above every value inside the fence
     values = [0.0, 0.0, 0.0, 1.0, 100.0]
     df = spark.createDataFrame([("a", v) for v in values], "g string, x double")
-    b = box_stats(df, "g", "x", k=0.1, small_bytes=BY_GRAIN).first()
+    b = box_stats(df, "g", "x", k=0.1, at_once=AT_ONCE).first()
     assert b.whisker_high == b.q3 == 1.0 and b.whisker_low == 0.0 and b.outliers == 1
 
 

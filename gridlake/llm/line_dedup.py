@@ -97,9 +97,12 @@ def repeated_lines(docs: DataFrame, id_col: str, text: str, least: int, rare: in
     keyed = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text")).withColumn("_hash", F.xxhash64("_text"))
     lines = line_table(keyed, kind)
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_hash"))
-    long_lines = lines.withColumn("at", order).select("at", F.explode(F.arrays_zip("lines", "words", "places")).alias("x")).filter(F.col("x.words") >= least)
-    held = long_lines.select("at", F.col("x.lines").alias("line"), F.col("x.places").alias("place"))
-    holders = held.select("line", "at").distinct().groupBy("line").agg(F.count("*").alias("n"), F.min("at").alias("first")).filter("n > 1")
+    long_lines = lines.withColumn("at", order).select("at", F.filter(F.arrays_zip("lines", "words", "places"), lambda x: x["words"] >= least).alias("x"))
+    held = long_lines.select("at", F.explode("x").alias("x")).select("at", F.col("x.lines").alias("line"), F.col("x.places").alias("place"))
+    # A row of `lines` is a whole document, so its lines are made distinct in place. Written holders leave the hot
+    # lines' rows to a plain join of two shuffles (or a broadcast by measured size), which Spark can split.
+    once = long_lines.select("at", F.explode(F.array_distinct("x.lines")).alias("line"))
+    holders = settled(once.groupBy("line").agg(F.count("*").alias("n"), F.min("at").alias("first")).filter("n > 1"), "holders")
     later = held.join(holders, "line").filter("at <> first")
     met = settled(later.select("at", "first", "place", (F.col("n") <= rare).alias("rare")), "shared_lines")
 

@@ -37,8 +37,8 @@ def gaps_per_month(df: DataFrame, ts: str, val: str) -> DataFrame:
     )
 
 
-def missing_indicator(df: DataFrame, ts: str, val: str) -> DataFrame:
-    return df.select(ts, F.col(val).isNull().cast("int").alias("missing"))
+def missing_indicator(df: DataFrame, ts: str, val: str, keep: list[str] | None = None) -> DataFrame:
+    return df.select(ts, *(keep or []), F.col(val).isNull().cast("int").alias("missing"))
 
 
 def dup_count(df: DataFrame, key: list[str]) -> DataFrame:

@@ -34,17 +34,17 @@ def attribute(tag: Column, name: str) -> Column:
     return F.regexp_replace(quoted, r"""^["']|["']$""", "")
 
 
-def extract_links(pages: DataFrame, html: str, base: str, page: str) -> DataFrame:
+def extract_links(pages: DataFrame, html: str, base: str, page: str, keep: list[str] | None = None) -> DataFrame:
     """Distinct root-relative link targets of each page, the site's own address removed.
 
-    Gives the path and the absolute address. Each page is one row, so its links are made distinct inside
+    Gives the path, the absolute address and the columns to `keep`. Each page is one row, so its links are made distinct inside
     the row and nothing is shuffled.
     """
     hrefs = F.transform(tags(html, "a"), lambda tag: attribute(tag, "href"))
     paths = F.array_distinct(F.transform(hrefs, lambda h: _own_path(unescape(h), base)))
     rooted = F.filter(paths, lambda path: F.startswith(path, F.lit("/")))
-    found = unnest(pages, [page], rooted, "_pos", "path")
-    return found.select(page, "path", F.concat(F.lit(base), "path").alias("link"))
+    found = unnest(pages, [page, *(keep or [])], rooted, "_pos", "path")
+    return found.select(page, "path", F.concat(F.lit(base), "path").alias("link"), *(keep or []))
 
 
 def _own_path(href: Column, base: str) -> Column:
@@ -116,8 +116,8 @@ def frontier(
     """Per listing page, in order: links found and links not seen on an earlier page, up to and including
     the first page that brings none (`reached`). A link is new on the first page that shows it.
 
-    `links` is distinct per page, as `extract_links` gives it. `listing` has one row per page, also for
-    pages without links.
+    `links` is distinct per page, as `extract_links` gives it, and read twice: a written table saves parsing the
+    pages again. `listing` has one row per page, also for pages without links.
     """
     found = links.groupBy(page).agg(F.count("*").alias("found"))
     fresh = links.groupBy(link).agg(F.min(page).alias(page)).groupBy(page).agg(F.count("*").alias("new"))

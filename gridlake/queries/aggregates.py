@@ -153,11 +153,9 @@ def latest(t: Tables) -> DataFrame:
 )
 def freshness(t: Tables) -> DataFrame:
     as_of = aggregates.latest(t.events, "ts").select("latest").scalar()
-    sources = [
-        (kind, t.events.filter(F.col("event_type") == kind), "ts")
-        for kind in ("view", "click", "signup", "purchase", "error", "none")
-    ]
-    return aggregates.freshness([*sources, ("orders", t.orders, "o_orderdate")], as_of)
+    kinds = ["view", "click", "signup", "purchase", "error", "none"]
+    orders = aggregates.freshness([("orders", t.orders, "o_orderdate")], as_of)
+    return aggregates.freshness_by(t.events, "event_type", "ts", kinds, as_of).unionByName(orders)
 
 
 @query(

@@ -72,9 +72,7 @@ def distinct_rows(t: Tables) -> DataFrame:
 
 @query(f"WITH {SERIES_SQL} SELECT ts, half_up(value, 4) AS value, CAST(value IS NULL AS INTEGER) AS missing FROM series")
 def hourly_series(t: Tables) -> DataFrame:
-    resampled = purchases(t)
-    flags = quality.missing_indicator(resampled, "ts", "value")
-    return presented(resampled.join(flags, "ts"))
+    return presented(quality.missing_indicator(purchases(t), "ts", "value", keep=["value"]))
 
 
 def purchases(t: Tables) -> DataFrame:

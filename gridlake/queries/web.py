@@ -9,6 +9,7 @@ from gridlake.operators import web
 from gridlake.operators.joining import new_only
 from gridlake.operators.quality import union_distinct
 from gridlake.queries.registry import Tables, query
+from gridlake.sources.tables import settled
 
 # The address the test pages' links hang under, and a path pattern that some of them match.
 BASE = "https://www.example.com"
@@ -42,6 +43,11 @@ def kept(t: Tables) -> DataFrame:
     return web.filter_links(links(t), PATTERN, EXCLUDED)
 
 
+def written(t: Tables) -> DataFrame:
+    """The kept links as narrow rows, written so that what reads them twice does not parse the pages twice."""
+    return settled(kept(t).select("page_id", "link"), "kept_links")
+
+
 @query(f"WITH {LINKS_SQL} SELECT * FROM links")
 def page_links(t: Tables) -> DataFrame:
     return links(t)
@@ -63,12 +69,12 @@ def article_links(t: Tables) -> DataFrame:
 
 @query(f"WITH {FRONTIER_SQL} SELECT page_id, found, new FROM reached")
 def frontier(t: Tables) -> DataFrame:
-    return web.frontier(kept(t), t.pages, "page_id", "link")
+    return web.frontier(written(t), t.pages, "page_id", "link")
 
 
 @query(f"WITH {FRONTIER_SQL} SELECT DISTINCT link FROM kept JOIN reached USING (page_id)")
 def crawl_links(t: Tables) -> DataFrame:
-    found = kept(t)
+    found = written(t)
     return web.crawl_links(found, web.frontier(found, t.pages, "page_id", "link"), "page_id", "link")
 
 
@@ -93,7 +99,8 @@ def union_links(t: Tables) -> DataFrame:
 
 def by_language(t: Tables) -> tuple[DataFrame, DataFrame]:
     lang = F.regexp_extract("html", '<html lang="([a-z]+)"', 1)
-    tagged = links(t).join(t.pages.select("page_id", lang.alias("lang")), "page_id")
+    pages = t.pages.withColumn("lang", lang)
+    tagged = settled(web.extract_links(pages, "html", BASE, "page_id", keep=["lang"]).select("link", "lang"), "tagged_links")
     return tagged.filter(F.col("lang") == "en").select("link"), tagged.filter(F.col("lang") != "en").select("link")
 
 

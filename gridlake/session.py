@@ -66,6 +66,13 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in found)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder within its file system; `to` must not exist."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this engine wrote, if it is there."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

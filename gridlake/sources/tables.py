@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from gridlake.session import work_dir
+from gridlake.session import delete_path, move_path, path_status, work_dir
 
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ZONED_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -33,12 +33,25 @@ def read_jdbc(
 
 
 def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Replace a result table and read it back from storage."""
+    """Replace a result table and read it back from storage.
+
+    The new table is written whole beside the old one and then takes its place, so a job that fails leaves the old
+    table as it was. A switch that was cut short is first undone by the next call.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    beside, old = f"{path}.next", f"{path}.old"
+    if path_status(spark, path) is None and path_status(spark, old):
+        move_path(spark, old, path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer.parquet(beside)
+    delete_path(spark, old)
+    if path_status(spark, path):
+        move_path(spark, path, old)
+    move_path(spark, beside, path)
+    delete_path(spark, old)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def publish_table(df: DataFrame, name: str) -> DataFrame:

@@ -201,6 +201,9 @@ def test_freshness(spark):
     )
     assert {r.source: (r.lag_hours, r.empty) for r in got.collect()} == {
         "s": (2.5, False), "d": (-12.0, False), "none": (-1.0, True)}
+    kinds = stamped.withColumn("kind", F.when(F.hour("ts") == 6, "early").otherwise("s"))
+    by = aggregates.freshness_by(kinds, "kind", "ts", ["s", "none"], F.lit(datetime(2025, 1, 1, 12)))
+    assert rows(by, "source") == [("none", -1.0, True), ("s", 2.5, False)]
 
 
 def test_season_coverage(spark):
@@ -435,5 +438,13 @@ def test_publish_replaces(spark, tmp_path):
     first = spark.createDataFrame([(1, "a"), (2, "b")], "i int, p string")
     assert rows(publish(first, f"{tmp_path}/t", ["p"]), "i") == [(1, "a"), (2, "b")]
     assert rows(publish(first.filter("i = 2"), f"{tmp_path}/t", ["p"]), "i") == [(2, "b")]
+    bad = first.select(F.raise_error(F.lit("half way")).cast("int").alias("i"), "p")
+    with pytest.raises(Exception, match="half way"):
+        publish(bad, f"{tmp_path}/t", ["p"])
+    assert rows(spark.read.parquet(f"{tmp_path}/t"), "i") == [(2, "b")]  # the old table is still there
+    (tmp_path / "t").rename(tmp_path / "t.old")  # a switch cut short: the next failure still leaves the old table
+    with pytest.raises(Exception, match="half way"):
+        publish(bad, f"{tmp_path}/t", ["p"])
+    assert rows(spark.read.parquet(f"{tmp_path}/t"), "i") == [(2, "b")]
     assert rows(publish_table(first, "published"), "i") == [(1, "a"), (2, "b")]
     assert rows(publish_table(first.limit(0), "published")) == []

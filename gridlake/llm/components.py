@@ -16,19 +16,20 @@ def _state(edges: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """`node` and `component`, the smallest node that links (`u`, `v`, any order, repeats allowed) lead to.
 
-    Nodes without a link to another node are absent. Each step is a grouped minimum, combined before the shuffle,
-    and a join that Spark can split, so one node may have any number of links. Nothing is collected.
+    Nodes without a link to another node are absent. Each step is a grouped minimum, combined before the shuffle and
+    written, and a join that Spark can split as its sides are stored, so one node may have any number of links.
+    Nothing is collected.
     """
     larger = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     edges = settled(links.filter("u <> v").select(*larger).distinct(), "links")  # u > v
     before, now = None, _state(edges)
     while before != now:
         both = edges.union(edges.select("v", "u").toDF("u", "v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        least = settled(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), "least")
         # Large star: neighbours above a node are tied to its least neighbour (or itself).
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = settled(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         # Small star: a node's neighbours below it, and itself, are tied to the least of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = settled(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         below = large.join(least, "u")
         small = below.select(F.col("u"), F.col("m").alias("v")).union(below.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = settled(small.distinct(), "links")

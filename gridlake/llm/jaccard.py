@@ -239,7 +239,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     to several tasks. `texts` has `node` and `_text`.
     """
     partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stars = pairs.groupBy("centre").agg(F.count("*").alias("k")).withColumn("splits", F.ceil(F.col("k") / STAR).cast("int"))
+    stars = settled(pairs.groupBy("centre").agg(F.count("*").alias("k")).withColumn("splits", F.ceil(F.col("k") / STAR).cast("int")), "stars")
     members = pairs.join(stars, "centre").select(
         "centre", F.pmod(F.xxhash64("node"), F.col("splits")).cast("int").alias("split"), F.lit(1).alias("role"), "node"
     )
@@ -288,11 +288,12 @@ def similar_classes(
         "nodes",
     )
     shared = shared_prefixes(given.select("_text"), order, size, percent)
-    groups = nodes.groupBy("grp").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.count("*").alias("members"))
+    # Grouped sides are written before they are joined: only then can Spark split the rows of a hot key.
+    groups = settled(nodes.groupBy("grp").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.count("*").alias("members")), "groups")
     crowded = groups.filter("members > 1").select("grp")
 
     # Texts of all documents that may be compared, once per distinct set.
-    asked = shared.select("grp").union(crowded).distinct()
+    asked = settled(shared.select("grp").union(crowded).distinct(), "asked")
     wanted = nodes.join(asked, "grp", "left_semi").select("node", F.col("at._id").alias("w_id"), F.col("at._hash").alias("w_hash"))
     texts = settled(
         keyed.join(wanted, (F.col("_hash") == F.col("w_hash")) & F.col("_id").eqNullSafe(F.col("w_id"))).groupBy("node").agg(F.min("_text").alias("_text")),
@@ -304,7 +305,7 @@ def similar_classes(
     # The pivot is the group with the fewest rarer shingles before the shared one: of copies with changes of their
     # own, the one that is nearest to all.
     turn = F.xxhash64("grp", F.pmod("token", F.lit(PIVOTS)))
-    pivots = shared.groupBy("token").agg(F.min(F.struct("pos", turn.alias("turn"), "grp"))["grp"].alias("pivot"))
+    pivots = settled(shared.groupBy("token").agg(F.min(F.struct("pos", turn.alias("turn"), "grp"))["grp"].alias("pivot")), "pivots")
     sizes = groups.select("grp", "n", "node")
     group_pairs = shared.join(pivots, "token").filter("grp <> pivot").select("grp", "pivot").distinct()
     near = group_pairs.join(sizes.select("grp", "n"), "grp").join(

@@ -48,6 +48,8 @@ def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray, terms: int = 10
             value = value * d * c
         if np.all(np.abs(d * c - 1) < 1e-15):
             break
+    if np.any(np.abs(d * c - 1) > 1e-10):
+        raise ArithmeticError("the continued fraction did not converge")
     result = np.where(z <= 0, 0.0, front * value)
     return np.where(flip, 1 - result, result)
 

@@ -45,5 +45,5 @@ def stream_hourly(t: Tables) -> DataFrame:
 def stream_freshness(t: Tables) -> DataFrame:
     folder = work_dir(t.spark, "stream-freshness")
     state = streams.stream_freshness(streams.read_landed(t.spark, t.path("events")), "event_type", "ts")
-    streams.latest_to(state, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    streams.latest_to(state, f"{folder}/out", f"{folder}/checkpoint", "event_type").awaitTermination()
     return presented(streams.read_latest(t.spark, f"{folder}/out", "event_type"))

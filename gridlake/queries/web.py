@@ -67,6 +67,23 @@ def article_links(t: Tables) -> DataFrame:
     return web.filter_links(links(t))
 
 
+ARTICLE_SQL = "lower(replace(o_orderpriority, ' ', '-')) || '-' || o_orderstatus || '-' || CAST(o_orderkey AS {text})"
+
+
+@query(
+    f"""SELECT o_orderkey AS page_id, '/' || lower(a) || CASE WHEN o_orderstatus = 'P' THEN '/' ELSE '' END AS path,
+    '{BASE}/' || lower(a) || CASE WHEN o_orderstatus = 'P' THEN '/' ELSE '' END AS link
+    FROM (SELECT *, {ARTICLE_SQL.format(text='VARCHAR')} AS a FROM orders) WHERE o_orderstatus <> 'O'"""
+)
+def article_paths(t: Tables) -> DataFrame:
+    """Pages built from orders: articles by path (F) or whole address (P), below a tag (O); each with links that are none."""
+    slug = f"lower({ARTICLE_SQL.format(text='STRING')})"
+    address = f"CASE o_orderstatus WHEN 'P' THEN '{BASE}/' || {slug} || '/' WHEN 'O' THEN '/tag/' || {slug} ELSE '/' || {slug} END"
+    html = F.expr(f"""'<a href="/categorie">c</a> <a class="x" href="' || {address} || '">a</a> <a href="/two-words">b</a>'""")
+    pages = t.orders.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    return web.filter_links(web.extract_links(pages, "html", BASE, "page_id"))
+
+
 @query(f"WITH {FRONTIER_SQL} SELECT page_id, found, new FROM reached")
 def frontier(t: Tables) -> DataFrame:
     return web.frontier(written(t), t.pages, "page_id", "link")

@@ -76,9 +76,12 @@ class Fact:
     def must_have(self) -> list[str]:
         return list(dict.fromkeys([*self.key, *self.required]))
 
+    def by_month(self) -> bool:
+        return self.stamp in self.key
+
     def partition(self) -> Column:
         """Storage partition of a row, which must follow from the key: its month, else a bucket of the key."""
-        if self.stamp in self.key:
+        if self.by_month():
             return F.date_format(self.stamp, "yyyy-MM")
         return F.format_string("b%02d", F.pmod(F.xxhash64(*self.key), F.lit(KEY_BUCKETS)))
 

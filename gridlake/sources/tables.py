@@ -112,6 +112,10 @@ class Layer(Mapping):
             self.built[name] = self.defs[name](self)
         return self.built[name]
 
+    def store(self, name: str) -> None:
+        """Write a table that several others read, so that it is computed once."""
+        self.built[name] = settled(self[name], name)
+
     def __iter__(self):
         return iter(self.defs)
 

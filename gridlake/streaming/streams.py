@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridlake.session import path_status
+from gridlake.session import child_names, delete_path, path_status
 from gridlake.sources.loading import upsert_partitions
 
 
@@ -69,14 +69,28 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def latest_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def latest_to(stream: DataFrame, path: str, checkpoint: str, key: str, whole_every: int = 20) -> StreamingQuery:
     """Keep the newest state per key of an update-mode stream in a small parquet table.
 
-    Each batch writes the changed keys under its own number; `read_latest` takes the highest per key.
+    Each batch writes the changed keys under its own number; `read_latest` takes the highest per key. Every
+    `whole_every`-th batch writes the state of all keys, and what lies before the last such batch but one is deleted,
+    so there are never more than twice as many folders, a replay finds what it needs, and a reader keeps its files
+    for a whole period.
     """
+    spark = stream.sparkSession
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        state = batch
+        whole = batch_id > 0 and batch_id % whole_every == 0
+        if whole:
+            earlier = [f"{path}/{name}" for name in child_names(spark, path) if int(name.partition("=")[2]) < batch_id]
+            stored = spark.read.option("basePath", path).parquet(*earlier)
+            state = _latest(stored.unionByName(batch.withColumn("batch", F.lit(batch_id).cast(stored.schema["batch"].dataType))), key)
+        state.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if whole:
+            for name in child_names(spark, path):
+                if int(name.partition("=")[2]) < batch_id - whole_every:
+                    delete_path(spark, f"{path}/{name}")
 
     return (
         stream.writeStream.foreachBatch(keep)
@@ -88,6 +102,9 @@ def latest_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def read_latest(spark: SparkSession, path: str, key: str) -> DataFrame:
-    rows = spark.read.parquet(path)
+    return _latest(spark.read.parquet(path), key)
+
+
+def _latest(rows: DataFrame, key: str) -> DataFrame:
     state = [c for c in rows.columns if c not in (key, "batch")]
     return rows.groupBy(key).agg(*[F.max_by(c, "batch").alias(c) for c in state])

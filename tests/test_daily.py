@@ -1,7 +1,7 @@
 """The daily run on hand-made payloads: two runs, with corrections, a failed source, and all layers."""
 
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,6 +177,22 @@ def test_constraints_hold_after_landing(spark, runs):
     assert {n: d.count() for n, d in broken.items()} == {n: 0 for n in FACTS}
 
 
+def test_windows_read_only_their_months(spark, tmp_path, capsys):
+    root, f = str(tmp_path / "facts"), FACTS["fact_consommation"]
+    stamps = ["2025-12-31T23:30:00Z", "2026-01-01T00:00:00Z", "2026-01-31T23:59:00Z", "2026-02-01T00:00:00Z"]
+    rows = daily.consumption_rows(docs(spark, consumption(*[(s, float(i)) for i, s in enumerate(stamps)])))
+    daily.land(spark, f, rows, root, 0)
+    january = daily.read_fact(spark, f, root, date(2026, 1, 1), date(2026, 2, 1))
+    assert {r.value_mw for r in january.collect()} == {1.0, 2.0}
+    assert {r.value_mw for r in daily.read_fact(spark, f, root, until=date(2026, 1, 1)).collect()} == {0.0}
+    assert {r.value_mw for r in daily.newest_rows(spark, f, root).collect()} == {3.0}
+    january.explain("formatted")
+    filters = [line for line in capsys.readouterr().out.splitlines() if line.startswith("PartitionFilters")]
+    assert filters and "2026-01" in filters[0]
+    (tmp_path / "none").mkdir()
+    assert daily.newest_rows(spark, f, str(tmp_path / "none")).count() == 0
+
+
 def test_rejected_rows_are_counted_and_corrections_of_a_number_land(spark, tmp_path):
     root, name = str(tmp_path / "facts"), "fact_consommation"
     stamp = "2026-01-05T10:00:00+01:00"

@@ -1,6 +1,7 @@
 """Streams over several landed files: late rows, corrections, replays."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -67,6 +68,19 @@ def test_freshness_state_is_the_newest_per_source(spark, tmp_path):
     land(spark, folder, 0, [event(0, 10, 1), event(1, 5, 1, "b")])
     land(spark, folder, 1, [event(2, 90, 1)])
     state = streams.stream_freshness(stream(spark, folder), "kind", "ts")
-    streams.latest_to(state, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    streams.latest_to(state, f"{tmp_path}/out", f"{tmp_path}/cp", "kind").awaitTermination()
     got = {r.kind: r.latest for r in streams.read_latest(spark, f"{tmp_path}/out", "kind").collect()}
     assert got == {"a": START + timedelta(minutes=90), "b": START + timedelta(minutes=5)}
+
+
+def test_freshness_state_is_compacted(spark, tmp_path):
+    folder, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    land(spark, folder, 0, [event(0, 5, 1, "b")])
+    for i in range(1, 6):
+        land(spark, folder, i, [event(i, 10 * i, 1)])
+    state = streams.stream_freshness(stream(spark, folder), "kind", "ts")
+    streams.latest_to(state, out, f"{tmp_path}/cp", "kind", whole_every=2).awaitTermination()
+    got = {r.kind: r.latest for r in streams.read_latest(spark, out, "kind").collect()}
+    assert got == {"a": START + timedelta(minutes=50), "b": START + timedelta(minutes=5)}
+    kept = sorted(int(p.name.partition("=")[2]) for p in Path(out).iterdir())
+    assert kept[0] >= 2 and len(kept) <= 4  # "b" came in batch 0, which is gone

@@ -1,4 +1,4 @@
-"""Line dedup by pairwise alignment: documents that share rare lines are aligned with patience diff."""
+"""Line dedup by pairwise alignment: documents that share lines are aligned with patience diff."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from gridlake.llm.texts import WHITE, joined, slices, span_hashes, text_bytes, w
 from gridlake.sources.tables import settled
 
 MIN_WORDS = 8  # of a line that brings documents together, and of a block that is deleted
-RARE = 1000  # documents that hold a rare line, at most
+RARE = 1000  # later documents that meet one copy of their earlier one; where more do, it is copied. No result hangs on it
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -102,13 +102,18 @@ def repeated_lines(docs: DataFrame, id_col: str, text: str, least: int, rare: in
     # A row of `lines` is a whole document, so its lines are made distinct in place. Written holders leave the hot
     # lines' rows to a plain join of two shuffles (or a broadcast by measured size), which Spark can split.
     once = long_lines.select("at", F.explode(F.array_distinct("x.lines")).alias("line"))
-    holders = settled(once.groupBy("line").agg(F.count("*").alias("n"), F.min("at").alias("first")).filter("n > 1"), "holders")
-    later = held.join(holders, "line").filter("at <> first")
-    met = settled(later.select("at", "first", "place", (F.col("n") <= rare).alias("rare")), "shared_lines")
+    holders = settled(once.groupBy("line").agg(F.count("*").alias("n"), F.min("at").alias("first")).filter("n > 1").drop("n"), "holders")
+    met = settled(held.join(holders, "line").filter("at <> first").select("at", "first", "place"), "shared_lines")
+    pairs = settled(met.select("at", "first").distinct(), "pairs")
 
-    pairs = met.filter("rare").select("at", "first").distinct()
+    # An earliest document that very many meet is copied, and those that meet it are dealt to its copies.
+    copies = F.ceil(F.count("*") / F.lit(rare)).cast("int").alias("copies")
+    stars = settled(pairs.groupBy("first").agg(copies), "stars")
     side = lines.select(order.alias("at"), "lines", "words", "places")
-    aligned = pairs.join(side, "at").join(side.select(F.col("at").alias("first"), F.col("lines").alias("early")), "first")
+    centres = side.select(F.col("at").alias("first"), F.col("lines").alias("early")).join(stars, "first")
+    centres = centres.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    dealt = pairs.join(stars, "first").withColumn("copy", F.pmod(F.xxhash64("at"), F.col("copies")).cast("int"))
+    aligned = dealt.join(side, "at").join(centres.select("first", "copy", "early"), ["first", "copy"])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,8 +131,8 @@ def repeated_lines(docs: DataFrame, id_col: str, text: str, least: int, rare: in
             )
 
     found = aligned.select("at._id", "at._hash", "early", "lines", "words", "places").mapInArrow(align, f"_id {kind}, _hash long, gone array<int>")
-    frequent = met.filter("not rare").select("at._id", "at._hash", F.array("place").alias("gone"))
-    gone = found.union(frequent).select("_id", "_hash", F.explode("gone").alias("place"))
+    lone = met.select("at._id", "at._hash", F.array("place").alias("gone"))
+    gone = found.union(lone).select("_id", "_hash", F.explode("gone").alias("place"))
     return gone.groupBy("_id", "_hash").agg(F.collect_set("place").alias("gone"))
 
 
@@ -137,12 +142,12 @@ def without_repeated_lines(
 ) -> DataFrame:
     """All columns of the rows, without the blocks of lines that an earlier document holds.
 
-    Earlier is the smaller id (nulls last, then by the text's hash). A line of `least` words or more that is rare (in
-    at most `rare` documents) brings each document that holds it together with the earliest one; the two are aligned
-    by patience diff, and aligned blocks of `least` words or more are deleted from the later document. A line that
-    is more frequent needs no alignment: all but its earliest document lose it. So every line keeps its earliest
-    place, and the number of pairs is at most the number of lines. A document that loses all its words is left
-    out; others keep the rest as it is (`length` is set, if there is such a column). Rows with the same id and text
+    Earlier is the smaller id (nulls last, then by the text's hash). A line of `least` words or more brings each
+    document that holds it together with the earliest one, however many hold it; the two are aligned by patience
+    diff, and aligned blocks of `least` words or more are deleted from the later document, as is the line itself where
+    the alignment skips it. So every line keeps its earliest place, and the number of pairs is at most the number of
+    lines. `rare` only deals the work: an earliest document that more than so many meet is copied. A document that
+    loses all its words is left out; others keep the rest as it is (`length` is set, if there is such a column). Rows with the same id and text
     are one document and stay as often as they come; null and empty texts stay; an empty table gives no rows.
     Output columns are those of the input.
     """

@@ -167,6 +167,16 @@ def test_lines_stay_once(spark, tmp_path, rare):
         assert r.text == want[i] and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("copies", [3, 4, 9])
+def test_copies_with_short_lines_go_whole_at_any_size(spark, tmp_path, copies):
+    text = "one two\na b c d e f g h i j\nthree four five\nk l m n o p q r s t\nsix"
+    other = "u0 u1 u2\na b c d e f g h i j\nu3 u4"
+    rows = [*((i, text) for i in range(copies)), (50, other)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string"), tmp_path, "copies")
+    got = dict(map(tuple, without_repeated_lines(docs, rare=4).collect()))
+    assert got == {0: text, 50: "u0 u1 u2\nu3 u4"}
+
+
 def test_lines_of_odd_rows(spark, odd):
     out = without_repeated_lines(odd)
     assert out.columns == odd.columns

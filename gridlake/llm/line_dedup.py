@@ -1,4 +1,4 @@
-"""Line dedup by pairwise alignment: documents that share lines are aligned with patience diff."""
+"""Line dedup by pairwise alignment: documents that share a run of lines are aligned with patience diff."""
 
 from __future__ import annotations
 
@@ -11,10 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.texts import WHITE, joined, slices, span_hashes, text_bytes, words_of
+from gridlake.llm.texts import WHITE, joined, mix, slices, span_hashes, text_bytes, words_of
 from gridlake.sources.tables import settled
 
-MIN_WORDS = 8  # of a line that brings documents together, and of a block that is deleted
+MIN_WORDS = 8  # of a run of lines that brings documents together, and of a block that is deleted
 RARE = 1000  # later documents that meet one copy of their earlier one; where more do, it is copied. No result hangs on it
 
 
@@ -68,8 +68,30 @@ def common_blocks(early: list[int], late: list[int], words: list[int], least: in
     return out
 
 
-def line_table(docs: DataFrame, kind: str) -> DataFrame:
-    """`_id`, `_hash` and, for each line with a word, its hash, its words and its place among the text's lines."""
+def short_runs(first: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """From each line on, the shortest run of lines of one text that reaches `least` words: starts and ends.
+
+    Text d has the lines first[d]:first[d+1], each with a word or more. A line of `least` words is a run by itself.
+    """
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    close = np.repeat(first[1:], np.diff(first))
+    end = np.searchsorted(total, total[:-1] + least)
+    start = np.flatnonzero(end <= close)
+    return start, end[start]
+
+
+def run_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of line hashes; that of a single line is the line's own."""
+    out = hashes[start]
+    for k in range(1, int((end - start).max(initial=0))):
+        more = np.flatnonzero(start + k < end)
+        out[more] = mix(mix(out[more]) + hashes[start[more] + k])
+    return out
+
+
+def line_table(docs: DataFrame, kind: str, least: int) -> DataFrame:
+    """`_id`, `_hash`; for each line with a word, its hash, its words and its place among the text's lines; and for
+    each run of these lines that brings documents together, its hash `keys`, its first line `from` and its lines `size`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text"):
@@ -83,11 +105,17 @@ def line_table(docs: DataFrame, kind: str) -> DataFrame:
             place = np.arange(len(start)) - np.searchsorted(start, origin[:-1])[text]
             keep = count > 0
             first = np.concatenate([[0], np.cumsum(np.bincount(text[keep], minlength=len(texts)))]).astype(np.int32)
-            hashes = span_hashes(buf, start, end, fold=False)[keep].view(np.int64)
-            lists = [pa.ListArray.from_arrays(pa.array(first), pa.array(x)) for x in (hashes, count[keep].astype(np.int32), place[keep].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_hash"), *lists], names=["_id", "_hash", "lines", "words", "places"])
-
-    rows = docs.mapInArrow(run, f"_id {kind}, _hash long, lines array<long>, words array<int>, places array<int>")
+            hashes, words = span_hashes(buf, start, end, fold=False)[keep], count[keep].astype(np.int32)
+            a, b = short_runs(first, words, least)
+            keys = run_hashes(hashes, a, b).view(np.int64)
+            ahead = np.searchsorted(a, first).astype(np.int32)
+            inside = (a - first[text[keep][a]]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(first), pa.array(x)) for x in (hashes.view(np.int64), words, place[keep].astype(np.int32))]
+            lists += [pa.ListArray.from_arrays(pa.array(ahead), pa.array(x)) for x in (keys, inside, (b - a).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_hash"), *lists], names=["_id", "_hash", "lines", "words", "places", "keys", "from", "size"])
+
+    lists = "lines array<long>, words array<int>, places array<int>, keys array<long>, from array<int>, size array<int>"
+    rows = docs.mapInArrow(run, f"_id {kind}, _hash long, {lists}")
     return settled(rows.filter("size(lines) > 0").dropDuplicates(["_id", "_hash"]), "lines")
 
 
@@ -95,15 +123,16 @@ def repeated_lines(docs: DataFrame, id_col: str, text: str, least: int, rare: in
     """`_id`, `_hash` and `gone`, the places of the lines to delete, of every document that loses some."""
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
     keyed = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text")).withColumn("_hash", F.xxhash64("_text"))
-    lines = line_table(keyed, kind)
+    lines = line_table(keyed, kind, least)
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_hash"))
-    long_lines = lines.withColumn("at", order).select("at", F.filter(F.arrays_zip("lines", "words", "places"), lambda x: x["words"] >= least).alias("x"))
-    held = long_lines.select("at", F.explode("x").alias("x")).select("at", F.col("x.lines").alias("line"), F.col("x.places").alias("place"))
-    # A row of `lines` is a whole document, so its lines are made distinct in place. Written holders leave the hot
-    # lines' rows to a plain join of two shuffles (or a broadcast by measured size), which Spark can split.
-    once = long_lines.select("at", F.explode(F.array_distinct("x.lines")).alias("line"))
-    holders = settled(once.groupBy("line").agg(F.count("*").alias("n"), F.min("at").alias("first")).filter("n > 1").drop("n"), "holders")
-    met = settled(held.join(holders, "line").filter("at <> first").select("at", "first", "place"), "shared_lines")
+    runs = lines.filter("size(keys) > 0").select(order.alias("at"), "places", "keys", "from", "size")
+    # A row of `lines` is a whole document, so its runs are made distinct in place. Written holders leave the hot
+    # runs' rows to a plain join of two shuffles (or a broadcast by measured size), which Spark can split.
+    once = runs.select("at", F.explode(F.array_distinct("keys")).alias("key"))
+    holders = settled(once.groupBy("key").agg(F.count("*").alias("n"), F.min("at").alias("first")).filter("n > 1").drop("n"), "holders")
+    spans = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.slice("places", F.get("from", i) + 1, F.get("size", i)).alias("gone")))
+    held = runs.select("at", F.explode(spans).alias("x")).select("at", "x.key", "x.gone")
+    met = settled(held.join(holders, "key").filter("at <> first").select("at", "first", "gone"), "shared_runs")
     pairs = settled(met.select("at", "first").distinct(), "pairs")
 
     # An earliest document that very many meet is copied, and those that meet it are dealt to its copies.
@@ -131,8 +160,7 @@ def repeated_lines(docs: DataFrame, id_col: str, text: str, least: int, rare: in
             )
 
     found = aligned.select("at._id", "at._hash", "early", "lines", "words", "places").mapInArrow(align, f"_id {kind}, _hash long, gone array<int>")
-    lone = met.select("at._id", "at._hash", F.array("place").alias("gone"))
-    gone = found.union(lone).select("_id", "_hash", F.explode("gone").alias("place"))
+    gone = found.union(met.select("at._id", "at._hash", "gone")).select("_id", "_hash", F.explode("gone").alias("place"))
     return gone.groupBy("_id", "_hash").agg(F.collect_set("place").alias("gone"))
 
 
@@ -142,9 +170,10 @@ def without_repeated_lines(
 ) -> DataFrame:
     """All columns of the rows, without the blocks of lines that an earlier document holds.
 
-    Earlier is the smaller id (nulls last, then by the text's hash). A line of `least` words or more brings each
+    Earlier is the smaller id (nulls last, then by the text's hash). From each line on, the shortest run of lines that
+    reaches `least` words (one long line, or several short ones; lines without a word do not count) brings each
     document that holds it together with the earliest one, however many hold it; the two are aligned by patience
-    diff, and aligned blocks of `least` words or more are deleted from the later document, as is the line itself where
+    diff, and aligned blocks of `least` words or more are deleted from the later document, as is the run itself where
     the alignment skips it. So every line keeps its earliest place, and the number of pairs is at most the number of
     lines. `rare` only deals the work: an earliest document that more than so many meet is copied. A document that
     loses all its words is left out; others keep the rest as it is (`length` is set, if there is such a column). Rows with the same id and text

@@ -177,6 +177,15 @@ def test_copies_with_short_lines_go_whole_at_any_size(spark, tmp_path, copies):
     assert got == {0: text, 50: "u0 u1 u2\nu3 u4"}
 
 
+def test_passages_of_short_lines_are_found(spark, tmp_path):
+    verse = "\n".join(f"line {i} of the verse\n" for i in range(10))  # no line has eight words
+    rows = [(i, f"own {i}\n{verse}\nend {i}") for i in range(5)] + [(9, "a b c\nline 3 of the verse\nline 5 of the verse")]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string"), tmp_path, "verse")
+    got = dict(map(tuple, without_repeated_lines(docs).collect()))
+    assert got[0] == rows[0][1] and got[9] == rows[5][1]
+    assert all(got[i].split() == ["own", str(i), "end", str(i)] for i in range(1, 5))
+
+
 def test_lines_of_odd_rows(spark, odd):
     out = without_repeated_lines(odd)
     assert out.columns == odd.columns

@@ -69,15 +69,21 @@ def common_blocks(early: list[int], late: list[int], words: list[int], least: in
 
 
 def short_runs(first: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """From each line on, the shortest run of lines of one text that reaches `least` words: starts and ends.
+    """The shortest runs of lines of one text that reach `least` words, from each line on and up to each line: starts
+    and ends, without repeats. A line of `least` words is a run by itself.
 
-    Text d has the lines first[d]:first[d+1], each with a word or more. A line of `least` words is a run by itself.
+    Text d has the lines first[d]:first[d+1], each with a word or more. Cut any block of `least` words or more at
+    both ends, as long as it holds a given line and as many words: what is left is one of these runs. So the runs
+    that two texts share cover just the lines of the blocks that they share.
     """
     total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
-    close = np.repeat(first[1:], np.diff(first))
+    n, count = len(words), np.diff(first)
     end = np.searchsorted(total, total[:-1] + least)
-    start = np.flatnonzero(end <= close)
-    return start, end[start]
+    start = np.searchsorted(total, total[1:] - least, "right") - 1
+    on = np.flatnonzero(end <= np.repeat(first[1:], count))
+    up = np.flatnonzero(start >= np.repeat(first[:-1], count))
+    both = np.unique(np.concatenate([on * (n + 1) + end[on], start[up] * (n + 1) + up + 1]))
+    return both // (n + 1), both % (n + 1)
 
 
 def run_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -170,12 +176,13 @@ def without_repeated_lines(
 ) -> DataFrame:
     """All columns of the rows, without the blocks of lines that an earlier document holds.
 
-    Earlier is the smaller id (nulls last, then by the text's hash). From each line on, the shortest run of lines that
-    reaches `least` words (one long line, or several short ones; lines without a word do not count) brings each
-    document that holds it together with the earliest one, however many hold it; the two are aligned by patience
-    diff, and aligned blocks of `least` words or more are deleted from the later document, as is the run itself where
-    the alignment skips it. So every line keeps its earliest place, and the number of pairs is at most the number of
-    lines. `rare` only deals the work: an earliest document that more than so many meet is copied. A document that
+    Earlier is the smaller id (nulls last, then by the text's hash). From each line on and up to each line, the
+    shortest run of lines that reaches `least` words (one long line, or several short ones; lines without a word do
+    not count) brings each document that holds it together with the earliest one, however many hold it; the two are
+    aligned by patience diff, and aligned blocks of `least` words or more are deleted from the later document, as is
+    the run itself where the alignment skips it (lines in crossed order, or twice in a text). So a document loses just
+    the lines of all blocks of `least` words or more that any earlier document holds, every line keeps its earliest
+    place, and the number of pairs is at most twice the number of lines. `rare` only deals the work: an earliest document that more than so many meet is copied. A document that
     loses all its words is left out; others keep the rest as it is (`length` is set, if there is such a column). Rows with the same id and text
     are one document and stay as often as they come; null and empty texts stay; an empty table gives no rows.
     Output columns are those of the input.

@@ -186,6 +186,43 @@ def test_passages_of_short_lines_are_found(spark, tmp_path):
     assert all(got[i].split() == ["own", str(i), "end", str(i)] for i in range(1, 5))
 
 
+def shared_blocks(rows, least=8):
+    """Of each text, the places of the lines in a block of `least` words that a text of a smaller id holds."""
+    gone, seen = {}, set()
+    for doc_id, text in sorted(rows):
+        lines = [(p, x) for p, x in enumerate(text.split("\n")) if x.split()]
+        own, gone[doc_id] = set(), set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                block = tuple(x for _, x in lines[a:b])
+                if sum(len(x.split()) for x in block) >= least:
+                    own.add(block)
+                    gone[doc_id] |= {p for p, _ in lines[a:b] if block in seen}
+        seen |= own
+    return gone
+
+
+def test_blocks_go_whatever_their_order(spark, tmp_path):
+    rng = random.Random(12)
+    a, b, c = ("\n".join(f"{x}{k} {x}{k} {x}{k}" for k in range(4)) for x in "abc")  # 12 words each in short lines
+    long = "p q r s t u v w x"
+    rows = [
+        (0, f"{a}\n{b}\n{c}"), (1, f"{c}\nmine\n{b}\nmine too\n{a}"),  # crossed
+        (2, f"{long}\nlone 2"), (3, f"{long}\n1\n{long}\n2\n{long}"), (4, f"{long}\n3\n{long}\n1"),  # held twice
+        (5, f"{long}\ntail"), (6, f"head\n{long}\ntail"), (7, f"head\n{long}"),  # what the earliest holder lacks
+    ]
+    for i in range(10, 150):
+        rows.append((i, "\n".join(" ".join([rng.choice("abcdef")] * rng.choice([0, 1, 2, 3, 5, 9])) for _ in range(rng.randint(1, 12)))))
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string"), tmp_path, "blocks")
+    want = {}
+    for i, gone in shared_blocks(rows).items():
+        rest = "\n".join(x for p, x in enumerate(dict(rows)[i].split("\n")) if p not in gone)
+        if rest.strip() or not gone:
+            want[i] = rest
+    assert want[1] == "mine\nmine too" and want[3] == "1\n2" and 7 not in want
+    assert dict(map(tuple, without_repeated_lines(docs, rare=5).collect())) == want
+
+
 def test_lines_of_odd_rows(spark, odd):
     out = without_repeated_lines(odd)
     assert out.columns == odd.columns

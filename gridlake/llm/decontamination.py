@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridlake.llm.suffixes import suffix_array
 from gridlake.llm.texts import NOT_ALNUM, Words, cover, runs, slices, text_bytes, words_of
+from gridlake.sources.tables import settled
 
 WINDOW = 10  # words of a phrase; an item of fewer words is one phrase
 SHARD_BYTES = 4 << 20  # text of one shard, or one longer text
@@ -194,16 +197,18 @@ def merged(w: Words, hits: Hits) -> tuple[np.ndarray, np.ndarray]:
     return np.sort(np.concatenate([begin, inner])), np.sort(np.concatenate([end, inner]))
 
 
-def benchmark_passes(benchmark: DataFrame, id_col: str, text: str, window: int) -> list[Broadcast]:
-    """The benchmark's phrases, in blocks of at most about PASS_WORDS words each, as broadcast variables."""
+def block_count(benchmark: DataFrame, text: str) -> int:
+    """Blocks of at most about PASS_WORDS words: a word and its separator are two characters or more."""
+    size = benchmark.agg(F.sum(F.length(F.col(f"`{text}`")))).first()[0] or 0
+    return max(1, -(-int(size) // (2 * PASS_WORDS)))
+
+
+def benchmark_passes(benchmark: DataFrame, id_col: str, text: str, window: int, blocks: int) -> Iterator[Broadcast]:
+    """The phrases of each block of the benchmark, as a broadcast variable that is made when asked for."""
     items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"))
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(size) // (2 * PASS_WORDS)))  # a word and its separator are two characters or more
-    out = []
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
-        out.append(benchmark.sparkSession.sparkContext.broadcast(phrases([r.text for r in rows], [r.id for r in rows], window)))
-    return out
+        yield benchmark.sparkSession.sparkContext.broadcast(phrases([r.text for r in rows], [r.id for r in rows], window))
 
 
 CARRIED = "_spans array<struct<start: bigint, end: bigint>>, _items array<string>, _words bigint"
@@ -257,7 +262,7 @@ def contamination(
         F.expr("CAST(NULL AS array<struct<start: bigint, end: bigint>>)").alias("_spans"),
         F.expr("CAST(NULL AS array<string>)").alias("_items"),
     )
-    passes = benchmark_passes(benchmark, item_id, item_text, window)
+    passes = list(benchmark_passes(benchmark, item_id, item_text, window, block_count(benchmark, item_text)))
     for i, source in enumerate(passes):
         keep = ["_id"] if i == len(passes) - 1 else ["_id", "_text"]
         kinds = {"_id": kind, "_text": "string"}
@@ -284,11 +289,56 @@ def without_benchmark(
     """All rows and columns, with the hit spans taken out of the text (and `length`, if there is such a column, set).
 
     A span goes from its first word's first character to its last word's last. Taking it out may bring words
-    together that form a phrase anew, so a text is searched again until nothing is hit. Null texts stay null.
+    together that form a phrase anew, so a text is searched again until nothing is hit. Null texts stay null. With a
+    benchmark of several blocks, each round searches the texts that the round before has cut for all blocks, one
+    broadcast at a time, and cuts once at the merged spans: the result does not depend on the blocks.
     """
-    for source in benchmark_passes(benchmark, item_id, item_text, window):
-        docs = docs.mapInArrow(_remover(source, text, length if length in docs.columns else None), docs.schema)
-    return docs
+    length = length if length in docs.columns else None
+    blocks = block_count(benchmark, item_text)
+    if blocks == 1:
+        source = next(benchmark_passes(benchmark, item_id, item_text, window, 1))
+        return docs.mapInArrow(_remover(source, text, length), docs.schema)
+    others = [c for c in docs.columns if c != text]
+    row = F.struct(F.lit(0).alias("n"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)))
+    left, done = docs.select(row.alias("row"), F.col(f"`{text}`").alias("_text")), []
+    kinds = StructType([*left.schema.fields, *StructType.fromDDL(CARRIED).fields])
+    while True:
+        spans, items = (F.lit(None).cast(kinds[c].dataType).alias(c) for c in ("_spans", "_items"))
+        found = left.select("row", "_text", spans, items)
+        for source in benchmark_passes(benchmark, item_id, item_text, window, blocks):
+            found = settled(found.mapInArrow(_search(source, ["row", "_text"]), kinds), "searched")
+            source.destroy()
+        done.append(found.filter("size(_spans) = 0").select("row", "_text", F.lit(len(done) > 0).alias("cut")))
+        hit = found.filter("size(_spans) > 0").select("row", "_text", "_spans")
+        if hit.isEmpty():
+            break
+        left = settled(hit.mapInArrow(_cut, left.schema), "cut")
+    columns = {c: F.col(f"row.c{i}") for i, c in enumerate(others)} | {text: F.col("_text")}
+    if length is not None:
+        columns[length] = F.when(F.col("cut"), F.length("_text").cast(docs.schema[length].dataType)).otherwise(columns[length])
+    return reduce(DataFrame.union, done).select(*(columns[c].alias(c) for c in docs.columns))
+
+
+def _without(old: bytes, zero: int, w: Words, begin: np.ndarray, end: np.ndarray) -> bytes:
+    """A text that starts at `zero` of the words' buffer, without some spans of words."""
+    cuts = [(int(w.start[a]) - zero, int(w.end[b - 1]) - zero) for a, b in zip(begin, end)]
+    edges = [0, *(x for cut in cuts for x in cut), len(old)]
+    return b"".join(old[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Takes the spans of several passes, which may overlap, out of their texts."""
+    for part in slices(batches, "_text", SHARD_BYTES):
+        texts = text_bytes(part.column("_text"))
+        w = words_of(texts, NOT_ALNUM, fold=True)
+        new = []
+        for d, spans in enumerate(part.column("_spans").to_pylist()):
+            first = int(w.first[d])
+            held = cover(int(w.first[d + 1]) - first, *(np.array([s[k] for s in spans]) for k in ("start", "end")))
+            begin, end = runs(held)
+            new.append(_without(texts[d], int(w.origin[d]), w, begin + first, end + first))
+        kind = part.schema.field("_text").type
+        yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(new, pa.binary()).cast(kind)], names=["row", "_text"])
 
 
 def _remover(source: Broadcast, text: str, length: str | None):
@@ -305,10 +355,7 @@ def _remover(source: Broadcast, text: str, length: str | None):
                 again = []
                 for d in np.unique(owner).tolist():
                     mine = owner == d
-                    zero, old = int(w.origin[d]), changed.get(todo[d], texts[todo[d]])
-                    cuts = [(int(w.start[a]) - zero, int(w.end[b - 1]) - zero) for a, b in zip(begin[mine], end[mine])]
-                    edges = [0, *(x for cut in cuts for x in cut), len(old)]
-                    changed[todo[d]] = b"".join(old[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                    changed[todo[d]] = _without(changed.get(todo[d], texts[todo[d]]), int(w.origin[d]), w, begin[mine], end[mine])
                     again.append(todo[d])
                 todo = again
             if changed:

@@ -231,6 +231,27 @@ def test_lines_of_odd_rows(spark, odd):
     assert without_repeated_lines(odd.limit(0)).count() == 0
 
 
+# Decontamination
+
+
+def test_cuts_do_not_depend_on_benchmark_blocks(spark, monkeypatch):
+    items, rows = [], []
+    for i in range(6):
+        outer, inner = ([f"{c}{i}x{k}" for k in range(8)] for c in "op")
+        items += [(2 * i, " ".join(outer)), (2 * i + 1, " ".join(inner)), (20 + i, " ".join([*inner[4:], f"q{i}"]))]
+        # The outer phrase forms when the inner one is gone; the third overlaps the inner one.
+        rows.append((i, "é, " + " ".join(["start", *outer[:3], *inner, *outer[3:], "end"]), 0))
+        rows.append((10 + i, " ".join(["Start", *inner, f"q{i}.", "end"]), 0))
+    rows += [(30, None, None), (31, "", 0), (32, "clean text", 10), (32, "clean text", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = Counter([(i, "é, start  end", 13) for i in range(6)] + [(10 + i, "Start . end", 11) for i in range(6)] + rows[12:])
+    for words in (1_000_000, 300):
+        monkeypatch.setattr("gridlake.llm.decontamination.PASS_WORDS", words)
+        out = without_benchmark(docs, bench)
+        assert Counter(map(tuple, out.collect())) == want and out.columns == docs.columns
+
+
 # Resampling
 
 

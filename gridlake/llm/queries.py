@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import bpe
+from gridlake.llm import bpe, pieces
+from gridlake.llm.conversations import damaged, repair_conversations
 from gridlake.llm.decontamination import contamination
 from gridlake.llm.jaccard import similar_classes
 from gridlake.llm.licenses import license_scan
 from gridlake.llm.line_dedup import without_repeated_lines
+from gridlake.llm.periodic import periodic_runs, planted
 from gridlake.llm.repetition import repetition_rules
 from gridlake.llm.resampling import importance_resample
 from gridlake.llm.secrets import BASE, secret_scan
@@ -21,6 +23,7 @@ from gridlake.llm.url_rules import judge_urls
 from gridlake.sources.tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -58,11 +61,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-def round_trip_digests(texts: DataFrame) -> DataFrame:
+def round_trip_digests(texts: DataFrame, between: str = ",") -> DataFrame:
     return texts.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), between), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
@@ -145,3 +148,28 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance_resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(table(spark, folder, "documents"), plan=planted)
+    longest = F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.get(longest, F.lit(0)).alias("_best"), lines.alias("_lines"), "collapsed").select(
+        "doc_id", "n_runs", F.col("_best.start").alias("start"), (-F.col("_best.n")).alias("length"),
+        F.col("_best.period").alias("period"),
+        F.expr("-_best.n * 1000 DIV _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join("_lines", ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    report = repair_conversations(damaged(table(spark, folder, "conversations")), present="present").report
+    return report.withColumnRenamed("conv", "conv_id")
+
+
+@query()
+def op13_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(PIECES)
+    return round_trip_digests(pieces.encode(table(spark, folder, "documents"), path, decoded=True), " ")

@@ -84,11 +84,14 @@ def unescape(c: Column | str) -> Column:
     return F.when(c.isNotNull(), decoded)
 
 
-def unnest(df: DataFrame, keep: list[str | Column], array: Column | str, position: str, item: str) -> DataFrame:
-    """One row per array element with its position; rows with an empty or NULL array give none.
+def unnest(
+    df: DataFrame, keep: list[str | Column], array: Column | str, position: str, item: str, also: Column | None = None
+) -> DataFrame:
+    """One row per array element with its position; rows with an empty or NULL array give none, unless `also` holds.
 
     An inner explode makes the optimiser test the array's size below it, which computes an expensive array
     (parsed JSON, pattern matches) twice. The outer form does not.
     """
     rows = df.select(*keep, F.posexplode_outer(as_column(array)).alias(position, item))
-    return rows.filter(F.col(position).isNotNull())
+    there = F.col(position).isNotNull()
+    return rows.filter(there if also is None else there | also)

@@ -85,11 +85,12 @@ def title_element(html: Column | str) -> Column:
 
 
 def page_meta(
-    pages: DataFrame, url: str, html: str, as_of: Column, title_fallback: bool = False, keep: list[str] | None = None
+    pages: DataFrame, url: str, html: str, as_of: Column, title_fallback: bool = False, keep: list[str] | None = None,
+    untitled: bool = False,
 ) -> DataFrame:
-    """Title, publication date and summary from meta tags. Pages without a title are dropped; a page
-    without a date gets the date of `as_of`. With `title_fallback` the title element serves when the
-    meta title is missing."""
+    """Title, publication date and summary from meta tags. Pages without a title are dropped, or with `untitled`
+    kept with a NULL title; a page without a date gets the date of `as_of`. With `title_fallback` the title element
+    serves when the meta title is missing."""
     metas = F.col("_metas")
     title = _meta(metas, "property", "og:title")
     if title_fallback:
@@ -101,13 +102,14 @@ def page_meta(
         _meta(metas, "name", "description").alias("_summary"),
         *(keep or []),
     )
-    return raw.select(
+    found = raw.select(
         "url_source",
         F.coalesce(iso_date("_date"), F.to_date(as_of)).alias("date_publication"),
-        strip(unescape("_title")).alias("titre"),
+        F.nullif(strip(unescape("_title")), F.lit("")).alias("titre"),
         strip(unescape("_summary")).alias("contenu_resume"),
         *(keep or []),
-    ).filter(F.col("titre") != "")
+    )
+    return found if untitled else found.filter(F.col("titre").isNotNull())
 
 
 def frontier(

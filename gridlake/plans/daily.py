@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from gridlake.functions.scalar import nan_to_null
 from gridlake.operators.aggregates import freshness
-from gridlake.operators.cleaning import coerce_numeric, require
+from gridlake.operators.cleaning import coerce_numeric
 from gridlake.operators.time_windows import recent
 from gridlake.operators.web import page_meta
 from gridlake.plans.gold import gold, publish_gold
@@ -33,6 +33,7 @@ from gridlake.sources.schemas import (
 )
 
 Tables = Mapping[str, DataFrame]
+BAD = "bad"  # a reader's mark of a document that could not be read
 
 
 def stamp(col: str) -> Column:
@@ -41,16 +42,19 @@ def stamp(col: str) -> Column:
 
 
 def consumption_rows(docs: DataFrame) -> DataFrame:
-    """`docs` has a JSON text `json` and its arrival order `seq`, as in all readers below."""
-    rows = payloads.flatten_blocks(payloads.parse(docs, "json", CONSUMPTION_PAYLOAD), "short_term", "values", "type", ["seq"], "pos")
+    """`docs` has a JSON text `json` and its arrival order `seq`, as in all readers below. A document that cannot be
+    read gives one row with a mark in `bad`."""
+    parsed = payloads.parse(docs, "json", CONSUMPTION_PAYLOAD, BAD)
+    rows = payloads.flatten_blocks(parsed, "short_term", "values", "type", ["seq"], "pos", BAD)
     return rows.select(
-        "seq", "pos", stamp("start_date").alias("start_date"), stamp("end_date").alias("end_date"),
+        "seq", "pos", BAD, stamp("start_date").alias("start_date"), stamp("end_date").alias("end_date"),
         stamp("updated_date").alias("updated_date"), F.col("value").alias("value_mw"), "type",
     )
 
 
 def weather_rows(docs: DataFrame) -> DataFrame:
-    parsed = payloads.parse(docs, "json", WEATHER_PAYLOAD)
+    must = ["hourly.time", "hourly.temperature_2m", "hourly.windspeed_10m", "hourly.cloud_cover"]
+    parsed = payloads.parse(docs, "json", WEATHER_PAYLOAD, BAD, must)
     rows = payloads.zip_arrays(
         parsed,
         {
@@ -61,14 +65,14 @@ def weather_rows(docs: DataFrame) -> DataFrame:
         },
         ["seq", "region"],
         "pos",
+        BAD,
     )
     return rows.withColumn("date_heure", stamp("date_heure"))
 
 
 def price_rows(docs: DataFrame) -> DataFrame:
-    rows = payloads.flatten_prices(docs, "json", keep=["seq"], position="pos")
-    points = rows.select("seq", "pos", stamp("start_date").alias("date_heure"), F.col("price").alias("prix_eur_mwh"))
-    return require(points, ["date_heure"])
+    rows = payloads.flatten_prices(docs, "json", keep=["seq"], position="pos", bad=BAD)
+    return rows.select("seq", "pos", BAD, stamp("start_date").alias("date_heure"), F.col("price").alias("prix_eur_mwh"))
 
 
 def regional_rows(docs: DataFrame) -> DataFrame:
@@ -79,19 +83,21 @@ def regional_rows(docs: DataFrame) -> DataFrame:
         "consommation_brute_electricite_rte": "consommation_brute_electricite_mw",
         "statut_rte": "statut_rte",
     }
-    rows = payloads.records_to_rows(payloads.parse(docs, "json", REGIONAL_PAYLOAD), "results", mapping, ["seq"], "pos")
+    parsed = payloads.parse(docs, "json", REGIONAL_PAYLOAD, BAD)
+    rows = payloads.records_to_rows(parsed, "results", mapping, ["seq"], "pos", BAD)
     return rows.withColumn("date_heure", stamp("date_heure"))
 
 
 def mix_rows(docs: DataFrame) -> DataFrame:
     mapping = {c: c for c in ["date_heure", *MIX_FIELDS]}
-    rows = payloads.records_to_rows(payloads.parse(docs, "json", MIX_PAYLOAD), "results", mapping, ["seq"], "pos")
+    parsed = payloads.parse(docs, "json", MIX_PAYLOAD, BAD)
+    rows = payloads.records_to_rows(parsed, "results", mapping, ["seq"], "pos", BAD)
     return coerce_numeric(rows, MIX_FIELDS).withColumn("date_heure", stamp("date_heure"))
 
 
 def news_rows(pages: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
-    """`pages` has url, html and seq."""
-    found = page_meta(pages, "url", "html", as_of, keep=["seq"])
+    """`pages` has url, html and seq. A page without a title is kept, to be rejected by the required title."""
+    found = page_meta(pages, "url", "html", as_of, keep=["seq"], untitled=True)
     return recent(found, "date_publication", as_of, days)
 
 
@@ -105,37 +111,58 @@ READERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 PART = "part"
+QUARANTINE = "reason string, seq long, place string, text string"
 
 
 def land(spark: SparkSession, fact: Fact, rows: DataFrame, root: str, batch_id: int) -> dict[str, int]:
     """Upsert one source's batch: documents apply in `seq` order, their rows in theirs.
 
     The fact is stored by month of its stamp (news by bucket of its address), and only the partitions the
-    batch touches are rewritten. NaN is stored as NULL. Rows that lack a required field are not landed; they are
-    counted by the first field they lack, and the counts are returned.
+    batch touches are rewritten. NaN is stored as NULL. Rows that lack a required field, and documents that could
+    not be read, are not landed: they are stored in the quarantine (`read_quarantine`) in the same attempt, with the
+    first reason, their place and their text or values; their counts by reason are returned.
     """
     order = F.struct(*[c for c in ("seq", "pos") if c in rows.columns])
     doubles = [f.name for f in fact.schema if isinstance(f.dataType, DoubleType)]
-    lacks = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in fact.must_have()])
+    lacks = [F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in fact.must_have()]
+    mark = [F.col(f"{BAD}.reason")] if BAD in rows.columns else []
+    values = F.to_json(F.struct(*fact.schema.fieldNames()), {"ignoreNullFields": "false"})
+    text = F.when(mark[0].isNotNull(), F.col(f"{BAD}.text")).otherwise(values) if mark else values
+    place = F.to_json(F.struct("pos")) if "pos" in rows.columns else F.lit(None).cast("string")
     parsed = (
         rows.withColumns({c: nan_to_null(c) for c in doubles})
-        .withColumn("_seq", order)
-        .withColumn(PART, fact.partition())
-        .withColumn("_reason", lacks)
-        .select(*fact.schema.fieldNames(), PART, "_seq", "_reason")
-        .persist()  # parsed once: for its fingerprint, the partitions it touches, the merge, and the counts
+        .withColumn("_reason", F.coalesce(*mark, *lacks))
+        .select(
+            *fact.schema.fieldNames(), fact.partition().alias(PART), order.alias("_seq"), "_reason",
+            F.when(
+                F.col("_reason").isNotNull(),
+                F.struct(F.col("_reason").alias("reason"), F.col("seq").cast("long").alias("seq"), place.alias("place"), text.alias("text")),
+            ).alias("_reject"),
+        )
+        .persist()  # parsed once: for its fingerprint, the partitions it touches, the merge, and the rejects
     )
     try:
         upsert_partitions(
-            spark, f"{root}/{fact.name}", parsed.filter("_reason IS NULL").drop("_reason"), [*fact.key, PART],
+            spark, f"{root}/{fact.name}", parsed.filter("_reason IS NULL").drop("_reason", "_reject"), [*fact.key, PART],
             fact.updates, "_seq", PART, batch_id, f"{root}/staged/{fact.name}",
+            rejects=parsed.filter("_reason IS NOT NULL").select("_reject.*"),
+            rejects_to=f"{root}/quarantine/source={fact.name}", touched_to=f"{root}/touched/{fact.name}",
         )
-        counts = parsed.filter("_reason IS NOT NULL").groupBy("_reason").count().collect()  # a row per required field
+        counts = parsed.filter("_reason IS NOT NULL").groupBy("_reason").count().collect()  # a row per reason
         return {r["_reason"]: r["count"] for r in counts}
     finally:
         parsed.unpersist()
 
 
+def read_quarantine(spark: SparkSession, root: str, fact: str | None = None) -> DataFrame:
+    """What the runs kept out of the facts: source, run, reason, place in the run's documents, text or values."""
+    path = f"{root}/quarantine"
+    if path_status(spark, path) is None:
+        return spark.createDataFrame([], f"{QUARANTINE}, source string, run long")
+    rows = spark.read.schema(f"{QUARANTINE}, source string, run long").parquet(path)
+    return rows if fact is None else rows.filter(F.col("source") == fact)
+
+
 def read_fact(
     spark: SparkSession, fact: Fact, root: str, since: date | None = None, until: date | None = None
 ) -> DataFrame:
@@ -173,8 +200,8 @@ def run(
     """One daily run on the tables under `root`; `batch_id` numbers the runs, and a run may be repeated.
 
     `sources` maps a fact to its raw documents (or pages). Returns the gold tables, the freshness report, the
-    errors of failed sources, and for each landed source its rejected rows by reason. A failed source keeps its
-    previous table.
+    errors of failed sources, and for each landed source the counts of its quarantined rows and documents by reason. A
+    failed source keeps its previous table.
     """
     errors: dict[str, str] = {}
     rejected: dict[str, dict[str, int]] = {}

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from gridlake.functions.scalar import truncate
 from gridlake.operators import aggregates, time_windows
 from gridlake.operators.quality import dedupe_first
+from gridlake.plans import daily
 from gridlake.queries.quality import KEY, KEY_SQL, keyed
 from gridlake.queries.registry import Tables, presented, query
 from gridlake.queries.roles import props_k
 from gridlake.session import work_dir
 from gridlake.sources import payloads, tables
 from gridlake.sources.loading import enforce_constraints, mark_constraints, upsert, upsert_partitions
-from gridlake.sources.schemas import CONSUMPTION_PAYLOAD, MIX_FIELDS, MIX_PAYLOAD, WEATHER_PAYLOAD
+from gridlake.sources.schemas import CONSUMPTION_PAYLOAD, FACTS, MIX_FIELDS, MIX_PAYLOAD, WEATHER_PAYLOAD
 
 START, END = date(2024, 1, 1), date(2024, 2, 9)
 
@@ -328,6 +329,90 @@ def upsert_corrected(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{folder}/table").select(*UPSERT_KEY, "last_id", "value")
 
 
+@query(
+    """SELECT user_id, CAST(ts AS DATE) AS day, event_type, max(event_id) AS last_id, -arg_max(value, event_id) AS value
+    FROM events GROUP BY ALL"""
+)
+def upsert_corrected_repeats(t: Tables) -> DataFrame:
+    """The same, with every row of the batch there twice: equal rows must not hide that the values changed."""
+    folder = work_dir(t.spark, "corrected-repeats")
+    rows = t.events.select("user_id", F.col("ts").cast("date").alias("day"), "event_type", F.col("event_id").alias("last_id"), "value", F.col("event_id").alias("seq"))
+    for sign in (1, -1):
+        batch = rows.withColumn("value", sign * F.col("value"))
+        upsert_partitions(
+            t.spark, f"{folder}/table", batch.unionAll(batch), UPSERT_KEY, ["last_id", "value"], "seq", "day", 0, f"{folder}/staged"
+        )
+    return t.spark.read.parquet(f"{folder}/table").select(*UPSERT_KEY, "last_id", "value")
+
+
+def damaged_documents(docs: DataFrame, json: str = "json", number: str = "event_id") -> DataFrame:
+    """Two in ten documents cut short, and one each an error page, an error object, an empty answer and none."""
+    text, kind = F.col(json), F.col(number) % 10
+    return docs.withColumn(
+        json,
+        F.when(kind.isin(1, 2), F.substr(text, F.lit(1), (F.length(text) * kind / 3).cast("int")))
+        .when(kind == 4, "<html>503</html>").when(kind == 5, '{"error": "quota"}').when(kind == 6, "").when(kind != 7, text),
+    )
+
+
+DAMAGE_SQL = """CASE event_id % 10 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'not JSON' WHEN 4 THEN 'not JSON'
+  WHEN 5 THEN 'unexpected shape' WHEN 6 THEN 'empty document' WHEN 7 THEN 'no document' END"""
+
+
+@query(
+    f"""WITH d AS (SELECT *, {DAMAGE_SQL} AS reason FROM events)
+    SELECT event_id, event_type AS type, ts AS start_date, value, NULL AS reason FROM d WHERE reason IS NULL
+    UNION ALL SELECT event_id, event_type, ts, CAST(json_extract_string(props, '$.k') AS DOUBLE), NULL FROM d WHERE reason IS NULL
+    UNION ALL SELECT event_id, 'ID', ts, value / 2, NULL FROM d WHERE reason IS NULL
+    UNION ALL SELECT event_id, NULL, NULL, NULL, reason FROM d WHERE reason IS NOT NULL"""
+)
+def corrupt_documents(t: Tables) -> DataFrame:
+    """Rows of the good documents, and one row with the reason for each that could not be read."""
+    docs = payloads.parse(damaged_documents(consumption_documents(t)), "json", CONSUMPTION_PAYLOAD, "bad")
+    rows = payloads.flatten_blocks(docs, "short_term", "values", "type", ["event_id"], bad="bad")
+    return rows.select(
+        "event_id", "type", F.col("start_date").cast("timestamp_ntz").alias("start_date"), "value", "bad.reason"
+    )
+
+
+def price_documents(t: Tables) -> DataFrame:
+    """A document per event with one flat point; errors have no date, sign-ups no readable one."""
+    date_text = F.when(F.col("event_type") == "signup", "soon").when(F.col("event_type") != "error", stamp_text())
+    point_of = F.struct(date_text.alias("start_date"), F.col("value").alias("price"))
+    return t.events.select("event_id", F.to_json(F.struct(F.array(point_of).alias("prices"))).alias("json"))
+
+
+@query(
+    f"""WITH d AS (SELECT *, {DAMAGE_SQL} AS reason FROM events)
+    SELECT event_id, ts AS start_date, value AS price, NULL AS reason FROM d WHERE reason IS NULL AND event_type NOT IN ('error', 'signup')
+    UNION ALL SELECT event_id, NULL, value, NULL FROM d WHERE reason IS NULL AND event_type IN ('error', 'signup')
+    UNION ALL SELECT event_id, NULL, NULL, reason FROM d WHERE reason IS NOT NULL"""
+)
+def corrupt_prices(t: Tables) -> DataFrame:
+    rows = payloads.flatten_prices(damaged_documents(price_documents(t)), "json", keep=["event_id"], bad="bad")
+    return rows.select(
+        "event_id", F.col("start_date").try_cast("timestamp_ntz").alias("start_date"), "price", "bad.reason"
+    )
+
+
+@query(
+    f"""WITH d AS (SELECT *, event_id % 3 AS run, {DAMAGE_SQL} AS reason FROM events),
+    c AS (SELECT 'fact_consommation' AS source, run, coalesce(reason, CASE WHEN event_type = 'click' THEN 'null type' END) AS reason, event_id AS seq FROM d),
+    p AS (SELECT 'fact_prix_marche' AS source, run, coalesce(reason, CASE WHEN event_type IN ('error', 'signup') THEN 'null date_heure' END) AS reason, event_id AS seq FROM d)
+    SELECT source, run, reason, seq FROM c WHERE reason IS NOT NULL UNION ALL SELECT source, run, reason, seq FROM p WHERE reason IS NOT NULL"""
+)
+def quarantine(t: Tables) -> DataFrame:
+    """Three runs of two sources, one run repeated: unread documents, null keys and undated prices are all kept."""
+    root = work_dir(t.spark, "quarantine")
+    block = F.struct(F.when(F.col("event_type") != "click", F.col("event_type")).alias("type"), F.array(point(F.col("value"))).alias("values"))
+    consumption = t.events.select("event_id", F.to_json(F.struct(F.array(block).alias("short_term"))).alias("json"))
+    for run in (0, 1, 2, 2):
+        for name, docs in (("fact_consommation", consumption), ("fact_prix_marche", price_documents(t))):
+            own = damaged_documents(docs).filter(F.col("event_id") % 3 == run).withColumnRenamed("event_id", "seq")
+            daily.land(t.spark, FACTS[name], daily.READERS[name](own), root, run)
+    return daily.read_quarantine(t.spark, root).select("source", "run", "reason", "seq")
+
+
 @query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'O' THEN NULL WHEN o_orderstatus = 'P' THEN '' ELSE 'a \"b\", c' END AS note FROM orders")
 def csv_roundtrip(t: Tables) -> DataFrame:
     """NULL, empty and quoted text, stamps and doubles through CSV."""

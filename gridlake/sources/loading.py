@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,16 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], update_cols: lis
     return merged.select(*[picked[c].alias(c) for c in target.columns])
 
 
+def fingerprint(df: DataFrame) -> str:
+    """Tells apart two versions of a batch, whatever the order of their rows: the count and two sums of row hashes.
+
+    Sums, unlike an exclusive or, do not cancel out when a row is there twice.
+    """
+    total = lambda *cols: F.coalesce(F.sum(F.xxhash64(*cols).cast("decimal(20,0)")), F.lit(0))
+    count, one, two = df.agg(F.count("*"), total(*df.columns), total(F.lit("two"), *df.columns)).first()
+    return f"{count}.{int(one) % 2**64:016x}{int(two) % 2**64:016x}"
+
+
 def upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -61,6 +73,9 @@ def upsert_partitions(
     part: str,
     batch_id: int,
     staging: str,
+    rejects: DataFrame | None = None,
+    rejects_to: str | None = None,
+    touched_to: str | None = None,
 ) -> None:
     """Upsert a batch into a parquet table partitioned by `part`, rewriting only the partitions it touches.
 
@@ -70,20 +85,31 @@ def upsert_partitions(
     that is all; corrected rows are then merged as a further attempt. The copies of other numbers are deleted
     once the batch is in. `staging` belongs to one series of batch numbers (a stream keeps it in its
     checkpoint folder).
+
+    `rejects` are the rows that were kept out of the batch. They are staged in the same attempt, and take the place
+    of what the number had rejected before, under `rejects_to`/run=number. The partitions an attempt touches are
+    listed under `touched_to` before its rows move, so that what is built on the table can follow (`touched_parts`).
     """
     schema = batch.drop(seq).schema
 
-    def move(staged: str) -> None:
-        rows = spark.read.schema(schema).parquet(staged).write.mode("overwrite")
+    def move(attempt: str) -> None:
+        staged = f"{own}/{attempt}"
+        if rejects is not None:
+            out = spark.read.schema(rejects.schema).parquet(f"{staged}/rejects").write.mode("overwrite")
+            out.parquet(f"{rejects_to}/run={batch_id}")
+        if touched_to:
+            names = [c.partition("=")[2] for c in child_names(spark, f"{staged}/rows") if c.startswith(f"{part}=")]
+            listed = spark.createDataFrame([(unquote(n),) for n in names], "part string")
+            listed.coalesce(1).write.mode("overwrite").parquet(f"{touched_to}/{batch_id}-{attempt}")
+        rows = spark.read.schema(schema).parquet(f"{staged}/rows").write.mode("overwrite")
         rows.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
-    count, mixed = batch.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64(*batch.columns)), F.lit(0))).first()
-    fingerprint = f"{count}.{mixed & 0xFFFFFFFFFFFFFFFF:016x}"
+    mark = fingerprint(batch) + (f"-{fingerprint(rejects)}" if rejects is not None else "")
     own = f"{staging}/batch={batch_id}"
-    done = [a for a in child_names(spark, own) if path_status(spark, f"{own}/{a}/_SUCCESS")]
+    done = [a for a in child_names(spark, own) if path_status(spark, f"{own}/{a}/rows/_SUCCESS")]
     for attempt in done:
-        move(f"{own}/{attempt}")
-    if not done or done[-1].partition("-")[2] != fingerprint:
+        move(attempt)
+    if not done or done[-1].partition("-")[2] != mark:
         cols = [c for c in batch.columns if c != seq]
         if path_status(spark, path) is None:
             current = batch.select(*cols).limit(0)
@@ -91,10 +117,20 @@ def upsert_partitions(
             # one value per touched partition, so that the scan lists and reads those only
             touched = [row[0] for row in batch.select(part).distinct().collect()]
             current = spark.read.schema(batch.select(*cols).schema).parquet(path).filter(F.col(part).isin(touched))
-        staged = f"{own}/{len(done):06d}-{fingerprint}"
+        attempt = f"{len(done):06d}-{mark}"
+        if rejects is not None:
+            rejects.write.mode("overwrite").parquet(f"{own}/{attempt}/rejects")
         merged = upsert(current.select(*cols), batch, key, update_cols, seq)
-        merged.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(staged)
-        move(staged)
+        merged.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(f"{own}/{attempt}/rows")
+        move(attempt)
     for other in child_names(spark, staging):
         if other != f"batch={batch_id}":
             delete_path(spark, f"{staging}/{other}")  # superseded: this batch is committed
+
+
+def touched_parts(spark: SparkSession, touched_to: str) -> tuple[set[str], list[str]]:
+    """Partitions listed and not yet taken, and the lists to delete when they are."""
+    lists = [f"{touched_to}/{c}" for c in child_names(spark, touched_to) if path_status(spark, f"{touched_to}/{c}/_SUCCESS")]
+    if not lists:
+        return set(), []
+    return {r.part for r in spark.read.schema("part string").parquet(*lists).distinct().collect()}, lists

@@ -1,6 +1,7 @@
 """The daily run on hand-made payloads: two runs, with corrections, a failed source, and all layers."""
 
 import json
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridlake.plans import analysis, daily
 from gridlake.plans.silver import silver
+from gridlake.sources.loading import upsert_partitions
 from gridlake.sources.schemas import FACTS
 from gridlake.sources.tables import settled
 
@@ -108,7 +110,8 @@ def fact(spark, base, version, name):
 def test_first_run_lands_every_source(spark, runs):
     base, (_, _, errors, rejected), _ = runs
     assert errors == {}
-    assert rejected == {name: {} for name in FACTS}
+    assert rejected == {name: {} for name in FACTS} | {
+        "fact_prix_marche": {"null date_heure": 1}, "fact_actualites": {"null titre": 1}}
     conso = {(r.start_date.hour, r.start_date.minute, r.type): r.value_mw for r in fact(spark, base, "v1", "fact_consommation").collect()}
     assert conso == {(9, 0, "REALISED"): 120.0, (9, 15, "REALISED"): 110.0, (12, 0, "REALISED"): 90.0, (9, 0, "D-1"): 1.0}
     prices = {r.date_heure.hour * 100 + r.date_heure.minute: r.prix_eur_mwh for r in fact(spark, base, "v1", "fact_prix_marche").collect()}
@@ -209,3 +212,47 @@ def test_rejected_rows_are_counted_and_corrections_of_a_number_land(spark, tmp_p
     for value in (1.0, 99.0, 99.0):
         assert land(value) == {"null start_date": 1}
         assert landed() == [value]
+
+
+def test_unreadable_documents_and_rejected_rows_are_kept(spark, tmp_path):
+    root, name = str(tmp_path / "facts"), "fact_consommation"
+    good = json.dumps(consumption(("2026-01-05T10:00:00Z", 1.0), (None, 5.0)))
+    texts = [good, good[:50], "", None, '{"error": "quota"}', "[]", good + "x", '{"short_term": [{"type": "ID"}]}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "seq long, json string")
+
+    def quarantined():
+        return Counter((r.source, r.run, r.reason, r.seq, r.text) for r in daily.read_quarantine(spark, root).collect())
+
+    def fields(value):
+        return json.dumps({"start_date": None, "end_date": None, "updated_date": "2026-01-05T11:00:00.000Z", "value_mw": value, "type": "REALISED"}, separators=(",", ":"))
+
+    counts = daily.land(spark, FACTS[name], daily.consumption_rows(rows), root, 3)
+    assert counts == {"null start_date": 1, "not JSON": 2, "empty document": 1, "no document": 1, "unexpected shape": 3}
+    want = Counter({
+        (name, 3, "null start_date", 0, fields(5.0)): 1, (name, 3, "not JSON", 1, good[:50]): 1, (name, 3, "not JSON", 6, good + "x"): 1,
+        (name, 3, "empty document", 2, ""): 1, (name, 3, "no document", 3, None): 1, (name, 3, "unexpected shape", 5, "[]"): 1,
+        (name, 3, "unexpected shape", 4, texts[4]): 1, (name, 3, "unexpected shape", 7, '{"type":"ID"}'): 1,
+    })
+    assert quarantined() == want
+    daily.land(spark, FACTS[name], daily.consumption_rows(rows), root, 3)  # the same again adds nothing
+    assert quarantined() == want
+    daily.land(spark, FACTS[name], daily.consumption_rows(rows.filter("seq < 2")), root, 3)  # corrected
+    assert {k[2] for k in quarantined()} == {"null start_date", "not JSON"}
+    daily.land(spark, FACTS[name], daily.consumption_rows(rows.filter("seq = 2")), root, 4)
+    assert {k[1:3] for k in quarantined()} == {(3, "null start_date"), (3, "not JSON"), (4, "empty document")}
+    assert [r.value_mw for r in daily.read_fact(spark, FACTS[name], root).collect()] == [1.0]
+
+
+def test_every_reader_reports_an_outage(spark, tmp_path):
+    root = str(tmp_path / "facts")
+    for name, reader in daily.READERS.items():
+        broken = docs(spark, {}, {}, region=["Bretagne", "Corse"]).withColumn("json", F.lit('{"broken json'))
+        assert daily.land(spark, FACTS[name], reader(broken), root, 0) == {"not JSON": 2}
+    assert daily.read_quarantine(spark, root, "fact_eco2mix").count() == 2
+
+
+def test_corrected_batch_of_repeated_rows_lands(spark, tmp_path):
+    for value in (1.0, 99.0):
+        batch = spark.createDataFrame([(1, "2026-01", value, 0), (1, "2026-01", value, 0)], "k long, part string, v double, seq long")
+        upsert_partitions(spark, f"{tmp_path}/table", batch, ["k", "part"], ["v"], "seq", "part", 1, f"{tmp_path}/staged")
+    assert [r.v for r in spark.read.parquet(f"{tmp_path}/table").collect()] == [99.0]

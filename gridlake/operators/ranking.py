@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from gridlake.functions.scalar import round_to
+from gridlake.functions.scalar import nan_to_null, round_to
 from gridlake.operators.joining import attach
 from gridlake.sources.tables import settled
 
 
 def top_k(df: DataFrame, val: str, k: int = 10, tie: str | list[str] | None = None) -> DataFrame:
-    """The k largest values; each task keeps its own k rows (TakeOrderedAndProject)."""
+    """The k largest values, NaN counting as missing; each task keeps its own k rows (TakeOrderedAndProject)."""
     ties = [tie] if isinstance(tie, str) else list(tie or [])
-    return df.orderBy(F.desc(val), *[F.asc(t) for t in ties]).limit(k)
+    value = nan_to_null(val) if isinstance(df.schema[val].dataType, (DoubleType, FloatType)) else F.col(val)
+    return df.orderBy(value.desc(), *[F.asc(t) for t in ties]).limit(k)
 
 
 def order_by(df: DataFrame, ts: str) -> DataFrame:
@@ -44,8 +46,17 @@ def top_k_with_rest(
     are, the key breaking ties. A group is in the top k when it stands no lower than the k-th one, so one
     k-row sort replaces a window over all groups. `round_means` rounds the means before they are summed.
     """
-    mean = round_to(F.avg(val), digits) if round_means else F.avg(val)
-    means = settled(df.groupBy(key).agg(mean.alias("mean")), "means")  # read twice: a mean must have one value
+    mean = F.avg(nan_to_null(val))
+    means = df.groupBy(key).agg((round_to(mean, digits) if round_means else mean).alias("mean"))
+    return top_k_of_means(means, key, k, rest_label, ties, digits, nulls_first)
+
+
+def top_k_of_means(
+    means: DataFrame, key: str, k: int = 3, rest_label: str = "Autres régions", ties: bool = True, digits: int = 0,
+    nulls_first: bool = True,
+) -> DataFrame:
+    """The same for a table of group means (`key`, `mean`)."""
+    means = settled(means, "means")  # read twice: a mean must have one value
     standing = _standing(F.col("mean"), nulls_first)
     best = means.select(key, standing.alias("_standing")).orderBy(F.desc("_standing"), F.asc(key)).limit(k)
     if ties:
@@ -77,7 +88,7 @@ def rank_groups(
     groups by sketched cut points. A mean's rank follows from the groups in higher slices and those above it in its own slice, so
     no task ranks all groups.
     """
-    averages = df.groupBy(key).agg(F.avg(val).alias("mean"))
+    averages = df.groupBy(key).agg(F.avg(nan_to_null(val)).alias("mean"))
     order = F.desc_nulls_first("mean") if nulls_first else F.desc_nulls_last("mean")
     if k is not None:
         return averages.withColumn("rank", F.rank().over(Window.orderBy(order))).filter(F.col("rank") <= k)

@@ -62,10 +62,15 @@ def describe(df: DataFrame, cols: list[str], at_once: int = AT_ONCE) -> DataFram
 
 def pearson_test(df: DataFrame, x: str, y: str) -> DataFrame:
     """r, t, p (two-sided) and n over complete pairs without NaN. All but n are NULL below two pairs."""
-    base = df.agg(F.regr_count(nan_to_null(y), nan_to_null(x)).alias("n"), pearson(x, y).alias("_r"))
+    return pearson_result(df.agg(F.regr_count(nan_to_null(y), nan_to_null(x)).alias("n"), pearson(x, y).alias("_r")))
+
+
+def pearson_result(base: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The test from `n` and `_r`, per row of `keys`."""
+    keys = keys or []
     r = F.col("_r")
     t = F.try_divide(r * F.sqrt(F.greatest(F.col("n") - 2, F.lit(0))), F.sqrt(1 - r * r))
-    tested = base.select("n", r.alias("r"), t.alias("t")).withColumn(
+    tested = base.select(*keys, "n", r.alias("r"), t.alias("t")).withColumn(
         "_p", t_pvalue("t", F.when(F.col("n") > 2, (F.col("n") - 2).cast("double")))
     )
     p = (
@@ -74,7 +79,7 @@ def pearson_test(df: DataFrame, x: str, y: str) -> DataFrame:
         .when(F.abs("r") == 1, 0.0)
         .otherwise(F.col("_p"))
     )
-    return tested.select("r", "t", p.alias("p"), "n")
+    return tested.select(*keys, "r", "t", p.alias("p"), "n")
 
 
 def welch_test(df: DataFrame, group: str, a, b, val: str) -> DataFrame:
@@ -88,6 +93,11 @@ def welch_test(df: DataFrame, group: str, a, b, val: str) -> DataFrame:
         of(a, F.avg, "mean_a"), of(b, F.avg, "mean_b"),
         of(a, F.var_samp, "_va"), of(b, F.var_samp, "_vb"),
     )
+    return welch_result(m)
+
+
+def welch_result(m: DataFrame) -> DataFrame:
+    """The test from one row of counts, means and variances (`_va`, `_vb`)."""
     sa, sb = F.try_divide(F.col("_va"), F.col("n_a")), F.try_divide(F.col("_vb"), F.col("n_b"))
     t = F.try_divide(F.col("mean_a") - F.col("mean_b"), F.sqrt(sa + sb))
     dof = F.try_divide(

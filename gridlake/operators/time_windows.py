@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalar import local_time
+from gridlake.sources.tables import settled
 
 PARIS = "Europe/Paris"
 
@@ -134,12 +135,13 @@ def load_report(df: DataFrame, ts: str, start: date, end: date, rule: int | str)
     Rows outside the asked range (or without a stamp) are one more row without a chunk, if there are any.
     """
     outside = F.col(ts).isNull() | (F.col(ts) < F.lit(start)) | (F.col(ts) >= F.date_add(F.lit(end), 1))
-    strays = df.filter(outside).agg(F.count("*").alias("rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
-    found = (
-        df.filter(~outside)
-        .groupBy(chunk_index(F.col(ts), start, rule).alias("chunk"))
-        .agg(F.count("*").alias("_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+    counted = settled(
+        df.groupBy(F.when(~outside, chunk_index(F.col(ts), start, rule)).alias("chunk"))
+        .agg(F.count("*").alias("_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")),
+        "chunk-rows",  # one row per chunk and one for strays: the table is read once
     )
+    strays = counted.filter("chunk IS NULL").select(F.col("_rows").alias("rows"), "first_ts", "last_ts")
+    found = counted.filter("chunk IS NOT NULL")
     so_far = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)  # one row per chunk
     asked = (
         chunk_table(df.sparkSession, start, end, rule)
@@ -150,4 +152,68 @@ def load_report(df: DataFrame, ts: str, start: date, end: date, rule: int | str)
             F.sum("rows").over(so_far).alias("running_rows"),
         )
     )
-    return asked.unionByName(strays.filter("rows > 0"), allowMissingColumns=True)
+    return asked.unionByName(strays, allowMissingColumns=True)
+
+
+def asked_slots(asked: DataFrame, request: str, start: str, end: str, slot_seconds: int) -> DataFrame:
+    """Every slot that the half-open range of a request touches: (request, _slot)."""
+    first, last = (F.unix_micros(F.col(c).cast("timestamp")) for c in (start, end))
+    width = slot_seconds * 1_000_000
+    days = asked.filter(F.col(start) < F.col(end)).select(
+        request, F.explode(F.sequence(F.floor(first / width), F.floor((last - 1) / width))).alias("_slot")
+    )
+    return days.distinct()
+
+
+def load_report_requests(
+    rows: DataFrame, ts: str, request: str, asked: DataFrame, start: str = "asked_from", end: str = "asked_to",
+    slot_seconds: int = 86_400,
+) -> DataFrame:
+    """Per request of the ledger `asked` (its number and half-open range): what came back against what was asked for.
+
+    `rows` carry the number of the request that brought them. `strays` lie outside their own request's range (or have
+    no stamp); `elsewhere` counts those that lie in another request's, and `elsewhere_of` is the least such number, so a
+    stray is seen even where the ranges together leave no gap. `holes` are slots asked for and not returned by the
+    request, `shared` those that other requests ask for as well. A number that is not in the ledger is reported
+    without a range, its rows as strays; a request without rows has `first_ts` NULL.
+
+    The rows are read once and reduced to one row per request and slot (or stray stamp); all else works on that.
+    """
+    range_of = asked.select(request, start, end)
+    inside = F.coalesce((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end)), F.lit(False))
+    slot = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (slot_seconds * 1_000_000))
+    found = settled(
+        rows.select(request, ts).join(range_of, request, "left")
+        .groupBy(request, inside.alias("_inside"), slot.alias("_slot"), F.when(~inside, F.col(ts)).alias("_stray"))
+        .agg(F.count("*").alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last")),
+        "returned",
+    )
+    returned = found.groupBy(request).agg(
+        F.sum("_n").alias("rows"), F.min("_first").alias("first_ts"), F.max("_last").alias("last_ts"),
+        F.sum(F.when(F.col("_inside"), 0).otherwise(F.col("_n"))).alias("strays"),
+    )
+    cells = settled(asked_slots(asked, request, start, end, slot_seconds), "asked")
+    others = cells.join(range_of, request).withColumnsRenamed({request: "_other"})
+    elsewhere = (
+        found.filter(~F.col("_inside")).join(others, "_slot")
+        .filter((F.col("_stray") >= F.col(start)) & (F.col("_stray") < F.col(end)) & ~F.col(request).eqNullSafe(F.col("_other")))
+        .groupBy(request, "_stray").agg(F.first("_n").alias("_n"), F.min("_other").alias("_other"))
+        .groupBy(request).agg(F.sum("_n").alias("elsewhere"), F.min("_other").alias("elsewhere_of"))
+    )
+    holes = (
+        cells.join(found.filter("_inside").select(request, "_slot"), [request, "_slot"], "left_anti")
+        .groupBy(request).agg(F.count("*").alias("holes"), F.min("_slot").alias("_hole"))
+    )
+    often = cells.groupBy("_slot").agg(F.count("*").alias("_askers")).filter("_askers > 1")
+    shared = cells.join(often, "_slot").groupBy(request).agg(F.count("*").alias("shared"))
+    report = range_of.join(returned, request, "full_outer")
+    for part in (elsewhere, holes, shared):
+        named = part.withColumnRenamed(request, "_request")
+        report = report.join(named, F.col(request).eqNullSafe(F.col("_request")), "left").drop("_request")
+    zero = F.lit(0).cast("long")
+    count = lambda c: F.coalesce(c, zero).alias(c)
+    first_hole = F.timestamp_micros(F.col("_hole") * slot_seconds * 1_000_000).cast(rows.schema[ts].dataType)
+    return report.select(
+        request, start, end, count("rows"), "first_ts", "last_ts", count("strays"), count("elsewhere"), "elsewhere_of",
+        count("holes"), first_hole.alias("first_hole"), count("shared"),
+    )

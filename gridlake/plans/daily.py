@@ -1,4 +1,4 @@
-"""The daily run: landed payloads -> facts -> silver -> gold -> freshness.
+"""The daily run: landed payloads -> facts -> silver and gold of the touched months -> freshness.
 
 Sources are independent: one that fails is reported and the others go on.
 """
@@ -17,8 +17,7 @@ from gridlake.operators.aggregates import freshness
 from gridlake.operators.cleaning import coerce_numeric
 from gridlake.operators.time_windows import recent
 from gridlake.operators.web import page_meta
-from gridlake.plans.gold import gold, publish_gold
-from gridlake.plans.silver import silver
+from gridlake.plans.monthly import refresh
 from gridlake.session import child_names, path_status
 from gridlake.sources import payloads
 from gridlake.sources.loading import enforce_constraints, upsert_partitions
@@ -146,7 +145,8 @@ def land(spark: SparkSession, fact: Fact, rows: DataFrame, root: str, batch_id:
             spark, f"{root}/{fact.name}", parsed.filter("_reason IS NULL").drop("_reason", "_reject"), [*fact.key, PART],
             fact.updates, "_seq", PART, batch_id, f"{root}/staged/{fact.name}",
             rejects=parsed.filter("_reason IS NOT NULL").select("_reject.*"),
-            rejects_to=f"{root}/quarantine/source={fact.name}", touched_to=f"{root}/touched/{fact.name}",
+            rejects_to=f"{root}/quarantine/source={fact.name}",
+            touched_to=f"{root}/touched/{fact.name}" if fact.by_month() else None,
         )
         counts = parsed.filter("_reason IS NOT NULL").groupBy("_reason").count().collect()  # a row per reason
         return {r["_reason"]: r["count"] for r in counts}
@@ -164,12 +164,13 @@ def read_quarantine(spark: SparkSession, root: str, fact: str | None = None) ->
 
 
 def read_fact(
-    spark: SparkSession, fact: Fact, root: str, since: date | None = None, until: date | None = None
+    spark: SparkSession, fact: Fact, root: str, since: date | None = None, until: date | None = None,
+    months: list[str] | None = None,
 ) -> DataFrame:
     """A landed fact; empty when nothing has landed yet.
 
     `since` and `until` keep the rows stamped in [since, until), and of a fact stored by month only those months
-    are listed and read.
+    are listed and read. `months` (yyyy-MM) keeps those of a fact stored by month.
     """
     path = f"{root}/{fact.name}"
     if path_status(spark, path) is None:
@@ -183,9 +184,15 @@ def read_fact(
     if until is not None:
         rows = rows.filter(F.col(fact.stamp) < F.lit(until).cast(kind))
         rows = rows.filter(F.col(PART) <= f"{until - timedelta(days=1):%Y-%m}") if fact.by_month() else rows
+    if months is not None and fact.by_month():
+        rows = rows.filter(F.col(PART).isin(months))
     return rows.drop(PART)
 
 
+def read_facts(spark: SparkSession, root: str, months: list[str] | None = None) -> Tables:
+    return {name: read_fact(spark, fact, root, months=months) for name, fact in FACTS.items()}
+
+
 def newest_rows(spark: SparkSession, fact: Fact, root: str) -> DataFrame:
     """Rows that hold the newest stamp: the last month of a fact stored by month, else the whole fact."""
     months = [c.partition("=")[2] for c in child_names(spark, f"{root}/{fact.name}") if c.startswith(f"{PART}=")]
@@ -212,10 +219,7 @@ def run(
             rejected[name] = land(spark, fact, rows, root, batch_id)
         except Exception as error:  # one source must not block the others
             errors[name] = f"{type(error).__name__}: {error}"
-    facts = {name: read_fact(spark, fact, root) for name, fact in FACTS.items()}
-    layer = silver(facts)
-    layer.store("conso_meteo_prix_carbone")  # two indicators read this join
-    published = publish_gold(gold(layer), f"{root}/gold")
+    published, _ = refresh(spark, root, lambda months: read_facts(spark, root, months))
     report = freshness([(f.name, newest_rows(spark, f, root), f.stamp) for f in FACTS.values()], as_of)
     return published, report, errors, rejected
 

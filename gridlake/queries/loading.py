@@ -11,10 +11,11 @@ from gridlake.functions.scalar import truncate
 from gridlake.operators import aggregates, time_windows
 from gridlake.operators.quality import dedupe_first
 from gridlake.plans import daily
+from gridlake.plans.monthly import refresh
 from gridlake.queries.quality import KEY, KEY_SQL, keyed
 from gridlake.queries.registry import Tables, presented, query
 from gridlake.queries.roles import props_k
-from gridlake.session import work_dir
+from gridlake.session import child_names, work_dir
 from gridlake.sources import payloads, tables
 from gridlake.sources.loading import enforce_constraints, mark_constraints, upsert, upsert_partitions
 from gridlake.sources.schemas import CONSUMPTION_PAYLOAD, FACTS, MIX_FIELDS, MIX_PAYLOAD, WEATHER_PAYLOAD
@@ -315,6 +316,45 @@ def load_report_strays(t: Tables) -> DataFrame:
     return time_windows.load_report(t.events, "ts", date(2024, 1, 10), date(2024, 1, 20), 7)
 
 
+# Requests of a backfill: the third asks again for a day of the second, days lie between the third and the fourth, and
+# the last one brings nothing.
+REQUESTS = [
+    (1, date(2024, 1, 1), date(2024, 1, 8)), (2, date(2024, 1, 8), date(2024, 1, 15)), (3, date(2024, 1, 14), date(2024, 1, 22)),
+    (4, date(2024, 1, 25), date(2024, 2, 1)), (5, date(2030, 1, 1), date(2030, 1, 4)),
+]
+REQUESTS_SQL = ", ".join(f"({n}, DATE '{a}', DATE '{b}')" for n, a, b in REQUESTS)
+
+
+@query(
+    f"""WITH a AS (SELECT * FROM (VALUES {REQUESTS_SQL}) AS a(request, asked_from, asked_to)),
+    r AS (SELECT event_id, ts, CASE WHEN event_id % 51 = 0 THEN NULL WHEN event_id % 50 = 0 THEN 2 WHEN event_id % 53 = 0 THEN 9
+      ELSE CAST(1 + floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) AS INTEGER) END AS request FROM events),
+    j AS (SELECT r.*, coalesce(ts >= asked_from AND ts < asked_to, FALSE) AS inside FROM r LEFT JOIN a USING (request)),
+    b AS (SELECT request, count(*) AS rows, min(ts) AS first_ts, max(ts) AS last_ts, count(*) FILTER (NOT inside) AS strays FROM j GROUP BY 1),
+    o AS (SELECT j.request, j.event_id, min(a.request) AS other FROM j JOIN a ON NOT inside AND ts >= asked_from AND ts < asked_to
+      AND a.request IS DISTINCT FROM j.request GROUP BY ALL),
+    e AS (SELECT request, count(*) AS elsewhere, min(other) AS elsewhere_of FROM o GROUP BY 1),
+    d AS (SELECT request, CAST(unnest(generate_series(asked_from, asked_to - 1, INTERVAL 1 DAY)) AS DATE) AS day FROM a),
+    h AS (SELECT request, count(*) AS holes, min(day) AS first_hole FROM d
+      WHERE NOT EXISTS (SELECT 1 FROM j WHERE inside AND j.request = d.request AND CAST(ts AS DATE) = day) GROUP BY 1),
+    s AS (SELECT request, count(*) AS shared FROM d WHERE day IN (SELECT day FROM d GROUP BY 1 HAVING count(*) > 1) GROUP BY 1),
+    k AS (SELECT request FROM a UNION SELECT request FROM b)
+    SELECT CAST(k.request AS INTEGER) AS request, asked_from, asked_to, coalesce(rows, 0) AS rows, first_ts, last_ts, coalesce(strays, 0) AS strays,
+      coalesce(elsewhere, 0) AS elsewhere, CAST(elsewhere_of AS INTEGER) AS elsewhere_of, coalesce(holes, 0) AS holes,
+      CAST(first_hole AS TIMESTAMP) AS first_hole, coalesce(shared, 0) AS shared
+    FROM k LEFT JOIN a ON k.request = a.request LEFT JOIN b ON k.request IS NOT DISTINCT FROM b.request
+    LEFT JOIN e ON k.request IS NOT DISTINCT FROM e.request LEFT JOIN h ON k.request = h.request LEFT JOIN s ON k.request = s.request"""
+)
+def load_report_requests(t: Tables) -> DataFrame:
+    """Events as a backfill brought them: some under another request's number, some under none or an unknown one."""
+    asked = t.spark.createDataFrame(REQUESTS, "request int, asked_from date, asked_to date")
+    number = (
+        F.when(F.col("event_id") % 51 == 0, None).when(F.col("event_id") % 50 == 0, 2).when(F.col("event_id") % 53 == 0, 9)
+        .otherwise(1 + time_windows.chunk_index(F.col("ts"), START, 7))
+    )
+    return time_windows.load_report_requests(t.events.select("ts", number.cast("int").alias("request")), "ts", "request", asked)
+
+
 @query(
     """SELECT user_id, CAST(ts AS DATE) AS day, event_type, max(event_id) AS last_id, -arg_max(value, event_id) AS value
     FROM events GROUP BY ALL"""
@@ -413,6 +453,38 @@ def quarantine(t: Tables) -> DataFrame:
     return daily.read_quarantine(t.spark, root).select("source", "run", "reason", "seq")
 
 
+@query(
+    """WITH d AS (SELECT event_id, ts + INTERVAL 1 DAY * (31 * (event_id % 12)) AS moment, event_id % 12 IN (3, 4) AS corrected, value FROM events),
+    f AS (SELECT moment, bool_or(corrected) AS corrected, arg_max(CASE WHEN corrected THEN 2 * value ELSE value END,
+      CASE WHEN corrected THEN 1000000000 ELSE 0 END + event_id) AS v FROM d GROUP BY 1)
+    SELECT date_trunc('month', moment)::TIMESTAMP AS mois, half_up(avg(v), 0) AS consommation_moyenne_mw, half_up(max(v), 0) AS pic_mw,
+    half_up(min(v), 0) AS creux_mw, bool_or(corrected) AS rewritten FROM f GROUP BY 1"""
+)
+def gold_refreshed(t: Tables) -> DataFrame:
+    """A year is landed, then corrections to some months: gold of all months, and which states were written again."""
+    root, spark = work_dir(t.spark, "gold-refresh"), t.spark
+    at = (F.col("ts") + F.make_dt_interval((31 * (F.col("event_id") % 12)).cast("int"))).cast("string")
+    value = F.struct(at.alias("start_date"), at.alias("end_date"), at.alias("updated_date"), F.col("factor").alias("value"))
+    block = F.struct(F.lit("REALISED").alias("type"), F.array(value).alias("values"))
+
+    def months() -> dict[str, list[str]]:
+        path = f"{root}/gold_state/month_stats"
+        return {c: child_names(spark, f"{path}/{c}") for c in child_names(spark, path) if c.startswith("part=")}
+
+    before: dict[str, list[str]] = {}
+    for run, (factor, own) in enumerate([(1, F.lit(True)), (2, (F.col("event_id") % 12).isin(3, 4))]):
+        before = months() if run else {}
+        docs = t.events.filter(own).withColumn("factor", factor * F.col("value")).select(
+            F.col("event_id").alias("seq"), F.to_json(F.struct(F.array(block).alias("short_term"))).alias("json")
+        )
+        daily.land(spark, FACTS["fact_consommation"], daily.consumption_rows(docs), root, run)
+        gold, _ = refresh(spark, root, lambda m: daily.read_facts(spark, root, m))
+    written = [(c.partition("=")[2], files != before.get(c)) for c, files in months().items()]
+    marks = spark.createDataFrame(written, "month string, rewritten boolean")
+    monthly = gold["consommation_mensuelle"]
+    return presented(monthly.join(marks, F.date_format("mois", "yyyy-MM") == F.col("month")).drop("month"))
+
+
 @query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'O' THEN NULL WHEN o_orderstatus = 'P' THEN '' ELSE 'a \"b\", c' END AS note FROM orders")
 def csv_roundtrip(t: Tables) -> DataFrame:
     """NULL, empty and quoted text, stamps and doubles through CSV."""

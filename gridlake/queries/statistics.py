@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalar import season
+from gridlake.operators import moments
 from gridlake.operators import statistics as st
 from gridlake.operators.quantiles import quantiles
 from gridlake.plans import analysis
@@ -113,18 +114,21 @@ def quantiles_by_flag(t: Tables) -> DataFrame:
     return presented(q.select("l_returnflag", "n", *[F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("p05", "p50", "p95"))]))
 
 
-@query(
+PEARSON_SQL = (
     f"""WITH c AS (SELECT corr(l_discount, l_quantity) AS r, count(*) AS n FROM lineitem
       WHERE l_discount IS NOT NULL AND l_quantity IS NOT NULL),
     test AS (SELECT r, n, r * sqrt((n - 2) / (1 - r * r)) AS t, CAST(n - 2 AS DOUBLE) AS df FROM c), {T_TAIL_SQL}
     SELECT half_up(r, 6) AS r, half_up(t, 4) AS t, half_up(1 - 2 * half, 6) AS p, n FROM test, area"""
 )
+
+
+@query(PEARSON_SQL)
 def pearson_test(t: Tables) -> DataFrame:
     r = st.pearson_test(t.lineitem, "l_discount", "l_quantity")
     return r.select(F.round("r", 6).alias("r"), F.round("t", 4).alias("t"), F.round("p", 6).alias("p"), "n")
 
 
-@query(
+WELCH_SQL = (
     f"""WITH m AS (SELECT {SEASON_SQL.format('o_orderdate', 'intersaison')} AS s, count(o_totalprice) AS n,
       avg(o_totalprice) AS m, var_samp(o_totalprice) AS v FROM orders GROUP BY 1),
     ab AS (SELECT a.n AS n_a, b.n AS n_b, a.m AS mean_a, b.m AS mean_b, a.v / a.n AS sa, b.v / b.n AS sb
@@ -134,6 +138,9 @@ def pearson_test(t: Tables) -> DataFrame:
     SELECT n_a, n_b, half_up(mean_a, 4) AS mean_a, half_up(mean_b, 4) AS mean_b, half_up(t, 4) AS t, half_up(test.df, 4) AS df,
     half_up(1 - 2 * half, 6) AS p FROM test, area"""
 )
+
+
+@query(WELCH_SQL)
 def welch_test(t: Tables) -> DataFrame:
     rows = t.orders.withColumn("saison", season("o_orderdate", "intersaison"))
     w = st.welch_test(rows, "saison", "hiver", "ete", "o_totalprice")
@@ -141,11 +148,14 @@ def welch_test(t: Tables) -> DataFrame:
     return w.select("n_a", "n_b", *four, F.round("p", 6).alias("p"))
 
 
-@query(
+FIT_SQL = (
     """SELECT half_up(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
     half_up(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
     CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n FROM lineitem"""
 )
+
+
+@query(FIT_SQL)
 def linear_fit(t: Tables) -> DataFrame:
     return presented(st.linear_fit(t.lineitem, "l_quantity", "l_extendedprice"))
 
@@ -297,3 +307,47 @@ def corr_matrix_nan(t: Tables) -> DataFrame:
 )
 def standardise_nan(t: Tables) -> DataFrame:
     return presented(st.standardise_complete(with_nan(t), ["x", "y"]).select("event_id", "x_z", "y_z"))
+
+
+def lineitem_states(t: Tables) -> DataFrame:
+    """Stored states per month of shipping, for three pairs of measures."""
+    rows = t.lineitem.withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    pairs = [("l_discount", "l_quantity", "discount"), ("l_quantity", "l_extendedprice", "price"), ("l_tax", "l_extendedprice", "tax")]
+    return settled(moments.pair_states(rows, pairs, ["month"]), "states")
+
+
+@query(PEARSON_SQL)
+def merged_pearson(t: Tables) -> DataFrame:
+    """The test over the whole history, from the states of its months."""
+    merged = moments.merge_states(lineitem_states(t).filter("pair = 'discount'"), ["month"])
+    r = moments.state_tests(merged)
+    return r.select(F.round("r", 6).alias("r"), F.round("t", 4).alias("t"), F.round("p", 6).alias("p"), "n")
+
+
+@query(FIT_SQL)
+def merged_fit(t: Tables) -> DataFrame:
+    merged = moments.merge_states(lineitem_states(t).filter("pair = 'price'"), ["month"])
+    return presented(moments.state_fits(merged).drop("pair"))
+
+
+@query(WELCH_SQL)
+def merged_welch(t: Tables) -> DataFrame:
+    rows = t.orders.select(
+        season("o_orderdate", "intersaison").alias("saison"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_totalprice"
+    )
+    states = settled(moments.pair_states(rows, [("o_totalprice", "o_totalprice", "price")], ["month", "saison"]), "states")
+    w = moments.state_welch(moments.merge_states(states, ["month"], ["saison"]), "saison", "hiver", "ete")
+    four = [F.round(c, 4).alias(c) for c in ("mean_a", "mean_b", "t", "df")]
+    return w.select("n_a", "n_b", *four, F.round("p", 6).alias("p"))
+
+
+@query(
+    """WITH d AS (SELECT year(l_shipdate) AS year, l_discount, l_quantity, l_extendedprice, l_tax FROM lineitem)
+    SELECT CAST(year AS VARCHAR) AS year, 'discount' AS pair, half_up(corr(l_discount, l_quantity), 6) AS r, count(*) AS n FROM d GROUP BY 1
+    UNION ALL SELECT CAST(year AS VARCHAR), 'price', half_up(corr(l_quantity, l_extendedprice), 6), count(*) FROM d GROUP BY 1
+    UNION ALL SELECT CAST(year AS VARCHAR), 'tax', half_up(corr(l_tax, l_extendedprice), 6), count(*) FROM d GROUP BY 1"""
+)
+def merged_correlations(t: Tables) -> DataFrame:
+    """Correlations of each year, from the states of its months."""
+    states = lineitem_states(t).withColumn("year", F.substring("month", 1, 4))
+    return presented(moments.state_corrs(moments.merge_states(states, ["month"], ["year"])), 6)

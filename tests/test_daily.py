@@ -3,11 +3,13 @@
 import json
 from collections import Counter
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from gridlake.plans import analysis, daily
+from gridlake.plans import analysis, daily, monthly
+from gridlake.plans.gold import gold
 from gridlake.plans.silver import silver
 from gridlake.sources.loading import upsert_partitions
 from gridlake.sources.schemas import FACTS
@@ -91,7 +93,7 @@ def runs(spark, tmp_path_factory):
         "fact_eco2mix": sources["fact_eco2mix"],
     }
     second = daily.run(spark, again, base, as_of, 1)
-    return {"v1": v1, "v2": kept(spark, base)}, first, second
+    return {"v1": v1, "v2": kept(spark, base), "root": base}, first, second
 
 
 def kept(spark, base):
@@ -148,6 +150,42 @@ def test_second_run_updates_and_survives_a_missing_source(spark, runs):
     assert [(r.consommation_moyenne_mw, r.pic_mw, r.creux_mw) for r in month] == [(100.0, 120.0, 80.0)]
 
 
+def test_gold_of_touched_months_equals_a_full_rebuild(spark, runs):
+    base, _, (published, *_) = runs
+    whole = gold(silver(base["v2"]))
+    assert set(whole) == set(published)
+    for name, table in whole.items():
+        assert published[name].columns == table.columns, name
+        assert sorted(map(str, published[name].collect())) == sorted(map(str, table.collect())), name
+
+
+def test_only_touched_months_are_rebuilt(spark, tmp_path):
+    root, f = str(tmp_path / "facts"), FACTS["fact_consommation"]
+
+    def land(run, *points):
+        daily.land(spark, f, daily.consumption_rows(docs(spark, consumption(*points))), root, run)
+
+    def refresh():
+        return monthly.refresh(spark, root, lambda months: daily.read_facts(spark, root, months))
+
+    def rows(tables, name):
+        return sorted(map(str, tables[name].collect()))
+
+    land(0, ("2026-01-05T10:00:00Z", 1.0), ("2026-02-05T10:00:00Z", 5.0), ("2026-02-06T10:00:00Z", 7.0))
+    assert refresh()[1] == ["2026-01", "2026-02"]
+    assert refresh()[1] == []  # nothing has landed since
+    land(1, ("2026-02-05T10:00:00Z", 9.0))
+    land(2, ("2026-03-05T10:00:00Z", 2.0))
+    january = Path(root, "gold_state", "month_stats", "part=2026-01")
+    before = sorted(p.name for p in january.iterdir())
+    tables, months = refresh()
+    assert months == ["2026-02", "2026-03"] and sorted(p.name for p in january.iterdir()) == before
+    whole = gold(silver(daily.read_facts(spark, root)))
+    for name in whole:
+        assert rows(tables, name) == rows(whole, name), name
+    assert [r.pic_mw for r in tables["consommation_mensuelle"].orderBy("mois").collect()] == [1.0, 9.0, 2.0]
+
+
 def test_silver_joins_exact_and_by_hour(spark, runs):
     base, *_ = runs
     layer = silver({n: fact(spark, base, "v1", n) for n in FACTS if n != "fact_prix_marche"} | {

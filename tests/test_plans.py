@@ -18,7 +18,7 @@ def test_no_cross_joins_and_no_row_python(spark, name):
     text = plan(spark, name)
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert operator not in text
-    assert ("ArrowEvalPython" in text) == (name in ("pearson_test", "welch_test"))
+    assert ("ArrowEvalPython" in text) == (name in ("pearson_test", "welch_test", "merged_pearson", "merged_welch"))
 
 
 def test_filter_and_columns_reach_the_scan(spark):

@@ -353,5 +353,7 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     all ids of a class are null, its rows stay.
     """
     classes = similar_classes(docs, id_col, text, size, percent)
-    first = classes.filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))).select(F.col(f"`{id_col}`").alias("_own")).distinct()
-    return docs.join(first, F.col(f"`{id_col}`").eqNullSafe(F.col("_own")), "left_semi")
+    first = classes.filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))).select(F.col(f"`{id_col}`").alias("own")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))  # no name of ours meets the input's
+    kept = rows.join(first, F.col("row")[id_col].eqNullSafe(F.col("own")), "left_semi")
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))

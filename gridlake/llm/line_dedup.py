@@ -68,6 +68,32 @@ def common_blocks(early: list[int], late: list[int], words: list[int], least: in
     return out
 
 
+def aligned_lines(early: list[int], late: list[int], words: list[int], runs: list[tuple[int, int]], least: int) -> set[int]:
+    """Lines of the later document that alignments with the earlier one take, in blocks of at least `least` words.
+
+    `runs` (first line, lines) are runs of the later document that the earlier one holds too. The two are aligned as
+    a whole first. For each run that this has not taken (crossed order, lines held twice) they are aligned again from
+    the run's place on in both, as far as they go on alike; lines already taken stay in.
+    """
+    gone = set(common_blocks(early, late, words, least))
+    places: dict[int, list[int]] = {}
+    met: dict[tuple[int, ...], int] = {}
+    for j, size in sorted(runs):
+        if gone.issuperset(range(j, j + size)):
+            continue
+        if not places:
+            for i, x in enumerate(early):
+                places.setdefault(x, []).append(i)
+        run = tuple(late[j : j + size])
+        if run not in met:
+            met[run] = next(i for i in places[run[0]] if tuple(early[i : i + size]) == run)
+        i, n = met[run], size
+        while i + n < len(early) and j + n < len(late) and early[i + n] == late[j + n]:
+            n += 1
+        gone.update(j + y for y in common_blocks(early[i : i + n], late[j : j + n], words[j : j + n], least))
+    return gone
+
+
 def short_runs(first: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The shortest runs of lines of one text that reach `least` words, from each line on and up to each line: starts
     and ends, without repeats. A line of `least` words is a run by itself.
@@ -131,15 +157,15 @@ def repeated_lines(docs: DataFrame, id_col: str, text: str, least: int, rare: in
     keyed = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text")).withColumn("_hash", F.xxhash64("_text"))
     lines = line_table(keyed, kind, least)
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_hash"))
-    runs = lines.filter("size(keys) > 0").select(order.alias("at"), "places", "keys", "from", "size")
+    runs = lines.filter("size(keys) > 0").select(order.alias("at"), "keys", "from", "size")
     # A row of `lines` is a whole document, so its runs are made distinct in place. Written holders leave the hot
     # runs' rows to a plain join of two shuffles (or a broadcast by measured size), which Spark can split.
     once = runs.select("at", F.explode(F.array_distinct("keys")).alias("key"))
     holders = settled(once.groupBy("key").agg(F.count("*").alias("n"), F.min("at").alias("first")).filter("n > 1").drop("n"), "holders")
-    spans = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.slice("places", F.get("from", i) + 1, F.get("size", i)).alias("gone")))
-    held = runs.select("at", F.explode(spans).alias("x")).select("at", "x.key", "x.gone")
-    met = settled(held.join(holders, "key").filter("at <> first").select("at", "first", "gone"), "shared_runs")
-    pairs = settled(met.select("at", "first").distinct(), "pairs")
+    spans = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.get("from", i).alias("from"), F.get("size", i).alias("size")))
+    held = runs.select("at", F.explode(spans).alias("x")).select("at", "x.key", F.struct("x.from", "x.size").alias("run"))
+    met = held.join(holders, "key").filter("at <> first")
+    pairs = settled(met.groupBy("at", "first").agg(F.collect_list("run").alias("runs")), "pairs")  # runs of one document
 
     # An earliest document that very many meet is copied, and those that meet it are dealt to its copies.
     copies = F.ceil(F.count("*") / F.lit(rare)).cast("int").alias("copies")
@@ -156,17 +182,18 @@ def repeated_lines(docs: DataFrame, id_col: str, text: str, least: int, rare: in
             c = [batch.column(n) for n in ("early", "lines", "words", "places")]
             for i in range(batch.num_rows):
                 early, late, words, at = (x[i].values.to_pylist() for x in c)
-                gone = common_blocks(early, late, words, least)
-                if gone:
-                    own.append(i)
-                    places.append([at[j] for j in gone])
+                shared = [(r["from"], r["size"]) for r in batch.column("runs")[i].as_py()]
+                gone = aligned_lines(early, late, words, shared, least)
+                own.append(i)
+                places.append([at[j] for j in gone])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n).take(pa.array(own, pa.int64())) for n in ("_id", "_hash")), pa.array(places, pa.list_(pa.int32()))],
                 names=["_id", "_hash", "gone"],
             )
 
-    found = aligned.select("at._id", "at._hash", "early", "lines", "words", "places").mapInArrow(align, f"_id {kind}, _hash long, gone array<int>")
-    gone = found.union(met.select("at._id", "at._hash", "gone")).select("_id", "_hash", F.explode("gone").alias("place"))
+    sides = aligned.select("at._id", "at._hash", "early", "lines", "words", "places", "runs")
+    found = sides.mapInArrow(align, f"_id {kind}, _hash long, gone array<int>")
+    gone = found.select("_id", "_hash", F.explode("gone").alias("place"))
     return gone.groupBy("_id", "_hash").agg(F.collect_set("place").alias("gone"))
 
 
@@ -178,27 +205,28 @@ def without_repeated_lines(
 
     Earlier is the smaller id (nulls last, then by the text's hash). From each line on and up to each line, the
     shortest run of lines that reaches `least` words (one long line, or several short ones; lines without a word do
-    not count) brings each document that holds it together with the earliest one, however many hold it; the two are
-    aligned by patience diff, and aligned blocks of `least` words or more are deleted from the later document, as is
-    the run itself where the alignment skips it (lines in crossed order, or twice in a text). So a document loses just
-    the lines of all blocks of `least` words or more that any earlier document holds, every line keeps its earliest
-    place, and the number of pairs is at most twice the number of lines. `rare` only deals the work: an earliest document that more than so many meet is copied. A document that
-    loses all its words is left out; others keep the rest as it is (`length` is set, if there is such a column). Rows with the same id and text
-    are one document and stay as often as they come; null and empty texts stay; an empty table gives no rows.
-    Output columns are those of the input.
+    not count) brings each document that holds it together with the earliest one, however many hold it. The two are
+    aligned by patience diff, and aligned blocks of `least` words or more are deleted from the later document; where
+    the alignment has not taken such a run (lines in crossed order, or twice in a text), the two are aligned again from
+    there on, until all are taken. Nothing is deleted but what an alignment took. So a document loses just the lines of
+    all blocks of `least` words or more that any earlier document holds, every line keeps its earliest place, and the
+    number of pairs is at most twice the number of lines. `rare` only deals the work: an earliest document that more
+    than so many meet is copied.
+
+    A document that loses all its words is left out; others keep the rest as it is (`length` is set, if there is such a
+    column). Rows with the same id and text are one document and stay as often as they come; null and empty texts stay;
+    an empty table gives no rows. Output columns are those of the input, whatever their names.
     """
-    gone = repeated_lines(docs, id_col, text, least, rare).select(
-        F.col("_id").alias("_own_id"), F.col("_hash").alias("_own_hash"), F.col("gone").alias("_gone")
-    )
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_own_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_own_hash"))
-    marked = docs.join(gone, same, "left").drop("_own_id", "_own_hash")
+    gone = repeated_lines(docs, id_col, text, least, rare)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))  # no name of ours meets the input's
+    own = F.col("row")[text]
+    same = F.col("row")[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(own) == F.col("_hash"))
     # A place counts from 0; lines are those between line feeds.
-    parts = F.split(F.col(f"`{text}`"), "\n", -1)
-    rest = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    cut = marked.withColumn("_rest", F.when(F.col("_gone").isNotNull(), rest))
-    white = f"[\\x20\\x09-\\x0D]*"  # noqa: F541
-    kept = cut.filter(F.col("_rest").isNull() | ~F.col("_rest").rlike(f"^{white}$"))
-    columns = {text: F.coalesce("_rest", F.col(f"`{text}`"))}
+    rest = F.array_join(F.filter(F.split(own, "\n", -1), lambda _, i: ~F.array_contains("gone", i)), "\n")
+    cut = rows.join(gone, same, "left").select("row", F.when(F.col("gone").isNotNull(), rest).alias("rest"))
+    kept = cut.filter(F.col("rest").isNull() | ~F.col("rest").rlike(r"\A[\x20\x09-\x0D]*\z"))
+    columns = {text: F.coalesce("rest", own)}
     if length in docs.columns:
-        columns[length] = F.when(F.col("_rest").isNull(), F.col(f"`{length}`")).otherwise(F.length("_rest").cast(docs.schema[length].dataType))
-    return kept.select(*(columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns))
+        kind = docs.schema[length].dataType
+        columns[length] = F.when(F.col("rest").isNull(), F.col("row")[length]).otherwise(F.length("rest").cast(kind))
+    return kept.select(*(columns.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

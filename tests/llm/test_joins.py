@@ -13,6 +13,7 @@ from gridlake.llm import queries
 from gridlake.llm.components import components
 from gridlake.llm.decontamination import without_benchmark
 from gridlake.llm.jaccard import one_of_each_class, similar_classes
+from gridlake.llm import line_dedup
 from gridlake.llm.line_dedup import patience, without_repeated_lines
 from gridlake.llm.repetition import keep_good
 from gridlake.llm.resampling import importance_resample, kth_largest
@@ -223,6 +224,25 @@ def test_blocks_go_whatever_their_order(spark, tmp_path):
     assert dict(map(tuple, without_repeated_lines(docs, rare=5).collect())) == want
 
 
+def test_only_alignments_take_lines(monkeypatch):
+    late, words = [1, 2, 9, 5, 6, 8, 1, 2], [5] * 8
+    runs = [(0, 2), (3, 2), (6, 2)]
+    early = [5, 6, 7, 1, 2, 3]
+    assert line_dedup.aligned_lines(early, late, words, runs, 8) == {0, 1, 3, 4, 6, 7}  # crossed, and held twice
+    assert line_dedup.aligned_lines([4] * 5, [4, 4, 3, 4, 4], [4] * 5, [(0, 2), (3, 2)], 8) == {0, 1, 3, 4}
+    monkeypatch.setattr(line_dedup, "common_blocks", lambda *_: [])
+    assert line_dedup.aligned_lines(early, late, words, runs, 8) == set()
+
+
+def test_columns_may_have_any_name(spark):
+    text = "a b c d e f g h i"
+    rows = [(1, text, 1, "x", 2, 3, 4), (2, f"own\n{text}", 5, "y", 6, 7, 8), (3, f"{text}\n\u0085", 9, "z", 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone int, _rest string, _own_id int, _own_hash int, _own int")
+    found = {r.doc_id: tuple(r) for r in without_repeated_lines(docs).collect()}
+    assert found == {1: rows[0], 2: (2, "own", *rows[1][2:]), 3: (3, "\u0085", *rows[2][2:])}
+    assert one_of_each_class(docs).columns == docs.columns and [r.doc_id for r in one_of_each_class(docs).collect()] == [1]
+
+
 def test_lines_of_odd_rows(spark, odd):
     out = without_repeated_lines(odd)
     assert out.columns == odd.columns

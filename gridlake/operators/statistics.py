@@ -12,7 +12,7 @@ from gridlake.functions.scalar import nan_to_null, pearson
 from gridlake.functions.significance import t_pvalue
 from gridlake.operators.cleaning import valid_pairs
 from gridlake.operators.joining import attach
-from gridlake.operators.quantiles import AT_ONCE, CANDIDATES, quantiles
+from gridlake.operators.quantiles import CANDIDATES, quantiles
 from gridlake.operators.ranking import top_k
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -40,7 +40,7 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return sums.select(F.inline(F.array(*entries)))
 
 
-def describe(df: DataFrame, cols: list[str], at_once: int = AT_ONCE) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], candidates: int = CANDIDATES) -> DataFrame:
     """count, mean, std (n-1), min, quartiles and max per column; exact quartiles.
 
     The moments of all columns come from one aggregation, the quartiles from `quantiles`.
@@ -54,7 +54,7 @@ def describe(df: DataFrame, cols: list[str], at_once: int = AT_ONCE) -> DataFram
         for c in cols
     ]
     moments = numeric.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
-    quarters = quantiles(numeric.unpivot([], cols, "column", "value"), "value", QUARTILES, ["column"], len(cols), at_once)
+    quarters = quantiles(numeric.unpivot([], cols, "column", "value"), "value", QUARTILES, ["column"], len(cols), candidates)
     moments = attach(moments, quarters.drop("n"), ["column"], len(cols), "left")
     at = [F.get("q", F.lit(i)).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
     return moments.select("column", "count", "mean", "std", "min", *at, "max")
@@ -146,24 +146,24 @@ def zscore_outliers(df: DataFrame, val: str, limit: float = 3) -> DataFrame:
 
 
 def iqr_fences(
-    df: DataFrame, val: str, k: float = 1.5, at_once: int = AT_ONCE, candidates: int = CANDIDATES
+    df: DataFrame, val: str, k: float = 1.5, candidates: int = CANDIDATES
 ) -> DataFrame:
-    q = quantiles(df, val, [0.25, 0.75], at_once=at_once, candidates=candidates)
+    q = quantiles(df, val, [0.25, 0.75], candidates=candidates)
     q1, q3 = F.get("q", F.lit(0)), F.get("q", F.lit(1))
     return q.select((q1 - k * (q3 - q1)).alias("low_fence"), (q3 + k * (q3 - q1)).alias("high_fence"))
 
 
-def iqr_outliers(df: DataFrame, val: str, k: float = 1.5, at_once: int = AT_ONCE) -> DataFrame:
+def iqr_outliers(df: DataFrame, val: str, k: float = 1.5, candidates: int = CANDIDATES) -> DataFrame:
     """Rows outside the quartile fences, with the fences."""
-    fenced = attach(df, iqr_fences(df, val, k, at_once))
+    fenced = attach(df, iqr_fences(df, val, k, candidates))
     value = nan_to_null(val)
     return fenced.filter((value < F.col("low_fence")) | (value > F.col("high_fence")))
 
 
-def iqr_summary(df: DataFrame, val: str, k: float = 1.5, at_once: int = AT_ONCE) -> DataFrame:
+def iqr_summary(df: DataFrame, val: str, k: float = 1.5, candidates: int = CANDIDATES) -> DataFrame:
     """Fences, outlier count and its share (%) of all rows, rows without a value included."""
     outside = (nan_to_null(val) < F.col("low_fence")) | (nan_to_null(val) > F.col("high_fence"))
-    return attach(df, iqr_fences(df, val, k, at_once)).agg(
+    return attach(df, iqr_fences(df, val, k, candidates)).agg(
         F.max("low_fence").alias("low_fence"),
         F.max("high_fence").alias("high_fence"),
         F.count_if(outside).alias("outliers"),
@@ -172,17 +172,17 @@ def iqr_summary(df: DataFrame, val: str, k: float = 1.5, at_once: int = AT_ONCE)
 
 
 def top_outliers(
-    df: DataFrame, val: str, k: int = 10, tie: str | list[str] | None = None, at_once: int = AT_ONCE
+    df: DataFrame, val: str, k: int = 10, tie: str | list[str] | None = None, candidates: int = CANDIDATES
 ) -> DataFrame:
     """The k largest of the outliers by quartile fences."""
-    return top_k(iqr_outliers(df, val, at_once=at_once), val, k, tie).drop("low_fence", "high_fence")
+    return top_k(iqr_outliers(df, val, candidates=candidates), val, k, tie).drop("low_fence", "high_fence")
 
 
-def iqr_counts(df: DataFrame, cols: list[str], k: float = 1.5, at_once: int = AT_ONCE) -> DataFrame:
+def iqr_counts(df: DataFrame, cols: list[str], k: float = 1.5, candidates: int = CANDIDATES) -> DataFrame:
     """Outlier count and non-null count for each of many columns. Outliers are reported, not removed."""
     long = unpivot_numeric(df, cols).filter(F.col("value").isNotNull())
     q1, q3 = F.get("q", F.lit(0)), F.get("q", F.lit(1))
-    fences = quantiles(long, "value", [0.25, 0.75], ["column"], len(cols), at_once).select(
+    fences = quantiles(long, "value", [0.25, 0.75], ["column"], len(cols), candidates).select(
         "column", (q1 - k * (q3 - q1)).alias("_low"), (q3 + k * (q3 - q1)).alias("_high")
     )
     outside = (F.col("value") < F.col("_low")) | (F.col("value") > F.col("_high"))
@@ -194,7 +194,7 @@ def iqr_counts(df: DataFrame, cols: list[str], k: float = 1.5, at_once: int = AT
 
 
 def box_stats(
-    df: DataFrame, group: str, val: str, k: float = 1.5, max_groups: int | None = None, at_once: int = AT_ONCE
+    df: DataFrame, group: str, val: str, k: float = 1.5, max_groups: int | None = None, candidates: int = CANDIDATES
 ) -> DataFrame:
     """Per group: n, quartiles, whiskers (the most extreme values within the fences) and outlier count.
 
@@ -203,7 +203,7 @@ def box_stats(
     data = df.select(group, nan_to_null(F.col(val).cast("double")).alias("_v")).filter(
         F.col(group).isNotNull() & F.col("_v").isNotNull()
     )
-    q = quantiles(data, "_v", QUARTILES, [group], max_groups, at_once)
+    q = quantiles(data, "_v", QUARTILES, [group], max_groups, candidates)
     at = [F.get("q", F.lit(i)) for i in range(3)]
     boxes = q.select(
         group, "n", at[0].alias("q1"), at[1].alias("median"), at[2].alias("q3"),

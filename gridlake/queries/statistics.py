@@ -68,7 +68,7 @@ def describe(t: Tables) -> DataFrame:
 @query(DESCRIBE_SQL)
 def describe_bounded(t: Tables) -> DataFrame:
     """The same by the bracket method that bounds memory per group at any size."""
-    return presented(st.describe(t.lineitem, MEASURES, at_once=0))
+    return presented(st.describe(t.lineitem, MEASURES, candidates=9000))
 
 
 @query(
@@ -77,7 +77,7 @@ def describe_bounded(t: Tables) -> DataFrame:
 )
 def quantiles_in_rounds(t: Tables) -> DataFrame:
     """Brackets that may hold few values, so that they are narrowed more than once."""
-    q = quantiles(t.lineitem, "l_extendedprice", [0.05, 0.95], ["l_returnflag"], at_once=0, candidates=20)
+    q = quantiles(t.lineitem, "l_extendedprice", [0.05, 0.95], ["l_returnflag"], candidates=20)
     return presented(q.select("l_returnflag", "n", F.get("q", F.lit(0)).alias("p05"), F.get("q", F.lit(1)).alias("p95")))
 
 
@@ -91,7 +91,7 @@ def box_by_hour(t: Tables) -> DataFrame:
 def box_by_type_bounded(t: Tables) -> DataFrame:
     """Groups of unknown number, by the bracket method."""
     rows = t.events.select(F.col("event_type").alias("group"), "value")
-    return presented(st.box_stats(rows, "group", "value", at_once=0))
+    return presented(st.box_stats(rows, "group", "value", candidates=200))
 
 
 @query(
@@ -194,7 +194,7 @@ def iqr_outliers(t: Tables) -> DataFrame:
 )
 def iqr_outliers_bounded(t: Tables) -> DataFrame:
     """The same by the bracket method."""
-    return presented(st.iqr_outliers(t.events.select("event_id", "value"), "value", at_once=0))
+    return presented(st.iqr_outliers(t.events.select("event_id", "value"), "value", candidates=200))
 
 
 @query(

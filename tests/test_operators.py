@@ -10,7 +10,7 @@ from gridlake.functions.scalar import iso_date, local_time, round_to, season, to
 from gridlake.functions.significance import t_two_sided
 from gridlake.operators import aggregates, cleaning, joining, quality, ranking, series, time_windows
 from gridlake.operators import statistics as st
-from gridlake.operators.quantiles import AT_ONCE
+from gridlake.operators.quantiles import CANDIDATES
 from gridlake.sources.loading import enforce_constraints, upsert, upsert_partitions
 from gridlake.sources.tables import publish, publish_table, read_csv, write_csv
 
@@ -119,16 +119,16 @@ def test_scaling(spark):
 def test_outliers_are_strict_and_counted_over_all_rows(spark):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 50.0, None, None]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    s = st.iqr_summary(df, "x", at_once=AT_ONCE).first()
+    s = st.iqr_summary(df, "x", candidates=CANDIDATES).first()
     assert (s.outliers, s.outlier_pct) == (1, 12.5)
-    assert rows(st.iqr_counts(df.withColumn("y", F.lit(1.0)), ["x", "y"], at_once=AT_ONCE), "column") == [("x", 1, 6), ("y", 0, 8)]
-    assert [r.x for r in st.top_outliers(df, "x", 3, at_once=AT_ONCE).collect()] == [50.0]
+    assert rows(st.iqr_counts(df.withColumn("y", F.lit(1.0)), ["x", "y"], candidates=CANDIDATES), "column") == [("x", 1, 6), ("y", 0, 8)]
+    assert [r.x for r in st.top_outliers(df, "x", 3, candidates=CANDIDATES).collect()] == [50.0]
 
 
 def test_describe_with_null_column_and_nan(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (float("nan"), None)], "x double, y double")
-    for at_once in (0, AT_ONCE):
-        d = {r.column: r for r in st.describe(df, ["x", "y"], at_once).collect()}
+    for candidates in (8, CANDIDATES):
+        d = {r.column: r for r in st.describe(df, ["x", "y"], candidates).collect()}
         assert (d["x"]["count"], d["x"].mean, d["x"].p50, d["x"].max) == (2, 1.5, 1.5, 2.0)
         assert (d["y"]["count"], d["y"].mean, d["y"].p25) == (0, None, None)
 

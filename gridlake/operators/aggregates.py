@@ -1,5 +1,5 @@
 """Grouped and whole-table aggregates. Each is one aggregation with map-side combine, so a group that
-holds a large share of the rows is reduced before the shuffle."""
+holds a large share of the rows is reduced before the shuffle. NaN counts as missing."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def mean_over_groups(
 ) -> DataFrame:
     """Mean of each measure over all rows (regions) of a stamp; `vals` maps measure to output name."""
     stamp = truncate(df, ts, unit) if unit else F.col(ts)
-    means = {out: F.avg(col) for col, out in vals.items()}
+    means = {out: F.avg(nan_to_null(col)) for col, out in vals.items()}
     return df.groupBy(stamp.alias(ts)).agg(
         *[(round_to(m, digits) if digits is not None else m).alias(out) for out, m in means.items()]
     )
@@ -45,7 +45,7 @@ def mean_by(
     df: DataFrame, key: str, val: str, order: str | None = "desc", digits: int | None = None
 ) -> DataFrame:
     """Mean per key, sorted by the mean ("asc", "desc" or None), key as tie-break."""
-    mean = F.avg(val) if digits is None else round_to(F.avg(val), digits)
+    mean = F.avg(nan_to_null(val)) if digits is None else round_to(F.avg(nan_to_null(val)), digits)
     out = df.groupBy(key).agg(mean.alias("mean"))
     if order is None:
         return out
@@ -81,17 +81,19 @@ def seasonal_corrs(
 
 def mean_mix(df: DataFrame, digits: dict[str, int], suffix: str = "_mean") -> DataFrame:
     """One row of column means, each rounded to its own digits."""
-    return df.agg(*[round_to(F.avg(c), n).alias(c + suffix) for c, n in digits.items()])
+    return df.agg(*[round_to(F.avg(nan_to_null(c)), n).alias(c + suffix) for c, n in digits.items()])
 
 
 def profile(df: DataFrame, ts: str, val: str, part: str, tz: str | None = None) -> DataFrame:
     """Mean per calendar part ("hour" of day, "month" across years, ...)."""
     slot = F.date_part(F.lit(part), local_time(ts, tz)).cast("int")
-    return df.groupBy(slot.alias(part)).agg(F.avg(val).alias("mean"), F.count(val).alias("n"))
+    value = nan_to_null(val)
+    return df.groupBy(slot.alias(part)).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))
 
 
 def kpis(df: DataFrame, val: str) -> DataFrame:
-    return df.agg(F.min(val).alias("min"), F.avg(val).alias("mean"), F.max(val).alias("max"))
+    value = nan_to_null(val)
+    return df.agg(F.min(value).alias("min"), F.avg(value).alias("mean"), F.max(value).alias("max"))
 
 
 def season_table(
@@ -99,7 +101,7 @@ def season_table(
 ) -> DataFrame:
     """Sample size and rounded mean of the measure for the named seasons."""
     return (
-        df.select(season(ts, "intersaison", tz).alias("season"), F.col(val).alias("_v"))
+        df.select(season(ts, "intersaison", tz).alias("season"), nan_to_null(val).alias("_v"))
         .filter(F.col("season").isin(*seasons) & F.col("_v").isNotNull())
         .groupBy("season")
         .agg(F.count("*").alias("n"), round_to(F.avg("_v"), digits).alias("mean"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.functions.scalar import truncate
+from gridlake.functions.scalar import nan_to_null, truncate
 
 # Slot widths that divide a day, in seconds.
 DAY_SECONDS = 86_400
@@ -21,7 +21,8 @@ def floor_every(df: DataFrame, ts: str, every_seconds: int) -> Column:
 def slots(bounds: DataFrame, first: str, last: str, every_seconds: int, ts: str, keys: list[str]) -> DataFrame:
     """Every slot from `first` to `last` per row of `bounds`.
 
-    Days are exploded before the slots of a day, so no array grows with the length of the series.
+    Days are exploded and dealt to tasks before the slots of a day, so no array grows with the length of the series, and
+    one long series is made by many tasks.
     """
     kind = bounds.schema[first].dataType
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(every_seconds))
@@ -33,7 +34,7 @@ def slots(bounds: DataFrame, first: str, last: str, every_seconds: int, ts: str,
         F.explode(F.sequence(F.date_trunc("day", first), F.date_trunc("day", last), day)).alias("_day"),
     )
     return (
-        days.select(*keys, "_first", "_last", F.explode(F.sequence("_day", F.col("_day") + day - step, step)).alias("_slot"))
+        days.repartition(*keys, "_day").select(*keys, "_first", "_last", F.explode(F.sequence("_day", F.col("_day") + day - step, step)).alias("_slot"))
         .filter((F.col("_slot") >= F.col("_first")) & (F.col("_slot") <= F.col("_last")))
         .select(*keys, F.col("_slot").cast(kind).alias(ts))
     )
@@ -51,7 +52,7 @@ def resample(df: DataFrame, ts: str, val: str, every_seconds: int = 3600, keys:
     means = (
         df.filter(F.col(ts).isNotNull())
         .groupBy(*keys, floor_every(df, ts, every_seconds).alias(ts))
-        .agg(F.avg(val).alias(val))
+        .agg(F.avg(nan_to_null(val)).alias(val))
     )
     bounds = means.groupBy(*keys).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"))
     return slots(bounds, "_from", "_to", every_seconds, ts, keys).join(means, [*keys, ts], "left")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridlake.functions.scalar import nan_to_null
 from gridlake.session import child_names, delete_path, path_status
 from gridlake.sources.loading import upsert_partitions
 
@@ -46,9 +47,9 @@ def stream_upsert(
 
 
 def stream_mean(stream: DataFrame, ts: str, val: str, every: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Mean per tumbling window; a window is emitted once, when the watermark has passed its end."""
+    """Mean per tumbling window, NaN counting as missing; a window is emitted once, when the watermark has passed its end."""
     stamped = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
-    means = stamped.groupBy(F.window(ts, every).alias("_w")).agg(F.avg(val).alias("mean"), F.count(val).alias("n"))
+    means = stamped.groupBy(F.window(ts, every).alias("_w")).agg(F.avg(nan_to_null(val)).alias("mean"), F.count(nan_to_null(val)).alias("n"))
     return means.select(F.col("_w.start").alias(ts), "mean", "n")
 
 

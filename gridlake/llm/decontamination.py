@@ -137,12 +137,14 @@ class FmIndex:
 
 @dataclass
 class Hits:
-    """Word spans (text, start, end; words of the shard) that phrases occupy, and for each its item."""
+    """Word spans (text, start, end; words of the shard) that phrases occupy, and for each the number of its phrase;
+    `holders` lists the items of each phrase that occurs, so an occurrence of a phrase of many items is one row."""
 
     text: np.ndarray
     start: np.ndarray
     end: np.ndarray
-    item: np.ndarray
+    phrase: np.ndarray
+    holders: list[list[int]]
 
 
 def find(p: Phrases, w: Words) -> Hits:
@@ -153,7 +155,7 @@ def find(p: Phrases, w: Words) -> Hits:
     """
     none = np.zeros(0, np.int64)
     if not p.by_length or not len(w.start):
-        return Hits(none, none, none, none)
+        return Hits(none, none, none, none, [])
     hashes = w.hashes()
     place = np.searchsorted(p.words, hashes)
     known = p.words[np.minimum(place, len(p.words) - 1)] == hashes
@@ -165,11 +167,11 @@ def find(p: Phrases, w: Words) -> Hits:
     begin, end = begin[wide], end[wide]
     first = np.concatenate([[0], np.cumsum(end - begin)])
     if not first[-1]:
-        return Hits(none, none, none, none)
+        return Hits(none, none, none, none, [])
     source = np.repeat(begin - first[:-1], end - begin) + np.arange(first[-1])
     used, symbol = np.unique(place[source], return_inverse=True)
     index = FmIndex(symbol + 1, first, len(used) + 1)
-    starts, ends, items = [], [], []
+    starts, ends, phrases_met, holders = [], [], [], []
     for length, rows in p.by_length.items():
         number = np.searchsorted(used, rows)
         inside = (used[np.minimum(number, len(used) - 1)] == rows).all(axis=1)
@@ -178,13 +180,13 @@ def find(p: Phrases, w: Words) -> Hits:
         count = high - low
         found = np.repeat(low - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(count.sum())
         start = source[index.locate(found)]
-        holders = [p.items[length][i] for i in np.repeat(which, count).tolist()]
-        each = np.array([len(h) for h in holders], np.int64)
-        starts.append(np.repeat(start, each))
-        ends.append(np.repeat(start + length, each))
-        items.append(np.array([i for h in holders for i in h], np.int64))
-    start, end, item = (np.concatenate(x) for x in (starts, ends, items))
-    return Hits(np.searchsorted(w.first, start, "right") - 1, start, end, item)
+        met = count > 0
+        phrases_met.append(np.repeat(len(holders) + np.cumsum(met) - 1, count))
+        holders += [p.items[length][i] for i in which[met].tolist()]
+        starts.append(start)
+        ends.append(start + length)
+    start, end, phrase = (np.concatenate(x) for x in (starts, ends, phrases_met))
+    return Hits(np.searchsorted(w.first, start, "right") - 1, start, end, phrase, holders)
 
 
 def merged(w: Words, hits: Hits) -> tuple[np.ndarray, np.ndarray]:
@@ -229,10 +231,9 @@ def _search(source: Broadcast, keep: list[str]):
             for d, a, b in zip(text.tolist(), (begin - w.first[text]).tolist(), (end - w.first[text]).tolist()):
                 spans[d].append({"start": a, "end": b})
             items = [set(x or []) for x in part.column("_items").to_pylist()]
-            pairs = np.unique(np.column_stack([hits.text, hits.item]), axis=0)
-            for d, i in pairs.tolist():
-                if p.names[i] is not None:
-                    items[d].add(p.names[i])
+            names = [[p.names[i] for i in h if p.names[i] is not None] for h in hits.holders]
+            for d, i in np.unique(np.column_stack([hits.text, hits.phrase]), axis=0).tolist():
+                items[d].update(names[i])
             yield pa.RecordBatch.from_arrays(
                 [
                     *(part.column(c) for c in keep), pa.array(spans, span_type),
@@ -254,7 +255,7 @@ def contamination(
     Null and empty texts have no words, no spans and no items; null item ids hit but are not listed. Rows are
     searched one by one: repeated rows and null ids come out as often as they go in; an empty benchmark hits
     nothing; other columns are ignored, whatever their names. No shuffle. A benchmark of any size is taken in blocks
-    of bounded size, one pass each, in one job.
+    of bounded size, one pass and one broadcast at a time.
     """
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
     found = docs.select(
@@ -262,13 +263,16 @@ def contamination(
         F.expr("CAST(NULL AS array<struct<start: bigint, end: bigint>>)").alias("_spans"),
         F.expr("CAST(NULL AS array<string>)").alias("_items"),
     )
-    passes = list(benchmark_passes(benchmark, item_id, item_text, window, block_count(benchmark, item_text)))
-    for i, source in enumerate(passes):
-        keep = ["_id"] if i == len(passes) - 1 else ["_id", "_text"]
-        kinds = {"_id": kind, "_text": "string"}
+    blocks = block_count(benchmark, item_text)
+    for i, source in enumerate(benchmark_passes(benchmark, item_id, item_text, window, blocks)):
+        last = i == blocks - 1
+        keep, kinds = ["_id"] if last else ["_id", "_text"], {"_id": kind, "_text": "string"}
         found = found.mapInArrow(_search(source, keep), ", ".join(f"{c} {kinds[c]}" for c in keep) + f", {CARRIED}")
+        if not last:  # what a block found is written, so that only one block is held at a time
+            found = settled(found, "searched")
+            source.destroy()
     spans = F.col("_spans")
-    if len(passes) > 1:  # spans of several passes may overlap
+    if blocks > 1:  # spans of several passes may overlap
         spans = F.aggregate(
             F.array_sort("_spans"), F.expr("CAST(array() AS array<struct<start: bigint, end: bigint>>)"),
             lambda done, s: F.when(

@@ -68,9 +68,8 @@ def postfix(text: str) -> list[str]:
         else:
             break
         at = match.end()
-    if not operand:  # what waits for an operand that never came
-        while waiting and (waiting[-1] == "(" or not operand):
-            operand = waiting.pop() != "("
+    while waiting and not operand:  # what waits for an operand that never came; an open bracket says nothing of it
+        operand = waiting.pop() != "("
     return out + [op for op in reversed(waiting) if op != "("]
 
 

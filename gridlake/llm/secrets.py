@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gridlake.llm.texts import code_points, joined, slices, text_bytes
 
 LANE_BYTES = 512  # texts are cut into lanes of about this size, at places where the automaton is at its start
+MOST_RULES = 64  # of one automaton: a state's marks are the bits of one number
 FEW_LANES = 16  # lanes left that are run one by one
 
 
@@ -213,6 +214,9 @@ class Automaton:
 
 def compile_rules(rules: list[Rule]) -> Automaton:
     """Subset construction over all rules at once, then minimisation by partition refinement."""
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"at most {MOST_RULES} rules make one automaton")
+    kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(rules) <= 8 * np.dtype(t).itemsize)
     searches = [_Search(r) for r in rules]
     groups: dict[tuple[bool, ...], int] = {}
     sets = {b for s in searches for moves in s.nfa.moves for b, _ in moves}
@@ -230,7 +234,7 @@ def compile_rules(rules: list[Rule]) -> Automaton:
             row.append(number[to])
         rows.append(row)
     moves = np.array(rows)
-    marks = np.array([sum(1 << i for i, (s, t) in enumerate(zip(searches, state)) if s.accepts(t)) for state in todo])
+    marks = np.array([sum(1 << i for i, (s, t) in enumerate(zip(searches, state)) if s.accepts(t)) for state in todo], kind)
     # States are told apart by their marks, then by where their moves lead, until nothing new is told apart.
     part = np.unique(marks, return_inverse=True)[1]
     while True:
@@ -249,7 +253,7 @@ def compile_rules(rules: list[Rule]) -> Automaton:
     if not (small[:, feed] == 0).all():
         raise ValueError("rules must not hold a line feed: it keeps texts apart")
     dtype = np.uint16 if len(first) * classes < 1 << 16 else np.int32
-    return Automaton(rules, byte_class, classes, (small * classes).astype(dtype).ravel(), marks[first].astype(np.uint8), resets)
+    return Automaton(rules, byte_class, classes, (small * classes).astype(dtype).ravel(), marks[first], resets)
 
 
 def _scan(a: Automaton, buf: np.ndarray) -> np.ndarray:
@@ -265,7 +269,7 @@ def _scan(a: Automaton, buf: np.ndarray) -> np.ndarray:
     start, length = start[by], length[by]
     left = np.searchsorted(-length, -np.arange(int(length[0]) if n else 0), "left")  # lanes longer than t
     state = np.zeros(len(start), a.table.dtype)
-    out = np.zeros(n, np.uint8)
+    out = np.zeros(n, a.marks.dtype)
     marks = np.repeat(a.marks, a.classes) if len(a.marks) * a.classes < 1 << 20 else None
     for t in range(len(left)):
         k = left[t]
@@ -274,11 +278,11 @@ def _scan(a: Automaton, buf: np.ndarray) -> np.ndarray:
             for lane in range(k):
                 s = int(state[lane])
                 first = int(start[lane]) + t
-                found = bytearray(int(length[lane]) - t)
+                found = [0] * (int(length[lane]) - t)
                 for i, x in enumerate(c[first : first + len(found)].tobytes()):
                     s = table[s + x]
                     found[i] = flags[s // a.classes]
-                out[first : first + len(found)] = np.frombuffer(found, np.uint8)
+                out[first : first + len(found)] = found
             break
         place = start[:k] + t
         state = a.table[state[:k] + c[place]]
@@ -317,7 +321,7 @@ def find_spans(a: Automaton, texts: list[bytes]) -> list[list[tuple[str, int, in
     marks = _scan(a, buf)
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for r, rule in enumerate(a.rules):
-        on = np.flatnonzero((marks >> r) & 1)
+        on = np.flatnonzero(marks & marks.dtype.type(1 << r))
         if not len(on):
             continue
         breaks = np.flatnonzero(np.diff(on) > 1)

@@ -245,3 +245,76 @@ def test_licence_expressions(spark):
     row = license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert {(p.kind, p.label) for p in row.places} == {("tag", "isc"), ("tag", "mit"), ("base", "mit"), ("base", "gpl"), ("notice", "lgpl")}
     assert row.score == 0.25
+
+
+# Any number of rules, phrases of many items, cut-off expressions
+
+
+def test_more_than_eight_rules():
+    rules = [secrets.Rule(f"r{i}", f"k{i}:", "[a-z]", 2) for i in range(20)]
+    automaton = secrets.compile_rules(rules)
+    texts = [b" ".join(b"k%d:abc" % i for i in order) for order in ([3], [19, 8, 0], list(range(20)), [15, 15])]
+    texts.append(b"x" * 9000 + b" k17:" + b"y" * 9000)
+    for text, found in zip(texts, secrets.find_spans(automaton, texts)):
+        want = sorted((m.start(), m[1].decode(), m.end()) for m in re.finditer(rb"k(\d+):[a-z]+", text))
+        assert [(s, k, e) for k, s, e in found] == [(s, f"r{k}", e) for s, k, e in want]
+    with pytest.raises(ValueError):
+        secrets.compile_rules([secrets.Rule(f"r{i}", f"k{i}:", "[a-z]", 2) for i in range(65)])
+
+
+def test_a_phrase_of_many_items_is_found_once(spark):
+    shared = " ".join(f"s{i}" for i in range(10))
+    items = spark.createDataFrame([(i, f"{shared} own{i}") for i in range(2000)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"{shared} . " * 40) for i in range(25)], "doc_id long, text string")
+    found = contamination(docs, items).collect()
+    assert all(len(r["items"]) == 2000 and len(r.spans) == 1 and r.spans[0]["end"] == 400 for r in found) and len(found) == 25
+
+
+def plain_licence(tokens):
+    """Labels and freedom by recursive descent; whatever comes too late or never is left out."""
+    at = 0
+
+    def binary(level):
+        nonlocal at
+        ops = ("or", "and", "with")
+        if level == len(ops):
+            return operand()
+        left = binary(level + 1)
+        while left is not None and at < len(tokens) and tokens[at] == ops[level]:
+            at += 1
+            right = binary(level + 1)
+            if right is None:
+                break
+            left = [*left, *right, ops[level]]
+        return left
+
+    def operand():
+        nonlocal at
+        if at < len(tokens) and tokens[at] == "(":
+            at += 1
+            inner = binary(0)
+            if at < len(tokens) and tokens[at] == ")":
+                at += 1
+            return inner
+        if at < len(tokens) and tokens[at] not in ("or", "and", "with", ")"):
+            at += 1
+            return [tokens[at - 1]]
+        return None
+
+    return binary(0) or []
+
+
+def test_expressions_equal_recursive_descent():
+    rng = random.Random(21)
+
+    def expression(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return [rng.choice(["mit", "apache-2.0", "gpl-3.0", "bsd-3-clause", "x11"])]
+        inner = [*expression(depth - 1), rng.choice(["and", "or", "with"]), *expression(depth - 1)]
+        return ["(", *inner, ")"] if rng.random() < 0.5 else inner
+
+    for _ in range(3000):
+        tokens = expression(4)
+        tokens = tokens[: rng.randint(1, len(tokens))]  # cut off anywhere
+        assert postfix(" ".join(tokens)) == plain_licence(tokens), tokens
+    assert evaluate(postfix("MIT OR (Apache-2.0 AND"))[1] == {"mit"} and postfix("a and (b or (c and") == ["a", "b", "c", "or", "and"]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,16 @@ def session(app: str = "gridlake", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster where it is not installed. Tasks of `gridlake.llm` import it."""
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="gridlake-code-")) / "gridlake.zip"  # the driver's copy; Spark sends it on
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediates, under the shared folder the cluster names.
 

@@ -47,3 +47,21 @@ def stream_freshness(t: Tables) -> DataFrame:
     state = streams.stream_freshness(streams.read_landed(t.spark, t.path("events")), "event_type", "ts")
     streams.latest_to(state, f"{folder}/out", f"{folder}/checkpoint", "event_type").awaitTermination()
     return presented(streams.read_latest(t.spark, f"{folder}/out", "event_type"))
+
+
+@query(
+    """WITH e AS (SELECT event_id, ts, floor(4 * (event_id % 7) / 7) AS batch FROM events),
+    seen AS (SELECT batch, max(ts) AS newest FROM e GROUP BY 1),
+    mark AS (SELECT batch, max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS newest FROM seen)
+    SELECT event_id, CAST(batch AS BIGINT) AS batch FROM e JOIN mark USING (batch)
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= newest - INTERVAL 480 HOUR"""
+)
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Events that arrive out of order in four files, and those of them that come over 480 hours late."""
+    folder, spark = work_dir(t.spark, "stream-late"), t.spark
+    for i in range(4):
+        part = t.events.filter(F.floor(4 * (F.col("event_id") % 7) / 7) == i).select("event_id", "ts", "value")
+        part.write.parquet(f"{folder}/in/{i}")  # one row group is read, so one file is written
+    landed = spark.readStream.schema("event_id long, ts timestamp_ntz, value double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
+    streams.stream_mean_and_late(landed, "ts", "value", f"{folder}/state", f"{folder}/cp", 3600, 480 * 3600).awaitTermination()
+    return streams.read_late(spark, f"{folder}/state", landed.schema).select("event_id", "batch")

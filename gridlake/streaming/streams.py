@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from gridlake.functions.scalar import nan_to_null
+from gridlake.operators.series import floor_every
 from gridlake.session import child_names, delete_path, path_status
 from gridlake.sources.loading import upsert_partitions
 
@@ -53,6 +55,61 @@ def stream_mean(stream: DataFrame, ts: str, val: str, every: str = "1 hour", lat
     return means.select(F.col("_w.start").alias(ts), "mean", "n")
 
 
+def stream_mean_and_late(
+    stream: DataFrame, ts: str, val: str, path: str, checkpoint: str, every_seconds: int = 3600, late_seconds: int = 3600,
+) -> StreamingQuery:
+    """Means per window as `stream_mean` gives them, and beside them the rows that came behind the watermark.
+
+    Each micro-batch writes its sums per window, its late rows and its newest stamp under its own number, the stamp
+    last; a batch that is run again writes the same. A row is late when its window was closed before its batch: when it
+    ended before the newest stamp of the batches up to the last but one, less `late_seconds`, which is the engine's own
+    rule. `read_means` and `read_late` give the results.
+    """
+
+    def fold(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            before = _newest(spark, path, number - 1)
+            slot = floor_every(batch, ts, every_seconds).cast("timestamp")
+            bound = F.lit(before) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(late_seconds))
+            end = slot + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(every_seconds))
+            late = F.coalesce(end <= bound, F.lit(False)) if before is not None else F.lit(False)
+            value = nan_to_null(val)
+            sums = batch.filter(~late & F.col(ts).isNotNull()).groupBy(slot.alias("slot")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+            sums.write.mode("overwrite").parquet(f"{path}/sums/batch={number}")
+            batch.filter(late).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+            newest = batch.agg(F.max(F.col(ts).cast("timestamp")).alias("newest"))
+            newest.write.mode("overwrite").parquet(f"{path}/seen/batch={number}")
+        finally:
+            batch.unpersist()
+
+    query = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    return query.trigger(availableNow=True).start()
+
+
+def _newest(spark: SparkSession, path: str, before: int | None = None):
+    """The newest stamp of the batches before a number, or of all."""
+    if path_status(spark, f"{path}/seen") is None:
+        return None
+    seen = spark.read.schema("newest timestamp, batch long").parquet(f"{path}/seen")
+    return (seen if before is None else seen.filter(F.col("batch") < before)).agg(F.max("newest")).first()[0]
+
+
+def read_means(spark: SparkSession, path: str, ts: str, every_seconds: int = 3600, late_seconds: int = 3600) -> DataFrame:
+    """Means of the windows that the watermark has closed."""
+    sums = spark.read.schema("slot timestamp, total double, n long, batch long").parquet(f"{path}/sums")
+    length = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(every_seconds + late_seconds))
+    closed = sums.filter(F.col("slot") + length <= F.lit(_newest(spark, path)))
+    totals = closed.groupBy(F.col("slot").alias(ts)).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return totals.select(ts, F.try_divide("total", "n").alias("mean"), "n")
+
+
+def read_late(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows that came too late, with the number of their batch."""
+    return spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(f"{path}/late")
+
+
 def stream_freshness(stream: DataFrame, source: str, ts: str) -> DataFrame:
     """Latest stamp per source, for update mode."""
     return stream.groupBy(source).agg(F.max(F.col(ts).cast("timestamp")).alias("latest"))

@@ -37,6 +37,23 @@ def test_hourly_mean_waits_for_late_rows(spark, tmp_path):
         START: (2.0, 2), START + timedelta(hours=1): (5.0, 1), START + timedelta(hours=2): (7.0, 1)}
 
 
+def test_late_rows_are_kept_beside_the_means(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    land(spark, folder, 0, [event(0, 10, 1), event(1, 200, 5)])
+    land(spark, folder, 1, [event(2, 50, 3), event(3, 130, 7), event(4, 400, 9)])  # no window is closed yet
+    land(spark, folder, 2, [event(5, 290, 2), event(6, 350, float("nan")), event(7, 110, 4)])  # 110 is behind 200 - 60
+    land(spark, folder, 3, [event(8, 20, 8), event(9, 500, 1), event(10, 390, 6)])  # 20 is behind 400 - 60
+    query = streams.stream_mean_and_late(stream(spark, folder), "ts", "value", f"{tmp_path}/state", f"{tmp_path}/cp")
+    query.awaitTermination()
+    late = streams.read_late(spark, f"{tmp_path}/state", stream(spark, folder).schema)
+    assert {(r.id, r.batch) for r in late.collect()} == {(7, 2), (8, 3)}
+    got = {r.ts: (r["mean"], r.n) for r in streams.read_means(spark, f"{tmp_path}/state", "ts").collect()}
+    means = streams.stream_mean(stream(spark, folder), "ts", "value", late="1 hour")
+    streams.append_to(means, f"{tmp_path}/out", f"{tmp_path}/cp2").awaitTermination()
+    assert got == {r.ts: (r["mean"], r.n) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got[START] == (2.0, 2) and got[START + timedelta(hours=2)] == (7.0, 1)
+
+
 def test_streamed_upsert_equals_batches_in_order(spark, tmp_path):
     folder, table = f"{tmp_path}/in", f"{tmp_path}/table"
     batches = [

@@ -107,7 +107,7 @@ def test_encoder_on_random_texts_and_all_characters():
     texts = ["".join(rng.choices(letters, k=rng.randint(0, 120))) for _ in range(3000)] + ["a" * 3000, " " * 3000, "ab" * 2000, "\n" * 2000]
     for t in texts:
         assert ours.encode(t) == library.encode(t, add_special_tokens=False).ids
-    for code in [*range(1, 0xD800, 3), *range(0xE000, 0x10000, 3), *range(0x10000, 0x20000, 97)]:
+    for code in [*range(1, 0xD800), *range(0xE000, 0x10000), *range(0x10000, 0x20000, 97)]:
         t = f"a1!{chr(code)}b 2 {chr(code)} ?{chr(code)}"
         assert ours.pre_tokens(t) == [t[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(t)], hex(code)
 

@@ -26,7 +26,7 @@ def order_by(df: DataFrame, ts: str) -> DataFrame:
 def _standing(mean: Column, nulls_first: bool) -> Column:
     """Sort value of a group mean in descending order, with groups of NULL mean first or last."""
     null_rank = F.lit(1 if nulls_first else -1)
-    return F.struct(F.when(mean.isNull(), null_rank).otherwise(0).alias("null"), F.coalesce(mean, F.lit(0.0)).alias("mean"))
+    return F.struct(F.when(mean.isNull(), null_rank).otherwise(0).alias("null"), F.coalesce(mean, F.lit(0)).alias("mean"))
 
 
 def top_k_with_rest(

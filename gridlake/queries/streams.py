@@ -65,3 +65,19 @@ def stream_late_rows(t: Tables) -> DataFrame:
     landed = spark.readStream.schema("event_id long, ts timestamp_ntz, value double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
     streams.stream_mean_and_late(landed, "ts", "value", f"{folder}/state", f"{folder}/cp", 3600, 480 * 3600).awaitTermination()
     return streams.read_late(spark, f"{folder}/state", landed.schema).select("event_id", "batch")
+
+
+@query(
+    """SELECT user_id, max(ts) AS latest, epoch_ms(max(ts)) + 24 * 3600000 < (SELECT epoch_ms(max(ts)) FROM events) - 3600000 AS silent
+    FROM events WHERE user_id IS NOT NULL GROUP BY 1"""
+)
+def stream_silence(t: Tables) -> DataFrame:
+    """Users without an event for a day, as the stream knows them after four files in order of time."""
+    folder, spark = work_dir(t.spark, "stream-silence"), t.spark
+    quarter = F.floor(F.dayofmonth("ts") / 8)
+    for i in range(4):
+        t.events.filter(quarter == i).select("user_id", "ts").write.parquet(f"{folder}/in/{i}")
+    landed = spark.readStream.schema("user_id long, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
+    states = streams.stream_silence(landed, "user_id", "ts", 24 * 3600)
+    streams.latest_to(states, f"{folder}/out", f"{folder}/checkpoint", "user_id").awaitTermination()
+    return presented(streams.read_latest(spark, f"{folder}/out", "user_id"))

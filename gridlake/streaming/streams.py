@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampType
 
 from gridlake.functions.scalar import nan_to_null
 from gridlake.operators.series import floor_every
@@ -115,6 +120,46 @@ def stream_freshness(stream: DataFrame, source: str, ts: str) -> DataFrame:
     return stream.groupBy(source).agg(F.max(F.col(ts).cast("timestamp")).alias("latest"))
 
 
+def stream_silence(stream: DataFrame, source: str, ts: str, limit_seconds: int, late_seconds: int = 3600) -> DataFrame:
+    """Per source `latest` and whether it is `silent`, for update mode (`latest_to` keeps the newest state).
+
+    A source is silent once the watermark (the newest stamp of all sources less `late_seconds`) has passed its latest
+    stamp by more than `limit_seconds`, in whole milliseconds. A timer on event time emits it then, though no row of it
+    comes any more; when it sends again, it is emitted as no longer silent. Rows behind the watermark do not count, and
+    rows without source or stamp are ignored. Every task sends one row per source and Arrow batch into the
+    shuffle, so a source that holds most rows does not fill a task. A source stays in the state for good.
+    """
+    kind = stream.schema[source].dataType
+
+    def newest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = pa.Table.from_batches([batch]).group_by("source").aggregate([("latest", "max")])
+            yield from most.select(["source", "latest_max"]).rename_columns(["source", "latest"]).to_batches()
+
+    def follow(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            latest, silent = state.get[0], True
+        else:
+            latest = max(part["latest"].max() for part in parts)
+            if state.exists:
+                latest = max(latest, pd.Timestamp(state.get[0]))
+            due = int(latest.timestamp() * 1000) + limit_seconds * 1000
+            silent = due < state.getCurrentWatermarkMs()
+            if not silent:
+                state.setTimeoutTimestamp(due)
+        state.update((latest, silent))
+        yield pd.DataFrame({source: [key[0]], "latest": [latest], "silent": [silent]})
+
+    stamped = stream.select(F.col(source).alias("source"), F.col(ts).cast("timestamp").alias("latest"))
+    known = stamped.filter(F.col("source").isNotNull() & F.col("latest").isNotNull())
+    shape = StructType([StructField("source", kind), StructField("latest", TimestampType())])
+    reduced = known.mapInArrow(newest, shape).withWatermark("latest", f"{late_seconds} seconds")
+    out = StructType([StructField(source, kind), StructField("latest", TimestampType()), StructField("silent", BooleanType())])
+    return reduced.groupBy("source").applyInPandasWithState(
+        follow, out, "latest timestamp, silent boolean", "update", GroupStateTimeout.EventTimeTimeout
+    )
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write closed rows to a parquet folder, all data available now."""
     return (

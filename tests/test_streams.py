@@ -101,3 +101,25 @@ def test_freshness_state_is_compacted(spark, tmp_path):
     assert got == {"a": START + timedelta(minutes=50), "b": START + timedelta(minutes=5)}
     kept = sorted(int(p.name.partition("=")[2]) for p in Path(out).iterdir())
     assert kept[0] >= 2 and len(kept) <= 4  # "b" came in batch 0, which is gone
+
+
+def test_silent_sources_are_emitted_and_come_back(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+
+    def states():
+        found = streams.stream_silence(stream(spark, folder), "kind", "ts", 120 * 60, 30 * 60)
+        streams.latest_to(found, f"{tmp_path}/out", f"{tmp_path}/cp", "kind").awaitTermination()
+        rows = streams.read_latest(spark, f"{tmp_path}/out", "kind").collect()
+        return {r.kind: (r.latest - START, r.silent) for r in rows}
+
+    minutes = lambda m: timedelta(minutes=m)
+    land(spark, folder, 0, [event(0, 10, 1), event(1, 5, 1, "b"), event(2, 8, 1, None)])
+    assert states() == {"a": (minutes(10), False), "b": (minutes(5), False)}
+    land(spark, folder, 1, [event(3, 155, 1), event(4, 100, 1)])
+    assert states() == {"a": (minutes(155), False), "b": (minutes(5), False)}  # the watermark is at its limit, not past it
+    land(spark, folder, 2, [event(5, 156, 1)])
+    assert states() == {"a": (minutes(156), False), "b": (minutes(5), True)}  # no row of b came
+    land(spark, folder, 3, [event(6, 300, 1), event(7, 200, 1, "b"), event(8, 130, 1, "c")])
+    assert states() == {"a": (minutes(300), False), "b": (minutes(200), False), "c": (minutes(130), True)}  # back; c fell silent at once
+    land(spark, folder, 4, [event(9, 900, 1, "c")])
+    assert states() == {"a": (minutes(300), True), "b": (minutes(200), True), "c": (minutes(900), False)}

@@ -2,11 +2,13 @@
 
 A model is the share of each hash bucket among the word unigrams and bigrams of its texts. A document's weight is
 its probability under the target model over that under the raw model. The keys log(weight) + Gumbel noise, cut
-at the k-th largest, are a sample without replacement in proportion to the weights.
+at the k-th largest, are a sample without replacement in proportion to the weights. The number of buckets grows with the
+square root of the measured size of all texts, about as their number of distinct words does.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from gridlake.llm.texts import WHITE, mix, slices, text_bytes, words_of
 from gridlake.sources.tables import settled
 
-BUCKETS = 1 << 14
+FEWEST = 1 << 14  # buckets of a model, at least
+EMITTED = 1 << 20  # buckets that a task sends in one batch
 LABELLED = 50_000  # labelled documents that show the target, at most: those with the smallest hash of their id
 SMOOTHING = 1.0  # added to each bucket's count
 SEED = 17
@@ -33,37 +36,44 @@ def ngram_buckets(texts: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndar
     return (np.concatenate([h, pairs]) % np.uint64(buckets)).astype(np.int64), np.concatenate([text, text[1:][both]])
 
 
-def ngram_models(docs: DataFrame, target: DataFrame, id_col: str, text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, int]:
-    """Log ratio of target to raw probability of each bucket, and the number of rows.
+def measured_buckets(size: int) -> int:
+    """Buckets for texts of so many bytes: the power of two at or above twice the square root.
+
+    2 ** 15 for 0.1 GB, 2 ** 19 for 30 GB, 2 ** 25 for 100 TB, where the model that is broadcast has 256 MB and a task that
+    counts holds 512 MB.
+    """
+    return max(FEWEST, 1 << math.ceil(math.log2(2 * math.sqrt(max(size, 1)))))
+
+
+def ngram_models(docs: DataFrame, target: DataFrame, id_col: str, text: str, buckets: int) -> np.ndarray:
+    """Log ratio of target to raw probability of each bucket.
 
     `target` has the ids of target documents (bounded by the caller, so it is broadcast). Every task counts all its
-    texts; counts are summed by bucket. What reaches the driver is one pair of counts per bucket.
+    texts; counts are summed by bucket. What reaches the driver, as Arrow, is one pair of counts per bucket.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, rows = np.zeros((2, buckets), np.int64), 0
+        totals = np.zeros((2, buckets), np.int64)
         for part in slices(batches, "_text"):
             bucket, owner = ngram_buckets(text_bytes(part.column("_text")), buckets)
             chosen = part.column("_target").to_numpy(zero_copy_only=False)[owner]
-            totals[0] += np.bincount(bucket, minlength=buckets)
-            totals[1] += np.bincount(bucket[chosen], minlength=buckets)
-            rows += part.num_rows
+            for total, found in zip(totals, (bucket, bucket[chosen])):
+                at, times = np.unique(found, return_counts=True)
+                total[at] += times
         used = np.flatnonzero(totals[0])
-        columns = [np.append(used, -1), np.append(totals[0][used], rows), np.append(totals[1][used], 0)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "raw", "target"])
+        for i in range(0, len(used), EMITTED):
+            at = used[i : i + EMITTED]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (at, totals[0][at], totals[1][at])], names=["bucket", "raw", "target"])
 
     marks = target.select(F.col(f"`{id_col}`").alias("_id")).distinct().withColumn("_chosen", F.lit(True))
     pair = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
     marked = pair.join(F.broadcast(marks), "_id", "left").select("_text", F.coalesce("_chosen", F.lit(False)).alias("_target"))
     sums = marked.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    counts, rows = np.full((2, buckets), SMOOTHING), 0
-    for r in sums.collect():
-        if r.bucket < 0:
-            rows = r.raw
-        else:
-            counts[:, r.bucket] += (r.raw, r.target)
+    counts, found = np.full((2, buckets), SMOOTHING), sums.toArrow()
+    for total, column in zip(counts, ("raw", "target")):
+        total[found.column("bucket").to_numpy()] += found.column(column).to_numpy()
     raw, shown = counts / counts.sum(axis=1, keepdims=True)
-    return np.log(shown) - np.log(raw), rows
+    return np.log(shown) - np.log(raw)
 
 
 def scored(docs: DataFrame, log_ratio: np.ndarray, id_col: str, text: str, seed: int = SEED) -> DataFrame:
@@ -110,7 +120,7 @@ def kth_largest(table: DataFrame, column: str, k: int) -> int | None:
 
 def importance_resample(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
-    share: float | None = None, buckets: int = BUCKETS, labelled: int = LABELLED, seed: int = SEED,
+    share: float | None = None, buckets: int | None = None, labelled: int = LABELLED, seed: int = SEED,
 ) -> DataFrame:
     """For every row `id_col`, `n_grams`, `log_weight`, `key` and `kept`.
 
@@ -118,6 +128,7 @@ def importance_resample(
     label is 1; the raw model and the weights on all rows. `kept` are the `share` of rows with the largest keys; by
     default that is the share of 1 among the labelled ones used. Equal keys at the limit are all kept. Labels of
     null are ignored; repeated labels of a document count as 1 if one is. A null or empty text has weight 0.
+    `buckets` (by default `measured_buckets` of the texts) are those of both models.
     Without labels nothing is told apart (weights 0) and all rows are kept. Repeated rows and null ids come out as
     often as they go in; an empty table gives no rows; other columns are ignored, whatever their names.
     """
@@ -125,9 +136,9 @@ def importance_resample(
     one = given.groupBy(F.col(f"`{id_col}`").alias(id_col)).agg(F.max(F.col(f"`{label}`").cast("int")).alias("_label"))
     used = settled(one.orderBy(F.xxhash64(id_col), id_col).limit(labelled), "labelled")
     total, good = used.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("_label") == 1, 1)), F.lit(0))).first()
-    ratio, rows = ngram_models(docs, used.filter("_label = 1").select(id_col), id_col, text, buckets)
-    if not good:
-        ratio = np.zeros_like(ratio)
+    size, rows = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(f"`{text}`"))), F.lit(0)), F.count("*")).first()
+    buckets = buckets or measured_buckets(size)
+    ratio = ngram_models(docs, used.filter("_label = 1").select(id_col), id_col, text, buckets) if good else np.zeros(buckets)
     keys = settled(scored(docs, ratio, id_col, text, seed), "keys")
     share = (good / total if good else 1.0) if share is None else share
     limit = kth_largest(keys, "place", round(share * rows)) if round(share * rows) > 0 else None

@@ -1,5 +1,6 @@
 """Operators that compare rows, and the pipeline, against direct computations."""
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -16,7 +17,7 @@ from gridlake.llm.jaccard import one_of_each_class, similar_classes
 from gridlake.llm import line_dedup
 from gridlake.llm.line_dedup import patience, without_repeated_lines
 from gridlake.llm.repetition import keep_good
-from gridlake.llm.resampling import importance_resample, kth_largest
+from gridlake.llm.resampling import importance_resample, kth_largest, measured_buckets
 from gridlake.llm.url_rules import judge_urls
 
 
@@ -284,6 +285,33 @@ def test_weights_tell_quality_on_held_out_labels(spark):
     assert sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad)) > 0.97
 
 
+def test_resampling_weights_equal_a_plain_model(spark):
+    """Counters of unigrams and bigrams; with so many buckets no two of these share one."""
+    rng, buckets = random.Random(4), 1 << 22
+    texts = {i: " ".join(rng.choice(["ab", "c", "Ab", "d\te", "ü", "f\n"]) for _ in range(rng.randrange(12))) for i in range(60)}
+    texts |= {60: None, 61: " \x0b "}
+    good = [i for i in texts if i % 3 == 0 or i == 60]
+    labels = spark.createDataFrame([(i, int(i in good)) for i in texts], "doc_id long, quality int")
+    rows = importance_resample(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4), labels, buckets=buckets).collect()
+
+    def grams(i):
+        words = re.findall("[^\x20\x09-\x0D]+", texts[i] or "")
+        return words + list(zip(words, words[1:]))
+
+    raw, shown = (Counter(g for i in ids for g in grams(i)) for ids in (texts, good))
+    ratio = {g: math.log((shown[g] + 1) / (shown.total() + buckets)) - math.log((raw[g] + 1) / (raw.total() + buckets)) for g in raw}
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.n_grams == len(grams(r.doc_id)) and abs(r.log_weight - sum(ratio[g] for g in grams(r.doc_id))) < 1e-9
+    keys = sorted((r.key for r in rows), reverse=True)
+    assert {r.doc_id for r in rows if r.kept} == {r.doc_id for r in rows if r.key >= keys[len(good) - 1]}
+
+
+def test_model_grows_with_the_texts():
+    sizes = [0, 1, 10**6, 10**8, 5 * 10**8, 3 * 10**10, 10**14]
+    assert [measured_buckets(s).bit_length() - 1 for s in sizes] == [14, 14, 14, 15, 16, 19, 25]
+
+
 def test_resampling_takes_the_largest_keys(spark, folder, odd):
     rows = queries.QUERIES["op10_importance_resampling"](spark, folder).collect()
     labels = spark.read.parquet(f"{folder}/labels.parquet")

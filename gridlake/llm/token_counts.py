@@ -21,19 +21,23 @@ from gridlake.llm.texts import slices
 
 BLOCK_BYTES = 16 << 20  # text of one block, or one longer text
 BUCKETS_PER_PARTITION = 8
+REMEMBERED = 500_000  # pre-tokens in a generation of a task's memory; there are two
 
 
 def _lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values, kind))
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def token_counts(
+    docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text: str = "text", remembered: int = REMEMBERED
+) -> DataFrame:
     """For every row: `id_col`, `n_bytes` of its UTF-8 text, `n_tokens` and `over_limit` (n_tokens > limit).
 
     `path` is the vocabulary file on the driver. A special string inside a text is one token. A null or empty text
     has no bytes and no tokens. Rows are counted one by one: repeated rows and null ids come out as often as they
     go in, an empty table gives no rows, other columns are ignored, whatever their names. `docs` should come from
-    storage: blocks are numbered by task, so a task that runs again must see its rows in the same order.
+    storage: blocks are numbered by task, so a task that runs again must see its rows in the same order. A task remembers
+    the counts of at most twice `remembered` pre-tokens; one that comes again after that is counted again.
     """
     spark = docs.sparkSession
     source = broadcast_file(spark, path)
@@ -96,11 +100,19 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     def join_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load(source)
         counts: dict[str, int] = {}
+        before: dict[str, int] = {}  # what was counted before the memory was full the last time
 
         def count(piece: str) -> int:
-            if piece not in counts:
-                counts[piece] = len(vocabulary.encode_piece(piece.encode()))
-            return counts[piece]
+            nonlocal counts, before
+            n = counts.get(piece)
+            if n is None:
+                n = before.get(piece)
+                if n is None:
+                    n = len(vocabulary.encode_piece(piece.encode()))
+                if len(counts) >= remembered:
+                    counts, before = {}, counts
+                counts[piece] = n
+            return n
 
         now, total = None, np.zeros(0, np.int64)
 

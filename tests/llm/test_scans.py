@@ -93,7 +93,8 @@ def test_round_trip_equals_the_library(spark, folder, odd):
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
         assert (counts[r.doc_id].n_bytes, counts[r.doc_id].over_limit) == (len(text.encode()), len(ids) > 1024)
     want = Counter((r.doc_id, len((r.text or "").encode()), len(library.encode(r.text or "", add_special_tokens=False).ids)) for r in odd.collect())
-    assert Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in token_counts(odd, PATH).collect()) == want
+    for remembered in (1, 500_000):
+        assert Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in token_counts(odd, PATH, remembered=remembered).collect()) == want
     apart = bpe.decode(bpe.encode(odd, PATH), PATH).collect()
     assert Counter((r.doc_id, r.decoded) for r in apart) == Counter((r.doc_id, r.text or "") for r in odd.collect())
     assert token_counts(odd.limit(0), PATH).count() == bpe.encode(odd.limit(0), PATH).count() == 0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from gridlake.operators.aggregates import mean_mix, monthly_stats, pair_corrs, seasonal_corrs
 from gridlake.operators.ranking import top_k, top_k_with_rest
 from gridlake.sources.schemas import MIX_SOURCES
-from gridlake.sources.tables import Layer, publish
+from gridlake.sources.tables import Layer, publish_version
 
 Tables = Mapping[str, DataFrame]
 
@@ -70,4 +70,4 @@ def gold(silver: Tables) -> Tables:
 
 def publish_gold(tables: Tables, path: str) -> Tables:
     """Write every indicator; these writes are the only jobs the layers cause."""
-    return {name: publish(df, f"{path}/{name}") for name, df in tables.items()}
+    return {name: publish_version(df, f"{path}/{name}") for name, df in tables.items()}

@@ -21,7 +21,7 @@ from gridlake.plans.silver import silver
 from gridlake.session import child_names, delete_path, move_path, path_status
 from gridlake.sources.loading import touched_parts
 from gridlake.sources.schemas import FACTS, MIX_SOURCES
-from gridlake.sources.tables import publish
+from gridlake.sources.tables import publish_version
 
 Tables = Mapping[str, DataFrame]
 MONTH = "part"
@@ -156,7 +156,7 @@ def refresh(spark: SparkSession, root: str, facts: Callable[[list[str] | None],
                 if path_status(spark, f"{fresh}/{MONTH}={month}"):
                     move_path(spark, f"{fresh}/{MONTH}={month}", f"{kept}/{MONTH}={month}")
     states = read_states(spark, root, facts)
-    tables = {name: publish(build(states), f"{root}/gold/{name}") for name, build in GOLD_OF.items()}
+    tables = {name: publish_version(build(states), f"{root}/gold/{name}") for name, build in GOLD_OF.items()}
     if whole:
         spark.createDataFrame([(len(states),)], "states int").write.mode("overwrite").parquet(f"{path}/built")
     for done in lists:

@@ -505,6 +505,18 @@ def publish_roundtrip(t: Tables) -> DataFrame:
     return tables.publish(rows, work_dir(t.spark, "publish"), ["month"])
 
 
+@query("SELECT o_custkey, count(*) AS orders, max(o_orderdate) AS latest FROM orders GROUP BY 1")
+def publish_versions(t: Tables) -> DataFrame:
+    """A result table brought up to date from its own last version: orders of even keys, then the others."""
+    path = work_dir(t.spark, "versions")
+    early = F.col("o_orderkey") % 2 == 0
+    counted = lambda rows: rows.groupBy("o_custkey").agg(F.count("*").alias("orders"), F.max("o_orderdate").alias("latest"))
+    tables.publish_version(counted(t.orders.filter(early)), path)
+    both = tables.read_version(t.spark, path).unionByName(counted(t.orders.filter(~early)))
+    tables.publish_version(both.groupBy("o_custkey").agg(F.sum("orders").alias("orders"), F.max("latest").alias("latest")), path)
+    return tables.read_version(t.spark, path)
+
+
 @query("SELECT event_type, max(ts) AS latest FROM events GROUP BY 1")
 def latest_by_type(t: Tables) -> DataFrame:
     return presented(t.events.groupBy("event_type").agg(F.max("ts").alias("latest")))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from gridlake.session import delete_path, move_path, path_status, work_dir
+from gridlake.session import child_names, delete_path, move_path, path_status, work_dir
 
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ZONED_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+VERSION = re.compile(r"v\d{9}")
 EMPTY_MARK = "\u0001"  # how the reader reports a quoted empty field, which would else come back as NULL
 
 
@@ -54,6 +56,43 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _versions(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Names of all versions below a path, in order, and of those that are complete."""
+    names = [n for n in child_names(spark, path) if VERSION.fullmatch(n)]
+    return names, [n for n in names if path_status(spark, f"{path}/{n}/_SUCCESS")]
+
+
+def publish_version(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Replace a result table that is never absent, and read it back (others: `read_version`).
+
+    Every call writes a folder of its own below `path`. It counts once the job's commit has put its success mark there, so a
+    reader finds the old table or the new one, whole, and nothing is renamed; a job that fails leaves the old one. The
+    version before is kept for readers that have begun with it, and `df` may read from it; older ones, and
+    what failed jobs left, are deleted. One writer at a time.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    names, whole = _versions(spark, path)
+    fresh = f"{path}/v{int(names[-1][1:]) + 1 if names else 1:09d}"
+    writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(fresh)
+    if path_status(spark, f"{fresh}/_SUCCESS") is None:
+        raise OSError(f"no success mark in {fresh}: mapreduce.fileoutputcommitter.marksuccessfuljobs must be on")
+    for name in names:
+        if name not in whole[-1:]:
+            delete_path(spark, f"{path}/{name}")
+    return spark.read.schema(df.schema).parquet(fresh)
+
+
+def read_version(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The newest complete version of a table that `publish_version` writes."""
+    path = path.rstrip("/")
+    whole = _versions(spark, path)[1]
+    if not whole:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{path}/{whole[-1]}")
+
+
 def publish_table(df: DataFrame, name: str) -> DataFrame:
     """Replace a catalog table."""
     df.write.mode("overwrite").saveAsTable(name)

@@ -12,7 +12,7 @@ from gridlake.operators import aggregates, cleaning, joining, quality, ranking,
 from gridlake.operators import statistics as st
 from gridlake.operators.quantiles import CANDIDATES
 from gridlake.sources.loading import enforce_constraints, upsert, upsert_partitions
-from gridlake.sources.tables import publish, publish_table, read_csv, write_csv
+from gridlake.sources.tables import publish, publish_table, publish_version, read_csv, read_version, write_csv
 
 
 def rows(df, *order):
@@ -448,3 +448,23 @@ def test_publish_replaces(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/t"), "i") == [(2, "b")]
     assert rows(publish_table(first, "published"), "i") == [(1, "a"), (2, "b")]
     assert rows(publish_table(first.limit(0), "published")) == []
+
+
+def test_published_versions_are_never_absent(spark, tmp_path):
+    path, table = f"{tmp_path}/t", spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "i int, p string")
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, path)
+    assert rows(publish_version(table, path, ["p"]), "i") == rows(table, "i")
+    begun = read_version(spark, path)
+    bad = table.select(F.raise_error(F.lit("half way")).cast("int").alias("i"), "p")
+    with pytest.raises(Exception, match="half way"):
+        publish_version(bad, path)
+    (tmp_path / "t" / "v000000007").mkdir()  # a version whose writer died
+    assert rows(read_version(spark, path), "i") == rows(table, "i")
+    publish_version(begun.filter("i > 1"), path, ["p"])  # from the table itself
+    assert rows(begun, "i") == rows(table, "i")
+    assert rows(read_version(spark, path), "i") == [(2, "b"), (3, None)]
+    publish_version(table.limit(0), path, ["p"])
+    assert read_version(spark, path, table.schema).count() == 0
+    kept = sorted(p.name for p in (tmp_path / "t").iterdir())
+    assert kept == ["v000000008", "v000000009"]

@@ -21,7 +21,7 @@ MEAN_DIGITS = 12  # digits kept of a mean that is added to others before it is r
 
 def numeric(c: Column | str) -> Column:
     """The measure as an exact decimal; half away from zero where it has more digits."""
-    return as_column(c).cast("string").try_cast(STORED)
+    return as_column(c).try_cast(STORED)
 
 
 def with_schema(df: DataFrame, schema: StructType) -> DataFrame:

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridlake.functions.scalar import WINTER_MONTHS, SUMMER_MONTHS, nan_to_null, round_to
+from gridlake.functions.scalar import WINTER_MONTHS, SUMMER_MONTHS, round_to
+from gridlake.operators import exact
 from gridlake.operators.moments import merge_states, pair_states, state_r
 from gridlake.operators.ranking import top_k, top_k_of_means
-from gridlake.plans.gold import CARBON_PAIRS, KEY_PAIRS, monthly
+from gridlake.plans.gold import CARBON_PAIRS, KEY_PAIRS
 from gridlake.plans.silver import silver
 from gridlake.session import child_names, delete_path, move_path, path_status
 from gridlake.sources.loading import touched_parts
@@ -33,8 +34,10 @@ def _month(ts: str = "date_heure"):
 
 
 def month_stats(t: Tables) -> DataFrame:
-    stats = monthly(t)
-    return stats.select(_month("mois"), *stats.columns)
+    stats = exact.monthly_stats(t["consommation_nationale"], "date_heure", "consommation_mw")
+    names = {"mean": "consommation_moyenne_mw", "peak": "pic_mw", "low": "creux_mw"}
+    numbers = [F.col(c).cast("double").alias(out) for c, out in names.items()]
+    return stats.select(_month("month"), F.col("month").alias("mois"), *numbers)
 
 
 def month_peaks(t: Tables) -> DataFrame:
@@ -45,8 +48,9 @@ def month_peaks(t: Tables) -> DataFrame:
 
 
 def month_regions(t: Tables) -> DataFrame:
-    value = nan_to_null("consommation_mw")
-    return t["consommation_regionale"].groupBy(_month(), "region").agg(F.count(value).alias("n"), F.sum(value).alias("total"))
+    value = "consommation_mw"
+    sums = [F.count(exact.numeric(value)).alias("n"), exact.total(value).alias("total")]
+    return t["consommation_regionale"].groupBy(_month(), "region").agg(*sums)
 
 
 def month_moments(t: Tables) -> DataFrame:
@@ -58,7 +62,7 @@ def month_moments(t: Tables) -> DataFrame:
 def month_mix(t: Tables) -> DataFrame:
     measures = [*MIX_SOURCES, "taux_co2"]
     sums = [
-        F.struct(F.lit(c).alias("measure"), F.count(nan_to_null(c)).alias("n"), F.sum(nan_to_null(c)).alias("total")) for c in measures
+        F.struct(F.lit(c).alias("measure"), F.count(exact.numeric(c)).alias("n"), exact.total(c).alias("total")) for c in measures
     ]
     return t["eco2mix"].groupBy(_month()).agg(F.array(*sums).alias("_sums")).select(MONTH, F.inline("_sums"))
 
@@ -80,8 +84,13 @@ def peaks_of(s: Tables) -> DataFrame:
     return top_k(s["month_peaks"].drop(MONTH), "consommation_mw", 10, "date_heure")
 
 
+def _merged_mean() -> Column:
+    """Aggregate: mean from exact monthly totals, so it does not hang on the order in which rows or months were added."""
+    return exact.exact_quotient(F.sum("total"), F.sum("n"), exact.MEAN_DIGITS).cast("double").alias("mean")
+
+
 def regions_of(s: Tables) -> DataFrame:
-    sums = s["month_regions"].groupBy("region").agg(F.try_divide(F.sum("total"), F.sum("n")).alias("mean"))
+    sums = s["month_regions"].groupBy("region").agg(_merged_mean())
     ranked = top_k_of_means(sums, "region").withColumnRenamed("mean", "consommation_moyenne_mw")
     return ranked.orderBy("consommation_moyenne_mw", ascending=False)
 
@@ -96,7 +105,7 @@ def correlations_of(s: Tables) -> DataFrame:
 
 
 def mix_of(s: Tables) -> DataFrame:
-    means = s["month_mix"].groupBy("measure").agg(F.try_divide(F.sum("total"), F.sum("n")).alias("mean"))
+    means = s["month_mix"].groupBy("measure").agg(_merged_mean())
     one = lambda c, digits, name: F.max(F.when(F.col("measure") == c, round_to("mean", digits))).alias(name)
     return means.agg(*[one(c, 0, f"{c}_moyen_mw") for c in MIX_SOURCES], one("taux_co2", 1, "taux_co2_moyen"))
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gridlake.functions.scalar import truncate
 from gridlake.queries.registry import Tables, presented, query
@@ -49,6 +52,15 @@ def stream_freshness(t: Tables) -> DataFrame:
     return presented(streams.read_latest(t.spark, f"{folder}/out", "event_type"))
 
 
+def landed_in_turn(rows: DataFrame, part: Column, folder: str, run: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land the rows of parts 0 to 3 one after the other; the stream goes on after each, so that a part is one
+    micro-batch in however many files it is written."""
+    landed = rows.sparkSession.readStream.schema(rows.schema).parquet(f"{folder}/in/*")
+    for i in range(4):
+        rows.filter(part == i).write.parquet(f"{folder}/in/{i}")
+        run(landed).awaitTermination()
+
+
 @query(
     """WITH e AS (SELECT event_id, ts, floor(4 * (event_id % 7) / 7) AS batch FROM events),
     seen AS (SELECT batch, max(ts) AS newest FROM e GROUP BY 1),
@@ -57,14 +69,15 @@ def stream_freshness(t: Tables) -> DataFrame:
     WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= newest - INTERVAL 480 HOUR"""
 )
 def stream_late_rows(t: Tables) -> DataFrame:
-    """Events that arrive out of order in four files, and those of them that come over 480 hours late."""
+    """Events that arrive out of order in four parts, and those of them that come over 480 hours late."""
     folder, spark = work_dir(t.spark, "stream-late"), t.spark
-    for i in range(4):
-        part = t.events.filter(F.floor(4 * (F.col("event_id") % 7) / 7) == i).select("event_id", "ts", "value")
-        part.write.parquet(f"{folder}/in/{i}")  # one row group is read, so one file is written
-    landed = spark.readStream.schema("event_id long, ts timestamp_ntz, value double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
-    streams.stream_mean_and_late(landed, "ts", "value", f"{folder}/state", f"{folder}/cp", 3600, 480 * 3600).awaitTermination()
-    return streams.read_late(spark, f"{folder}/state", landed.schema).select("event_id", "batch")
+    events = t.events.select("event_id", "ts", "value")
+
+    def run(landed: DataFrame) -> StreamingQuery:
+        return streams.stream_mean_and_late(landed, "ts", "value", f"{folder}/state", f"{folder}/cp", 3600, 480 * 3600)
+
+    landed_in_turn(events, F.floor(4 * (F.col("event_id") % 7) / 7), folder, run)
+    return streams.read_late(spark, f"{folder}/state", events.schema).select("event_id", "batch")
 
 
 @query(
@@ -72,12 +85,15 @@ def stream_late_rows(t: Tables) -> DataFrame:
     FROM events WHERE user_id IS NOT NULL GROUP BY 1"""
 )
 def stream_silence(t: Tables) -> DataFrame:
-    """Users without an event for a day, as the stream knows them after four files in order of time."""
+    """Users without an event for a day, as the stream knows them after four parts in order of time."""
     folder, spark = work_dir(t.spark, "stream-silence"), t.spark
-    quarter = F.floor(F.dayofmonth("ts") / 8)
-    for i in range(4):
-        t.events.filter(quarter == i).select("user_id", "ts").write.parquet(f"{folder}/in/{i}")
-    landed = spark.readStream.schema("user_id long, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
-    states = streams.stream_silence(landed, "user_id", "ts", 24 * 3600)
-    streams.latest_to(states, f"{folder}/out", f"{folder}/checkpoint", "user_id").awaitTermination()
+    events = t.events.select("user_id", "ts")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+
+    def run(landed: DataFrame) -> StreamingQuery:
+        states = streams.stream_silence(landed, "user_id", "ts", 24 * 3600)
+        return streams.latest_to(states, f"{folder}/out", f"{folder}/checkpoint", "user_id")
+
+    landed_in_turn(events, F.floor(4 * (micros - F.lit(first)) / (F.lit(last) - F.lit(first) + 1)), folder, run)
     return presented(streams.read_latest(spark, f"{folder}/out", "user_id"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType, TimestampType
 
 from gridlake.functions.scalar import nan_to_null
 from gridlake.operators.series import floor_every
@@ -120,7 +120,9 @@ def stream_freshness(stream: DataFrame, source: str, ts: str) -> DataFrame:
     return stream.groupBy(source).agg(F.max(F.col(ts).cast("timestamp")).alias("latest"))
 
 
-def stream_silence(stream: DataFrame, source: str, ts: str, limit_seconds: int, late_seconds: int = 3600) -> DataFrame:
+def stream_silence(
+    stream: DataFrame, source: str, ts: str, limit_seconds: int, late_seconds: int = 3600, buckets: int = 4096
+) -> DataFrame:
     """Per source `latest` and whether it is `silent`, for update mode (`latest_to` keeps the newest state).
 
     A source is silent once the watermark (the newest stamp of all sources less `late_seconds`) has passed its latest
@@ -128,6 +130,9 @@ def stream_silence(stream: DataFrame, source: str, ts: str, limit_seconds: int,
     comes any more; when it sends again, it is emitted as no longer silent. Rows behind the watermark do not count, and
     rows without source or stamp are ignored. Every task sends one row per source and Arrow batch into the
     shuffle, so a source that holds most rows does not fill a task. A source stays in the state for good.
+
+    Sources share a state and a timer, that of the next one due, with those of the same hash bucket: Python is called at
+    most `buckets` times a micro-batch, whatever the number of sources. A checkpoint keeps the `buckets` it began with.
     """
     kind = stream.schema[source].dataType
 
@@ -136,28 +141,32 @@ def stream_silence(stream: DataFrame, source: str, ts: str, limit_seconds: int,
             most = pa.Table.from_batches([batch]).group_by("source").aggregate([("latest", "max")])
             yield from most.select(["source", "latest_max"]).rename_columns(["source", "latest"]).to_batches()
 
-    def follow(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            latest, silent = state.get[0], True
-        else:
-            latest = max(part["latest"].max() for part in parts)
-            if state.exists:
-                latest = max(latest, pd.Timestamp(state.get[0]))
-            due = int(latest.timestamp() * 1000) + limit_seconds * 1000
-            silent = due < state.getCurrentWatermarkMs()
-            if not silent:
-                state.setTimeoutTimestamp(due)
-        state.update((latest, silent))
-        yield pd.DataFrame({source: [key[0]], "latest": [latest], "silent": [silent]})
+    def follow(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        mark = state.getCurrentWatermarkMs()
+        rows, before = [], mark
+        if state.exists:
+            sources, stamps, before = state.get
+            rows.append(pd.DataFrame({"source": sources, "micros": stamps, "sent": False}))
+        if not state.hasTimedOut:
+            rows += [part[["source", "micros"]].assign(sent=True) for part in parts]
+        known = pd.concat(rows).groupby("source", sort=False, dropna=False).max().reset_index()
+        due = known["micros"] // 1000 + limit_seconds * 1000
+        silent = due < mark
+        if not silent.all():
+            state.setTimeoutTimestamp(int(due[~silent].min()))
+        state.update((known["source"].tolist(), known["micros"].tolist(), mark))
+        told = known["sent"] | (silent & (due >= before))  # the others were told at the watermark of the call before
+        yield pd.DataFrame({source: known["source"], "micros": known["micros"], "silent": silent})[told]
 
     stamped = stream.select(F.col(source).alias("source"), F.col(ts).cast("timestamp").alias("latest"))
     known = stamped.filter(F.col("source").isNotNull() & F.col("latest").isNotNull())
     shape = StructType([StructField("source", kind), StructField("latest", TimestampType())])
     reduced = known.mapInArrow(newest, shape).withWatermark("latest", f"{late_seconds} seconds")
-    out = StructType([StructField(source, kind), StructField("latest", TimestampType()), StructField("silent", BooleanType())])
-    return reduced.groupBy("source").applyInPandasWithState(
-        follow, out, "latest timestamp, silent boolean", "update", GroupStateTimeout.EventTimeTimeout
-    )
+    dealt = reduced.select("source", "latest", F.unix_micros("latest").alias("micros"), F.pmod(F.xxhash64("source"), F.lit(buckets)).alias("bucket"))
+    out = StructType([StructField(source, kind), StructField("micros", LongType()), StructField("silent", BooleanType())])
+    held = StructType([StructField("sources", ArrayType(kind)), StructField("stamps", ArrayType(LongType())), StructField("mark", LongType())])
+    followed = dealt.groupBy("bucket").applyInPandasWithState(follow, out, held, "update", GroupStateTimeout.EventTimeTimeout)
+    return followed.select(source, F.timestamp_micros("micros").alias("latest"), "silent")
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -5,6 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from gridlake.queries import QUERIES
 from gridlake.sources.loading import upsert
 from gridlake.streaming import streams
 
@@ -123,3 +124,58 @@ def test_silent_sources_are_emitted_and_come_back(spark, tmp_path):
     assert states() == {"a": (minutes(300), False), "b": (minutes(200), False), "c": (minutes(130), True)}  # back; c fell silent at once
     land(spark, folder, 4, [event(9, 900, 1, "c")])
     assert states() == {"a": (minutes(300), True), "b": (minutes(200), True), "c": (minutes(900), False)}
+
+
+def test_a_bucket_of_many_sources_tells_each_of_its_own(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    found = streams.stream_silence(stream(spark, folder), "kind", "ts", 120 * 60, 30 * 60, buckets=2)
+    minutes = lambda m: timedelta(minutes=m)
+
+    def states():
+        streams.latest_to(found, f"{tmp_path}/out", f"{tmp_path}/cp", "kind").awaitTermination()
+        rows = streams.read_latest(spark, f"{tmp_path}/out", "kind").collect()
+        return {r.kind: (r.latest - START, r.silent) for r in rows}
+
+    land(spark, folder, 0, [event(i, i, 1, f"s{i}") for i in range(10)])
+    assert states() == {f"s{i}": (minutes(i), False) for i in range(10)}
+    land(spark, folder, 1, [event(10, 155, 1, "s0")])  # the watermark is at 125, so those before 5 fall silent
+    assert states() == {f"s{i}": (minutes(i or 155), 0 < i < 5) for i in range(10)}
+    land(spark, folder, 2, [event(11, 150, 1, "s1"), event(12, 157, 1, "s0")])  # s1 is back, 5 and 6 fall silent
+    assert states() == {f"s{i}": (minutes({0: 157, 1: 150}.get(i, i)), 1 < i < 7) for i in range(10)}
+
+
+def test_sources_of_other_types(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    for kind in ("int", "double", "date", "timestamp", "timestamp_ntz", "decimal(9,2)", "binary"):
+        value = {"int": "1", "double": "1.5", "decimal(9,2)": "1.25", "binary": "'x'"}.get(kind, "'2024-02-03'")
+        key = f"CAST({value} AS {kind}) AS k"
+        at = f"{folder}/{kind[:6]}{len(kind)}"
+        for i in range(2):
+            spark.sql(f"SELECT {key}, TIMESTAMP_NTZ '2025-01-0{i + 1}' AS ts").write.parquet(f"{at}/{i}")
+        rows = spark.readStream.schema(spark.read.parquet(f"{at}/0").schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/*")
+        found = streams.stream_silence(rows, "k", "ts", 3600)
+        streams.latest_to(found, f"{at}-out", f"{at}-cp", "k").awaitTermination()
+        got = streams.read_latest(spark, f"{at}-out", "k").selectExpr(f"k <=> {key.removesuffix(' AS k')} AS same", "latest", "silent")
+        assert [tuple(r) for r in got.collect()] == [(True, START + timedelta(days=1), False)], kind
+
+
+def test_a_part_in_many_files_is_one_batch(spark, tmp_path):
+    """Users of their own in each file: a file must not push the watermark past the rows of the next one."""
+    start, hours = datetime(2024, 1, 1), 30 * 24
+    rows = [(u * 1000 + h, start + timedelta(hours=h, minutes=u), u, float(h)) for u in range(8) for h in range(0, hours - 48 * (u % 2), 5)]
+    table = f"{tmp_path}/events.parquet"
+    for u in range(8):  # each file is to be a partition of its own, as large ones are
+        spark.createDataFrame([r for r in rows if r[2] == u], "event_id long, ts timestamp_ntz, user_id long, value double").coalesce(1).write.mode("append").parquet(table)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.parquet(table).rdd.getNumPartitions() >= 8
+        got = {r.user_id: (r.latest, r.silent) for r in QUERIES["stream_silence"](spark, str(tmp_path)).collect()}
+        late = {(r.event_id, r.batch) for r in QUERIES["stream_late_rows"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert got == {u: (max(r[1] for r in rows if r[2] == u), u % 2 == 1) for u in range(8)}
+    batch = lambda r: 4 * (r[0] % 7) // 7
+    newest = {b: max(r[1] for r in rows if batch(r) <= b) for b in range(4)}
+    behind = lambda r: r[1].replace(minute=0) + timedelta(hours=1) <= newest[batch(r) - 2] - timedelta(hours=480)
+    assert late == {(r[0], batch(r)) for r in rows if batch(r) >= 2 and behind(r)} and late
